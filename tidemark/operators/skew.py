@@ -14,7 +14,7 @@ def hot_keys(df: DataFrame, key: str, k: int = HOT_KEYS) -> DataFrame:
 
     The sketch only decides which keys get spread; results never depend on it.
     """
-    sketch = df.agg(F.approx_top_k(F.col(key), F.lit(k)).alias("top"))
+    sketch = df.agg(F.call_function("approx_top_k", F.col(key), F.lit(k)).alias("top"))
     return (sketch.select(F.explode("top").alias("t"))
             .select(F.col("t.item").alias(key)).filter(F.col(key).isNotNull()).distinct())
 
