@@ -10,18 +10,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.dates import day, instant, period_start
 from tidemark.functions.values import MONEY, annual_cents, monthly_usd, ratio, yearly_usd
 from tidemark.operators.relational import growth_rate, status_in
+from tidemark.operators.skew import spread_join
 
 # Subscription states that count as revenue.
 BILLABLE = ("active", "trialing", "past_due")
 
 
 def account_customers(accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Account x billing customer, accounts without a customer included."""
-    linked = customers.select(F.col("customer_id").alias("stripe_customer_id"),
-                              F.col("salesforce_account_id").alias("account_id"))
-    return accounts.join(linked, "account_id", "left").select(
-        "account_id", "account_name", "industry", "account_type", "stripe_customer_id",
-        F.col("created_at").alias("account_created_at"))
+    """Account x billing customer, accounts without a customer included.
+
+    An account may own very many customers, and an outer join cannot split its optional
+    side.  So matches come from an inner join with heavy accounts spread, and accounts
+    without a match from an anti-join against distinct ids.
+    """
+    linked = customers.filter(F.col("salesforce_account_id").isNotNull()).select(
+        F.col("salesforce_account_id").alias("account_id"), F.col("customer_id").alias("stripe_customer_id"))
+    shown = accounts.select("account_id", "account_name", "industry", "account_type",
+                            F.col("created_at").alias("account_created_at"))
+    matched = spread_join(linked, shown, "account_id", spread_by=["stripe_customer_id"])
+    alone = shown.join(linked.select("account_id").distinct(), "account_id", "left_anti").withColumn(
+        "stripe_customer_id", F.lit(None).cast("string"))
+    columns = ["account_id", "account_name", "industry", "account_type", "stripe_customer_id", "account_created_at"]
+    return matched.select(*columns).unionByName(alone.select(*columns))
 
 
 def account_spine(accounts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -104,8 +114,10 @@ def monthly_revenue(mrr: DataFrame, accounts: DataFrame, start: date | str, as_o
 
     A sweep instead of an interval join: a subscription adds its yearly cents in its first
     month and takes them off after its last, so it costs two rows however long it runs.
-    Per (account, month) the changes are summed with map-side combine; the running sum then
-    sees at most one row per month and account, hot accounts included.
+    Changes are summed per (account, month) with map-side combine; the running sum then sees
+    at most one row per month of an account, hot accounts included.  Only the shuffled rows
+    are sparse: the months between two changes are filled in by an explode at the very end,
+    inside the partitions that the running sum left behind.
     """
     rows = mrr if include_trials else mrr.filter(F.col("subscription_status") != "trialing")
     first, last = _covered_months(rule)
@@ -115,22 +127,27 @@ def monthly_revenue(mrr: DataFrame, accounts: DataFrame, start: date | str, as_o
     changes = (
         spans.filter(F.col("account_id").isNotNull() & F.col("c").isNotNull() & (F.col("l") >= F.col("f")))
         .select("account_id", F.explode(F.array(
-            F.struct(F.col("f").alias("revenue_month"), F.col("c").alias("change")),
-            F.struct(F.add_months("l", 1).alias("revenue_month"), (-F.col("c")).alias("change")))).alias("s"))
-        .select("account_id", "s.revenue_month", "s.change").filter(F.col("revenue_month") <= closing)
+            F.struct(F.col("f").alias("month"), F.col("c").alias("change")),
+            F.struct(F.add_months("l", 1).alias("month"), (-F.col("c")).alias("change")))).alias("s"))
+        .select("account_id", "s.month", "s.change").filter(F.col("month") <= closing)
     )
-    grid = account_month_grid(accounts, start, as_of).withColumn("change", F.lit(0).cast("bigint"))
+    listed = accounts.select("account_id").filter(F.col("account_id").isNotNull()).distinct().select(
+        "account_id", opening.alias("month"), F.lit(0).cast("bigint").alias("change"))
     summed = (
-        changes.withColumn("listed", F.lit(0)).unionByName(grid.withColumn("listed", F.lit(1)))
-        .groupBy("account_id", "revenue_month")
-        .agg(F.sum("change").alias("change"), F.max("listed").alias("listed"))
+        changes.withColumn("is_listed", F.lit(False)).unionByName(listed.withColumn("is_listed", F.lit(True)))
+        .groupBy("account_id", "month").agg(F.sum("change").alias("change"), F.max("is_listed").alias("is_listed"))
     )
-    to_date = Window.partitionBy("account_id").orderBy("revenue_month").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cents = F.col("cents")
-    return (summed.withColumn("cents", F.sum("change").over(to_date)).filter(F.col("listed") == 1)
-            .select("account_id", "revenue_month", monthly_usd(cents).alias("mrr_usd"),
-                    yearly_usd(cents).alias("arr_usd")))
+    line = Window.partitionBy("account_id").orderBy("month")
+    to_date = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steady = summed.select(
+        "account_id", "month", F.sum("change").over(to_date).alias("cents"),
+        F.max("is_listed").over(to_date).alias("is_listed"),
+        F.coalesce(F.add_months(F.lead("month").over(line), -1), closing).alias("until"),
+    ).filter("is_listed")
+    return steady.select(
+        "account_id", monthly_usd(F.col("cents")).alias("mrr_usd"), yearly_usd(F.col("cents")).alias("arr_usd"),
+        F.explode(F.sequence("month", "until", F.expr("interval 1 month"))).alias("revenue_month"),
+    ).select("account_id", "revenue_month", "mrr_usd", "arr_usd")
 
 
 def total_arr(revenue: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.functions.masks import POLICIES
 CLASSIFICATIONS = ("public", "internal", "confidential", "pii", "financial")
 TERRITORY_ROLES = ("admin", "engineer", "finance")
 CONTENT_PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     "phone": r"[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}",
 }
 AUDIT_TEXT_CHARS = 10_000

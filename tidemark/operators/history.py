@@ -5,31 +5,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.dates import day, instant
 from tidemark.operators.ordering import carry_forward, with_next, with_previous
 from tidemark.operators.relational import latest_by_key
+from tidemark.operators.skew import hot_keys
 
 VALID = ("valid_from", "valid_to", "is_current")
 
 
 def scd2_from_history(versions: DataFrame, key: str, ts: str, columns: Sequence[str],
-                      tiebreak: Sequence[str] = (), width: str = "month") -> DataFrame:
+                      tiebreak: Sequence[str] = (), width: str = "hour") -> DataFrame:
     """All versions to validity intervals; consecutive equal versions become one.
 
-    Of several versions at one instant the last by ``tiebreak`` and ``columns`` stands.
+    Of several versions at one instant the last by ``tiebreak`` and ``columns`` stands.  Rows
+    without a key are no versions of anything and are left out.
     """
     columns = list(columns)
     order = [ts, *tiebreak, *[c for c in columns if c not in tiebreak]]
-    slim = versions.select(key, *dict.fromkeys(order)).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    slim = (versions.filter(F.col(key).isNotNull()).select(key, *dict.fromkeys(order))
+            .withColumn(ts, F.col(ts).cast("timestamp_ntz")))
+    hot = hot_keys(slim, key)
     standing = latest_by_key(slim, [key, ts], order[1:]).select(key, ts, *columns)
-    seen = with_previous(standing, [key], [ts], columns, width)
+    seen = with_previous(standing, key, [ts], columns, width, hot)
     same = F.lit(True)
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"previous_{c}"))
     changed = seen.filter(~F.col("has_previous") | ~same).select(key, ts, *columns)
-    ended = with_next(changed, [key], [ts], [ts], width)
+    ended = with_next(changed, key, [ts], [ts], width, hot)
     return ended.select(key, *columns, F.col(ts).alias("valid_from"), F.col(f"next_{ts}").alias("valid_to"),
                         (~F.col("has_next")).alias("is_current"))
 
@@ -80,12 +84,13 @@ def scd2_merge(history: DataFrame, batch: DataFrame, key: str, updated_at: str,
 
 
 def as_of_lookup(facts: DataFrame, history: DataFrame, key: str, at: str, columns: Sequence[str],
-                 width: str = "month") -> DataFrame:
+                 width: str = "hour", hot: DataFrame | None = None) -> DataFrame:
     """Each fact with the version valid at its time, half-open ``[valid_from, valid_to)``.
 
     Facts and versions are laid on one time line per key and the last version start is
     carried forward.  No pair of fact and version is built, so a key with many facts and
-    many versions costs their sum and not their product.
+    many versions costs their sum and not their product.  ``hot`` lists heavy keys of either
+    side; without it they are looked for in both.
     """
     columns = list(columns)
     version = F.struct(*columns, "valid_from", "valid_to")
@@ -94,7 +99,7 @@ def as_of_lookup(facts: DataFrame, history: DataFrame, key: str, at: str, column
     asked = facts.select(F.col(key), F.col(at).cast("timestamp_ntz").alias("_at"), F.lit(1).alias("_kind"),
                          F.struct(*facts.columns).alias("_fact"))
     line = starts.unionByName(asked, allowMissingColumns=True)
-    found = carry_forward(line, [key], ["_at", "_kind"], F.col("_version"), "_valid", width)
+    found = carry_forward(line, key, ["_at", "_kind"], F.col("_version"), "_valid", width, hot)
     live = F.col("_valid.valid_to").isNull() | (F.col("_at") < F.col("_valid.valid_to"))
     return found.filter(F.col("_kind") == 1).select(
         *[F.col(f"_fact.`{c}`").alias(c) for c in facts.columns],
@@ -110,22 +115,52 @@ def daily_snapshot_append(history: DataFrame, start: date | str, end: date | str
     the snapshot table it stands for, and nothing before it is.
     """
     rows = history if open_when is None else history.filter(open_when)
+    return (_valid_days(rows, start, end).withColumn("snapshot_date", F.explode(F.sequence("_first", "_last")))
+            .drop("_first", "_last", *VALID))
+
+
+def _valid_days(rows: DataFrame, start: date | str, end: date | str) -> DataFrame:
+    """Add the first and last midnight in ``[start, end]`` at which a version is valid."""
     begins = F.col("valid_from").cast("date")
     first = F.when(begins.cast("timestamp_ntz") == F.col("valid_from"), begins).otherwise(F.date_add(begins, 1))
     ends = F.col("valid_to").cast("date")
     last = F.when(F.col("valid_to").isNull(), day(end)).otherwise(
         F.when(ends.cast("timestamp_ntz") < F.col("valid_to"), ends).otherwise(F.date_sub(ends, 1)))
     spans = rows.withColumns({"_first": F.greatest(first, day(start)), "_last": F.least(last, day(end))})
-    return (spans.filter(F.col("_last") >= F.col("_first"))
-            .withColumn("snapshot_date", F.explode(F.sequence("_first", "_last")))
-            .drop("_first", "_last", *VALID))
+    return spans.filter(F.col("_last") >= F.col("_first"))
+
+
+def snapshot_totals(history: DataFrame, start: date | str, end: date | str, by: Sequence[str],
+                    measures: Sequence[str]) -> DataFrame:
+    """Versions valid at midnight per day and ``by``: their count and the sums of ``measures``.
+
+    The totals of ``daily_snapshot_append`` without its rows: a version adds itself on its
+    first day and takes itself off after its last, and days are summed up along the line.
+    """
+    by = list(by)
+    dated = _valid_days(history, start, end)
+    plus = [F.lit(1).cast("bigint").alias("versions"), *[F.col(m) for m in measures]]
+    minus = [F.lit(-1).cast("bigint").alias("versions"), *[(-F.col(m)).alias(m) for m in measures]]
+    changes = dated.select(*by, F.explode(F.array(
+        F.struct(F.col("_first").alias("snapshot_date"), *plus),
+        F.struct(F.date_add("_last", 1).alias("snapshot_date"), *minus))).alias("c")).select(*by, "c.*")
+    names = ["versions", *measures]
+    summed = (changes.filter(F.col("snapshot_date") <= day(end)).groupBy(*by, "snapshot_date")
+              .agg(*[F.sum(n).alias(n) for n in names]))
+    line = Window.partitionBy(*by).orderBy("snapshot_date")
+    to_date = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steady = summed.select(*by, "snapshot_date", *[F.sum(n).over(to_date).alias(n) for n in names],
+                           F.coalesce(F.date_sub(F.lead("snapshot_date").over(line), 1), day(end)).alias("_until"))
+    return steady.filter(F.col("versions") > 0).select(
+        *by, *names, F.explode(F.sequence("snapshot_date", "_until")).alias("snapshot_date"))
 
 
 def attribute_change_log(versions: DataFrame, key: str, ts: str, attribute: str,
-                         tiebreak: Sequence[str] = (), width: str = "month") -> DataFrame:
+                         tiebreak: Sequence[str] = (), width: str = "hour") -> DataFrame:
     """One row per change of one attribute: old value, new value, when."""
     spans = scd2_from_history(versions, key, ts, [attribute], tiebreak, width)
-    seen = with_previous(spans.select(key, "valid_from", attribute), [key], ["valid_from"], [attribute], width)
+    seen = with_previous(spans.select(key, "valid_from", attribute), key, ["valid_from"], [attribute], width,
+                         hot_keys(versions, key))
     return seen.filter("has_previous").select(key, F.col(f"previous_{attribute}").alias("old_value"),
                                               F.col(attribute).alias("new_value"),
                                               F.col("valid_from").alias("changed_at"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.dates import period_start
 from tidemark.functions.values import MONEY, ratio, url_parameter
+from tidemark.operators.skew import hot_keys, spread_join
 
 # Lifecycle stages and the W-shaped weights.
 MQL, SQL = "marketingqualifiedlead", "salesqualifiedlead"
@@ -76,11 +77,13 @@ def attribution_w(touches: DataFrame, opportunities: DataFrame) -> DataFrame:
     ``touches``: touch_id, opportunity_id, touched_at.  ``opportunities``: opportunity_id,
     lead_created_at, created_at.  Coinciding milestones add up; missing parts are scaled
     away, so weights sum to 1 per opportunity.  Milestones are aggregates with map-side
-    combine: no opportunity's touches are ever sorted or gathered in one task.
+    combine, and both joins spread the touches of a heavy opportunity: they are never sorted
+    or gathered in one task.
     """
     at = F.struct("touched_at", "touch_id")
-    dated = touches.join(opportunities.select("opportunity_id", "lead_created_at",
-                                              F.col("created_at").alias("opp_created_at")), "opportunity_id")
+    hot = hot_keys(touches, "opportunity_id")
+    dates = opportunities.select("opportunity_id", "lead_created_at", F.col("created_at").alias("opp_created_at"))
+    dated = spread_join(touches, dates, "opportunity_id", spread_by=["touch_id"], hot=hot)
     marks = dated.groupBy("opportunity_id").agg(
         F.min_by("touch_id", at).alias("first_touch"),
         F.max_by("touch_id", F.when(F.col("touched_at") <= F.col("lead_created_at"), at)).alias("lead_touch"),
@@ -93,7 +96,7 @@ def attribution_w(touches: DataFrame, opportunities: DataFrame) -> DataFrame:
                          + F.when(F.col("others") > 0, REST_WEIGHT).otherwise(0.0)))
     hits = sum((F.coalesce((F.col("touch_id") == F.col(c)), F.lit(False)).cast("int")
                 for c in ("first_touch", "lead_touch", "opp_touch")), F.lit(0))
-    joined = touches.join(marks, "opportunity_id").withColumn("hits", hits)
+    joined = spread_join(touches, marks, "opportunity_id", spread_by=["touch_id"], hot=hot).withColumn("hits", hits)
     raw = F.when(F.col("hits") > 0, F.col("hits") * MILESTONE_WEIGHT).otherwise(F.lit(REST_WEIGHT) / F.col("others"))
     return joined.select(*touches.columns, (raw / F.col("total")).alias("weight"))
 

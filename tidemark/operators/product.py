@@ -157,8 +157,8 @@ def session_ids(events: DataFrame, start: date | str, end: date | str, gap_minut
     """Each event with the number of its session.
 
     Sessions are looked up by (user, slot of the event): a session is repeated once per slot
-    it touches, at most two sessions meet in one slot, and the hot keys of the event side
-    are spread.
+    it touches, at most two sessions meet in one slot, and the events of a heavy user are
+    spread over its slots.
     """
     gap = gap_minutes * 60_000_000
 

@@ -95,30 +95,42 @@ def run_suite(tables: Mapping[str, DataFrame], tests: Mapping[str, Sequence[Test
               tiers: Mapping[str, int]) -> DataFrame:
     """One row per test: table, test, tier, failures, status.
 
-    All row tests of a table share one aggregate pass; each uniqueness test is one grouped
-    count with map-side combine.
+    The row tests of a table and its first uniqueness test share one pass: rows are counted
+    per key with map-side combine, and the per-key counts are added up.  A table is thus
+    computed once, however it was derived; further uniqueness tests take a pass each.
     """
     result = None
     for table, checks in tests.items():
-        df, tier = tables[table], F.lit(tiers.get(table, 3)).alias("tier")
         by_row = [t for t in checks if not isinstance(t, Unique)]
-        parts = []
-        if by_row:
-            counted = df.agg(*[F.count(F.when(t.fails(), 1)).alias(t.name) for t in by_row])
-            parts.append(counted.select(F.explode(F.array(*[
-                F.struct(F.lit(t.name).alias("test_name"), F.col(f"`{t.name}`").alias("failures"))
-                for t in by_row])).alias("r")).select("r.*"))
-        for t in checks:
-            if isinstance(t, Unique):
-                parts.append(unique_combination(df, t.columns).agg(F.count("*").alias("failures"))
-                             .select(F.lit(t.name).alias("test_name"), "failures"))
+        by_key = [t for t in checks if isinstance(t, Unique)]
+        parts = [_counted(tables[table], by_row, by_key[0] if by_key else None)]
+        parts += [_counted(tables[table], [], t) for t in by_key[1:]]
         for part in parts:
-            rows = part.select(F.lit(table).alias("table_name"), "test_name", tier, "failures",
+            rows = part.select(F.lit(table).alias("table_name"), "test_name",
+                               F.lit(tiers.get(table, 3)).alias("tier"), "failures",
                                F.when(F.col("failures") > 0, "fail").otherwise("pass").alias("status"))
             result = rows if result is None else result.unionByName(rows)
     return result
 
 
+def _counted(df: DataFrame, by_row: Sequence[Test], by_key: Unique | None) -> DataFrame:
+    """(test_name, failures) of several row tests and at most one uniqueness test."""
+    none = F.lit(0).cast("bigint")
+    fails = [F.count(F.when(t.fails(), 1)).alias(t.name) for t in by_row]
+    if by_key is None:
+        counted = df.agg(*fails)
+    else:
+        complete = F.lit(True)
+        for c in by_key.columns:
+            complete = complete & F.col(c).isNotNull()
+        repeated = F.count(F.when(complete & (F.col("_n") > 1), 1)).alias(by_key.name)
+        counted = (df.groupBy(*by_key.columns).agg(F.count("*").alias("_n"), *fails)
+                   .agg(repeated, *[F.coalesce(F.sum(f"`{t.name}`"), none).alias(t.name) for t in by_row]))
+    names = [t.name for t in by_row] + ([by_key.name] if by_key else [])
+    return counted.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("test_name"), F.col(f"`{n}`").alias("failures")) for n in names])).alias("r")).select("r.*")
+
+
 def pass_rate(results: DataFrame) -> DataFrame:
     """Share of passed tests per tier against the tier's target."""
     target = F.create_map(*[F.lit(x) for kv in TIER_TARGETS.items() for x in kv])[F.col("tier")]

@@ -127,9 +127,9 @@ def pipeline_coverage(opportunities: DataFrame, quotas: DataFrame, target: float
 
 
 def stage_conversion(history: DataFrame, order: Sequence[str] = ("changed_at", "version", "stage_name", "amount"),
-                     width: str = "month") -> DataFrame:
+                     width: str = "hour") -> DataFrame:
     """How often each stage is followed by each other one, and by nothing."""
-    moves = (with_next(history, ["opportunity_id"], order, ["stage_name"], width)
+    moves = (with_next(history, "opportunity_id", order, ["stage_name"], width)
              .groupBy("stage_name", "next_stage_name").agg(F.count("*").alias("moves")))
     left = moves.groupBy("stage_name").agg(F.sum("moves").alias("stage_rows"))
     return moves.join(left, "stage_name").select(

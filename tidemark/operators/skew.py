@@ -1,4 +1,4 @@
-"""Equi-joins whose left side may have a few very hot keys."""
+"""Heavy keys: finding them, and joining past them."""
 
 from __future__ import annotations
 
@@ -6,39 +6,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_KEYS = 64
+# A key with at least one row in HOT_KEYS is heavy; there cannot be more than HOT_KEYS such keys.
+HOT_KEYS = 4096
+TRACKED = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, k: int = HOT_KEYS) -> DataFrame:
-    """At most ``k`` candidate heavy keys, from one mergeable frequency sketch.
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that hold at least 1/4096 of the rows; one column, 4096 rows at most.
 
-    The sketch only decides which keys get spread; results never depend on it.
+    One mergeable frequency sketch over the key column alone.  Heavy keys only get their rows
+    spread; results never depend on which keys the sketch reports.
     """
-    sketch = df.agg(F.call_function("approx_top_k", F.col(key), F.lit(k)).alias("top"))
-    return (sketch.select(F.explode("top").alias("t"))
-            .select(F.col("t.item").alias(key)).filter(F.col(key).isNotNull()).distinct())
-
-
-def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = 16,
-                spread_by: Sequence[str] = ()) -> DataFrame:
-    """Join on ``key`` with the hot keys of ``left`` spread over ``salts`` tasks.
-
-    ``right`` is repeated ``salts`` times for the (at most 64) hot keys only.  Works for
-    inner, left and left_semi/left_anti joins, where every left row meets all of its right
-    rows under its own salt.
+    sketch = df.select(key).agg(
+        F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED)).alias("top"),
+        F.count("*").alias("n"))
+    listed = sketch.select("n", F.explode("top").alias("t"))
+    heavy = listed.filter((F.col("t.count") * HOT_KEYS >= F.col("n")) & (F.col("t.count") > 1))
+    return heavy.select(F.col("t.item").alias(key)).filter(F.col(key).isNotNull())
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = 64,
+                spread_by: Sequence[str] = (), hot: DataFrame | None = None) -> DataFrame:
+    """Join on ``key`` with the heavy keys of ``left`` spread over ``salts`` tasks.
+
+    Rows of ``right`` are repeated ``salts`` times for heavy keys only.  Each left row meets
+    all of its right rows under its own salt, so inner, left, left_semi and left_anti joins
+    come out as without the salt.  The adaptive skew join does the same at run time, but not
+    where an aggregate on the same key follows; this one always applies.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot do a {how} join")
-    # 64 keys at most, by construction of the sketch: safe to broadcast.
-    hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
+    # At most HOT_KEYS rows, whatever the data: safe to broadcast.
+    heavy = F.broadcast((hot_keys(left, key) if hot is None else hot).withColumn("_hot", F.lit(True)))
     scatter = [F.col(c) for c in (spread_by or left.columns)]
-    many = (
-        left.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*scatter), F.lit(salts)))
-                    .otherwise(F.lit(0).cast("bigint")))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-                    ).otherwise(F.array(F.lit(0).cast("bigint")))
-    few = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    zero = F.lit(0).cast("bigint")
+    many = (left.join(heavy, key, "left")
+            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*scatter), F.lit(salts))).otherwise(zero))
+            .drop("_hot"))
+    copies = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(zero))
+    few = right.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return many.join(few, [key, "_salt"], how).drop("_salt")

@@ -180,11 +180,26 @@ def win_rate_exact(marts: Marts, grain: str = "quarter") -> DataFrame:
 
 
 def metric_query(marts: Marts, names: Sequence[str] = SERVED) -> DataFrame:
-    """The served series in long form, each at its model's own grain."""
+    """The served series in long form, each at its model's own grain.
+
+    Simple metrics of one model come out of one aggregate and are unpivoted, so a mart is
+    computed once for all its series.
+    """
     result = None
-    for name in names:
-        rows = metric(marts, name)
+    for model in MODELS:
+        own = [n for n in names if METRICS[n].formula is None and model_of(METRICS[n].inputs[0]) is model]
+        if not own:
+            continue
+        wide = measures(marts, model, [METRICS[n].inputs[0] for n in own], model.grain)
+        series = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(METRICS[n].inputs[0]).cast("double").alias("value"))
+                           for n in own])
+        rows = wide.select("period", F.explode(series).alias("s")).select(
+            "s.metric", F.lit(model.grain).alias("grain"), "period", "s.value")
         result = rows if result is None else result.unionByName(rows)
+    for name in names:
+        if METRICS[name].formula is not None:
+            rows = metric(marts, name)
+            result = rows if result is None else result.unionByName(rows)
     return result
 
 
@@ -201,8 +216,8 @@ def visible_metrics(spark: SparkSession, scopes: Sequence[str]) -> DataFrame:
 def scope_filter(rows: DataFrame, scopes: Sequence[str]) -> DataFrame:
     """Metric rows that one of the caller's scopes may see.
 
-    The filter meets a literal metric name in each branch of ``metric_query``, so series the
-    caller may not see are cut from the plan and never computed.
+    Ask ``metric_query`` only for ``allowed_metrics`` where the caller is known up front:
+    then the other series are never computed.
     """
     return rows.filter(F.col("metric").isin(allowed_metrics(scopes)))
 

@@ -94,9 +94,11 @@ R.add("measures", lambda c: metrics.measures(c.marts, metrics.model_of("weighted
 R.add("measure_avg_headcount", lambda c: metrics.measures(c.marts, metrics.model_of("avg_headcount"),
                                                           ["avg_headcount"], "month"),
       "select t as period, cast(avg(headcount) as double) as avg_headcount from v_hr group by 1")
+_CALLER = ["product", "sales"]
 _SERVED = " union all ".join(f"({_sql(n)})" for n in metrics.SERVED)
 R.add("metric_query", lambda c: metrics.metric_query(c.marts), _SERVED)
-R.add("scope_filter", lambda c: metrics.scope_filter(metrics.metric_query(c.marts), ["product", "sales"]),
+R.add("scope_filter", lambda c: metrics.scope_filter(metrics.metric_query(c.marts, [
+    n for n in metrics.SERVED if n in metrics.allowed_metrics(_CALLER)]), _CALLER),
       f"select * from ({_SERVED}) where metric in ('pipeline_value', 'win_rate', 'dau', 'mau')")
 R.add("metric_metadata", lambda c: metrics.metric_metadata(
     metrics.metric_query(c.marts, ("win_rate", "arr")), "analyst", AS_OF_ORDERS), f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import masks
 from tidemark.operators import governance, history, quality
 from tidemark.operators.quality import Between, NotNull, Unique
+from tidemark.operators.skew import hot_keys
 from tidemark.plans import contracts
 from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS
 from workload.context import Registry
@@ -317,7 +318,8 @@ R.add("scd2_merge", lambda c: _merged(c)[0], _MERGE)
 R.add("scd2_merge_rerun", _merged_twice, _MERGE)
 R.add("as_of_lookup", lambda c: history.as_of_lookup(
     c.raw["raw_opportunity"].select(F.col("id").alias("opportunity_id"), "close_date"), _scd2(c),
-    "opportunity_id", "close_date", ["stage_name", "amount"]), """
+    "opportunity_id", "close_date", ["stage_name", "amount"],
+    hot=hot_keys(c.raw["raw_opportunity_history"], "opportunity_id")), """
     select o.id as opportunity_id, o.close_date, h.stage_name as valid_stage_name,
            cast(h.amount as double) as valid_amount, h.valid_from
     from raw_opportunity o left join h_scd2 h on h.opportunity_id = o.id
@@ -332,6 +334,11 @@ R.add("daily_snapshot_append", lambda c: history.daily_snapshot_append(
     from h_scd2 join generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day) t(g)
       on g >= valid_from and (valid_to is null or g < valid_to)
     where stage_name <> 'AF' group by 1, 2""")
+R.add("snapshot_totals", lambda c: history.snapshot_totals(
+    _scd2(c), "1995-01-01", "2001-12-31", ["stage_name"], ["amount"]), """
+    select cast(g as date) as snapshot_date, stage_name, count(*) as versions, cast(sum(amount) as double) as amount
+    from h_scd2 join generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day) t(g)
+      on g >= valid_from and (valid_to is null or g < valid_to) group by 1, 2""")
 R.add("attribute_change_log", lambda c: history.attribute_change_log(
     c.raw["raw_opportunity_history"].select("opportunity_id", "changed_at", "version", "stage_name", "amount"),
     "opportunity_id", "changed_at", "stage_name", ["version"]), """
