@@ -54,3 +54,10 @@ def to_utc(value: Column, zone: str) -> Column:
 def micros(value: Column) -> Column:
     """Microseconds since 1970 of a zone-free timestamp, whatever the session zone."""
     return F.timestamp_diff("MICROSECOND", instant("1970-01-01"), value.cast("timestamp_ntz"))
+
+
+def periods(first: Column, last: Column, grain: str = "day") -> Column:
+    """Array of dates from ``first`` to ``last`` in steps of ``grain``; null (so no rows after
+    an explode) when ``last`` lies before ``first``, where ``sequence`` alone would fail."""
+    steps = {"day": "1 day", "week": "7 day", "month": "1 month", "quarter": "3 month", "year": "1 year"}
+    return F.when(last >= first, F.sequence(first, last, F.expr(f"interval {steps[grain]}")))

@@ -6,18 +6,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.dates import day, period_start
-
-_STEP = {"day": "interval 1 day", "week": "interval 7 day", "month": "interval 1 month",
-         "quarter": "interval 3 month", "year": "interval 1 year"}
-
+from tidemark.functions.dates import day, period_start, periods
 
 def spine(spark: SparkSession, start: date | str, end: date | str, grain: str = "day",
           name: str = "date_day") -> DataFrame:
     """Every period start from ``start``'s period to ``end``'s period, both included."""
     first, last = period_start(day(start), grain), period_start(day(end), grain)
-    return (spark.range(1).filter(day(start) <= day(end))
-            .select(F.explode(F.sequence(first, last, F.expr(_STEP[grain]))).alias(name)))
+    return spark.range(1).select(F.explode(
+        F.when(day(start) <= day(end), periods(first, last, grain))).alias(name))
 
 
 def date_range(spark: SparkSession, start: date | str, end: date | str) -> DataFrame:
@@ -45,8 +41,7 @@ def dim_date(spark: SparkSession, as_of: date | str, start: date | str = "2018-0
     it is the calendar year.
     """
     last = F.least(F.date_add(day(start), days - 1), F.add_months(day(as_of), 24))
-    listed = (spark.range(1).filter(last >= day(start))
-              .select(F.explode(F.sequence(day(start), last)).alias("date_day")))
+    listed = spark.range(1).select(F.explode(periods(day(start), last)).alias("date_day"))
     # Shift the calendar so that the fiscal year starts in January of the shifted one.
     shifted = F.add_months(F.col("date_day"), (13 - fiscal_start) % 12)
     shifted_month = F.trunc(F.add_months(F.trunc("date_day", "month"), (13 - fiscal_start) % 12), "month")

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.dates import day, instant, period_start
+from tidemark.functions.dates import day, instant, period_start, periods
 from tidemark.functions.values import MONEY, annual_cents, monthly_usd, ratio, yearly_usd
 from tidemark.operators.relational import growth_rate, status_in
 from tidemark.operators.skew import spread_join
@@ -97,13 +97,12 @@ def subscription_months(mrr: DataFrame, start: date | str, as_of: date | str,
                         last.isNotNull().alias("_ends"))
     return (inside.filter(F.col("_ends") & (F.col("_last") >= F.col("_first")))
             .select("subscription_id", "account_id", "annual_cents",
-                    F.explode(F.expr("sequence(_first, _last, interval 1 month)")).alias("revenue_month")))
+                    F.explode(periods(F.col("_first"), F.col("_last"), "month")).alias("revenue_month")))
 
 
 def account_month_grid(accounts: DataFrame, start: date | str, as_of: date | str) -> DataFrame:
     """Every account in every month; the months are exploded, not cross joined."""
-    months = F.sequence(period_start(day(start), "month"), period_start(day(as_of), "month"),
-                        F.expr("interval 1 month"))
+    months = periods(period_start(day(start), "month"), period_start(day(as_of), "month"), "month")
     return (accounts.select("account_id").filter(F.col("account_id").isNotNull()).distinct()
             .withColumn("revenue_month", F.explode(months)))
 
@@ -146,7 +145,7 @@ def monthly_revenue(mrr: DataFrame, accounts: DataFrame, start: date | str, as_o
     ).filter("is_listed")
     return steady.select(
         "account_id", monthly_usd(F.col("cents")).alias("mrr_usd"), yearly_usd(F.col("cents")).alias("arr_usd"),
-        F.explode(F.sequence("month", "until", F.expr("interval 1 month"))).alias("revenue_month"),
+        F.explode(periods(F.col("month"), F.col("until"), "month")).alias("revenue_month"),
     ).select("account_id", "revenue_month", "mrr_usd", "arr_usd")
 
 

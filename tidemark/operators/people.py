@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.dates import day, days_between, period_start
+from tidemark.functions.dates import day, days_between, period_start, periods
 from tidemark.functions.values import ratio
 
 
@@ -52,7 +52,7 @@ def headcount_monthly(workers: DataFrame, start: date | str, as_of: date | str)
     # greatest() skips nulls: a worker without a termination must not leave at the opening.
     ended = workers.filter(F.col("termination_date").isNotNull() & F.col("hire_date").isNotNull())
     started = workers.filter(F.col("hire_date").isNotNull())
-    months = F.sequence(opening, closing, F.expr("interval 1 month"))
+    months = periods(opening, closing, "month")
     zero = {"change": F.lit(0), "hires": F.lit(0), "terminations": F.lit(0)}
     joins = started.select("department", F.greatest(hired, opening).alias("month"), F.lit(1).alias("change"),
                            F.when(hired >= opening, 1).otherwise(0).alias("hires"), F.lit(0).alias("terminations"))
@@ -101,7 +101,7 @@ def open_reqs(requisitions: DataFrame, start: date | str, end: date | str) -> Da
         F.greatest(monday_from(F.greatest("accepted_date", "opened_date")), first).alias("week"),
         F.lit(-1).alias("change"))
     grid = (requisitions.sparkSession.range(1)
-            .select(F.explode(F.sequence(first, last, F.expr("interval 7 day"))).alias("week"), F.lit(0).alias("change")))
+            .select(F.explode(periods(first, last, "week")).alias("week"), F.lit(0).alias("change")))
     weekly = (opened.unionByName(closed).filter(F.col("week") <= last).unionByName(grid)
               .groupBy("week").agg(F.sum("change").alias("change")))
     # One row per week: a window without partitions is fine here.

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.dates import day, micros, period_start
+from tidemark.functions.dates import day, micros, period_start, periods
 from tidemark.functions.values import ratio
 from tidemark.operators.relational import not_in_events
 from tidemark.operators.skew import spread_join
@@ -96,7 +96,7 @@ def rolling_distinct(events: DataFrame, start: date | str, end: date | str, n: i
         F.struct(F.col("opens").alias("activity_date"), F.lit(1).alias("change")),
         F.struct(F.col("closes").alias("activity_date"), F.lit(-1).alias("change")))).alias("c")
     ).select(*by, "c.*").filter(F.col("activity_date") <= day(end))
-    calendar = F.explode(F.sequence(day(start), day(end))).alias("activity_date")
+    calendar = F.explode(periods(day(start), day(end))).alias("activity_date")
     grid = (days.select(*by).distinct() if by else events.sparkSession.range(1)).select(
         *by, calendar, F.lit(0).alias("change"))
     daily = changes.unionByName(grid).groupBy(*by, "activity_date").agg(F.sum("change").alias("change"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 # A key with at least one row in HOT_KEYS is heavy; there cannot be more than HOT_KEYS such keys.
 HOT_KEYS = 4096
-TRACKED = 100_000
+TRACKED = 40_000
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:

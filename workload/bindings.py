@@ -245,11 +245,19 @@ class RawTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._known: dict[str, DataFrame] = {}
 
     def base(self, table: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[table]).parquet(f"{self.sf_dir}/{table}.parquet")
+        if table not in self._known:
+            self._known[table] = self.spark.read.schema(TABLES[table]).parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._known[table]
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._known:
+            self._known[name] = self._bound(name)
+        return self._known[name]
+
+    def _bound(self, name: str) -> DataFrame:
         if name == "raw_billing_customer":
             return self["raw_billing_customer_1"].unionByName(self["raw_billing_customer_2"])
         binding = BINDINGS[name]

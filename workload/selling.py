@@ -117,13 +117,12 @@ def _lead_opps(c):
 
 
 def _touches(c):
-    return c.raw["raw_touch"].dropDuplicates(["touch_id"]).withColumn(
-        "touched_at", F.col("touched_at").cast("timestamp_ntz"))
+    return c.raw["raw_touch"].withColumn("touched_at", F.col("touched_at").cast("timestamp_ntz"))
 
 
 _WEIGHTS = f"""
     l as ({_LEADS}),
-    t as (select distinct touch_id, opportunity_id, campaign_id, touched_at from raw_touch),
+    t as (select touch_id, opportunity_id, campaign_id, touched_at from raw_touch),
     d as (select t.*, l.lead_created_at, l.created_at as opp_created_at from t join l using (opportunity_id)),
     r as (select *,
         row_number() over (partition by opportunity_id order by touched_at, touch_id) = 1 as is_first,
