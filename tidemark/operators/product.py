@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.dates import day, micros, period_start, periods
 from tidemark.functions.values import ratio
-from tidemark.operators.relational import not_in_events
+from tidemark.operators.relational import count_of, distinct_values, not_in_events
 from tidemark.operators.skew import spread_join
 
 
@@ -24,18 +24,16 @@ def events_between(events: DataFrame, start: date | str, end: date | str,
 def account_engagement(events: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Day x account: distinct users, events, distinct sessions, sorted feature names.
 
-    Events first collapse to one counted row per user, session and feature with map-side
-    combine.  The distinct counts then run on those rows; they too are planned as partial
-    aggregates on (day, account, value), so one dominant account is spread by its users.
+    One shuffle of distinct values carries all counts; a dominant account is spread by its
+    users and sessions, and the second grouping only adds up partial results.
     """
-    active = not_in_events(events_between(events, start, end))
+    active = not_in_events(events_between(events, start, end)).withColumnRenamed("event_date", "activity_date")
     keys = ["activity_date", "account_id"]
-    collapsed = (active.groupBy(F.col("event_date").alias("activity_date"), "account_id", "user_id", "session_id",
-                                "event_name").agg(F.count("*").alias("n")))
-    return collapsed.groupBy(*keys).agg(
-        F.count_distinct("user_id").alias("dau"), F.sum("n").alias("event_count"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.array_sort(F.collect_set("event_name")).alias("features_used"))
+    named = F.col("kind") == "event_name"
+    return distinct_values(active, keys, ["user_id", "session_id", "event_name"]).groupBy(*keys).agg(
+        count_of("user_id").alias("dau"), F.sum(F.when(named, F.col("n"))).alias("event_count"),
+        count_of("session_id").alias("sessions"),
+        F.array_sort(F.collect_set(F.when(named, F.col("value")))).alias("features_used"))
 
 
 def account_engagement_approx(events: DataFrame, start: date | str, end: date | str, rsd: float = 0.02) -> DataFrame:
@@ -107,10 +105,11 @@ def rolling_distinct(events: DataFrame, start: date | str, end: date | str, n: i
 
 def feature_adoption_daily(events: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Day x feature: distinct users and accounts; no event name is left out."""
-    return (events_between(events, start, end)
-            .groupBy(F.col("event_date").alias("activity_date"), F.col("event_name").alias("feature_name"))
-            .agg(F.count_distinct("user_id").alias("feature_users"),
-                 F.count_distinct("account_id").alias("accounts_using")))
+    keys = ["activity_date", "feature_name"]
+    used = events_between(events, start, end).select(
+        F.col("event_date").alias("activity_date"), F.col("event_name").alias("feature_name"), "user_id", "account_id")
+    return distinct_values(used, keys, ["user_id", "account_id"]).groupBy(*keys).agg(
+        count_of("user_id").alias("feature_users"), count_of("account_id").alias("accounts_using"))
 
 
 def feature_adoption_pct(events: DataFrame, start: date | str, end: date | str,

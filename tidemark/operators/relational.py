@@ -79,6 +79,22 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
+def distinct_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(keys, kind, value, n): each distinct value of each column per key, with its row count.
+
+    The base of several distinct counts at once.  Values are unpivoted and grouped with
+    map-side combine; the shuffle is on the values too, so a heavy key is spread by them.
+    """
+    kinds = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in columns])
+    return (df.select(*keys, F.explode(kinds).alias("_v")).select(*keys, "_v.kind", "_v.value")
+            .groupBy(*keys, "kind", "value").agg(F.count("*").alias("n")))
+
+
+def count_of(kind: str) -> Column:
+    """Number of distinct non-null values of ``kind`` among ``distinct_values`` rows."""
+    return F.count(F.when(F.col("kind") == kind, F.col("value")))
+
+
 def latest_value(df: DataFrame, value: str, order: str) -> DataFrame:
     """One row: the value at the greatest ``order``."""
     return df.agg(F.max(order).alias(order), F.max_by(value, order).alias(value))

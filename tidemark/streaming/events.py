@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.functions.dates import instant, micros
 from tidemark.operators.relational import latest_by_key
 
 
@@ -30,8 +31,14 @@ def run_available(df: DataFrame, out: str, mode: str = "append") -> DataFrame:
 
 
 def timed(events: DataFrame, ts: str = "event_timestamp", delay: str = "1 hour") -> DataFrame:
-    """Add the zoned event time ``at`` with its watermark."""
-    return events.withColumn("at", F.col(ts).cast("timestamp")).withWatermark("at", delay)
+    """Add the event time ``at`` with its watermark: the zone-free time read as UTC, so that
+    days begin at midnight in any session zone."""
+    return events.withColumn("at", F.timestamp_micros(micros(F.col(ts)))).withWatermark("at", delay)
+
+
+def _wall(at: Column) -> Column:
+    """Back to the zone-free time."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(at), instant("1970-01-01"))
 
 
 def stream_dedupe(events: DataFrame, keys: Sequence[str] = ("event_id",)) -> DataFrame:
@@ -49,7 +56,7 @@ def stream_daily_engagement(events: DataFrame, ignored: Sequence[str] = ("sessio
     users = (active.withColumn("day", F.window("at", "1 day")).select("day", "account_id", "user_id")
              .dropDuplicates(["day", "account_id", "user_id"]))
     return users.groupBy("day", "account_id").agg(F.count("user_id").alias("dau")).select(
-        F.col("day.start").cast("date").alias("activity_date"), "account_id", "dau")
+        _wall(F.col("day.start")).cast("date").alias("activity_date"), "account_id", "dau")
 
 
 def stream_engagement_approx(events: DataFrame, rsd: float = 0.02,
@@ -59,7 +66,7 @@ def stream_engagement_approx(events: DataFrame, rsd: float = 0.02,
     return active.groupBy(F.window("at", "1 day").alias("day"), "account_id").agg(
         F.approx_count_distinct("user_id", rsd).alias("dau"), F.count("*").alias("event_count"),
         F.approx_count_distinct("session_id", rsd).alias("sessions"),
-    ).select(F.col("day.start").cast("date").alias("activity_date"), "account_id", "dau", "event_count", "sessions")
+    ).select(_wall(F.col("day.start")).cast("date").alias("activity_date"), "account_id", "dau", "event_count", "sessions")
 
 
 def stream_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
@@ -70,7 +77,8 @@ def stream_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return (events.filter(F.col("user_id").isNotNull())
             .groupBy(F.session_window("at", gap).alias("session"), "user_id")
             .agg(F.min("at").alias("session_start"), F.max("at").alias("session_end"), F.count("*").alias("events"))
-            .select("user_id", "session_start", "session_end", "events"))
+            .select("user_id", _wall(F.col("session_start")).alias("session_start"),
+                    _wall(F.col("session_end")).alias("session_end"), "events"))
 
 
 def stream_anomaly(events: DataFrame, baseline: DataFrame, threshold: float = 3.0, window: str = "1 hour",
@@ -83,7 +91,7 @@ def stream_anomaly(events: DataFrame, baseline: DataFrame, threshold: float = 3.
     z = (F.col("events") - F.col("mean_events")) / F.nullif(F.col("sd_events"), F.lit(0.0))
     return (counted.join(baseline, "event_name").withColumn("z_score", z)
             .filter(F.abs("z_score") > threshold)
-            .select(F.col("w.start").alias("window_start"), "event_name", "events", "z_score"))
+            .select(_wall(F.col("w.start")).alias("window_start"), "event_name", "events", "z_score"))
 
 
 def hourly_baseline(events: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from tidemark.operators import governance, history, quality
 from tidemark.operators.quality import Between, NotNull, Unique
 from tidemark.operators.skew import hot_keys
 from tidemark.plans import contracts
+from tidemark.session import work_dir
 from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS
 from workload.context import Registry
 from workload.oracle import FRAGMENTS
@@ -201,7 +202,15 @@ R.add("alert_rules", lambda c: quality.alert_rules(quality.freshness(
     union all select 'sync_lag', 'P2', subject from ages where s > 7200
     union all select 'tier1_test_failure', 'P1', table_name || '.' || test_name from suite
               where tier = 1 and status = 'fail'""")
-R.add("store_failures", lambda c: quality.failing_rows(c.raw["raw_event"], NotNull("account_id")).select("event_id"))
+
+
+def _stored_failures(c):
+    path = work_dir(c.spark, "failures")
+    quality.store_failures(c.raw["raw_event"].select("event_id", "account_id"), NotNull("account_id"), path)
+    return c.spark.read.schema("event_id string, account_id string").parquet(f"{path}/not_null_account_id")
+
+
+R.add("store_failures", _stored_failures, "select event_id, account_id from raw_event where account_id is null")
 R.add("contract_check", lambda c: contracts.contract_check(c.marts.monthly_revenue, contracts.REVENUE).unionByName(
     contracts.contract_check(c.marts.pipeline_snapshot.drop("is_won"), contracts.PIPELINE)), """
     select 'monthly_revenue' as table_name, x as test_name, 1 as tier, cast(0 as bigint) as failures, 'pass' as status
