@@ -74,7 +74,7 @@ def attribution_w(touches: DataFrame, opportunities: DataFrame) -> DataFrame:
     """W-shaped weights: 0.3 each for the first touch, the last touch up to lead creation and
     the last touch up to opportunity creation; the other touches share 0.1.
 
-    ``touches``: touch_id, opportunity_id, touched_at.  ``opportunities``: opportunity_id,
+    ``touches``: touch_id, opportunity_id, touched_at; id and time name a touch.  ``opportunities``: opportunity_id,
     lead_created_at, created_at.  Coinciding milestones add up; missing parts are scaled
     away, so weights sum to 1 per opportunity.  Milestones are aggregates with map-side
     combine, and both joins spread the touches of a heavy opportunity: they are never sorted
@@ -85,16 +85,16 @@ def attribution_w(touches: DataFrame, opportunities: DataFrame) -> DataFrame:
     dates = opportunities.select("opportunity_id", "lead_created_at", F.col("created_at").alias("opp_created_at"))
     dated = spread_join(touches, dates, "opportunity_id", spread_by=["touch_id"], hot=hot)
     marks = dated.groupBy("opportunity_id").agg(
-        F.min_by("touch_id", at).alias("first_touch"),
-        F.max_by("touch_id", F.when(F.col("touched_at") <= F.col("lead_created_at"), at)).alias("lead_touch"),
-        F.max_by("touch_id", F.when(F.col("touched_at") <= F.col("opp_created_at"), at)).alias("opp_touch"),
+        F.min(at).alias("first_touch"),
+        F.max(F.when(F.col("touched_at") <= F.col("lead_created_at"), at)).alias("lead_touch"),
+        F.max(F.when(F.col("touched_at") <= F.col("opp_created_at"), at)).alias("opp_touch"),
         F.count("*").alias("touches"))
     milestones = F.array_distinct(F.array_compact(F.array("first_touch", "lead_touch", "opp_touch")))
     marks = (marks.withColumn("others", F.col("touches") - F.size(milestones))
              .withColumn("total", F.lit(MILESTONE_WEIGHT)
                          * (1 + F.col("lead_touch").isNotNull().cast("int") + F.col("opp_touch").isNotNull().cast("int"))
                          + F.when(F.col("others") > 0, REST_WEIGHT).otherwise(0.0)))
-    hits = sum((F.coalesce((F.col("touch_id") == F.col(c)), F.lit(False)).cast("int")
+    hits = sum((F.coalesce(at == F.col(c), F.lit(False)).cast("int")
                 for c in ("first_touch", "lead_touch", "opp_touch")), F.lit(0))
     joined = spread_join(touches, marks, "opportunity_id", spread_by=["touch_id"], hot=hot).withColumn("hits", hits)
     raw = F.when(F.col("hits") > 0, F.col("hits") * MILESTONE_WEIGHT).otherwise(F.lit(REST_WEIGHT) / F.col("others"))

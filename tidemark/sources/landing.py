@@ -18,6 +18,12 @@ def _write_partitions(df: DataFrame, path: str, column: str) -> None:
      .partitionBy(column).parquet(path))
 
 
+def balanced(df: DataFrame, column: str) -> DataFrame:
+    """Rows gathered by partition value for writing: adaptive execution splits a heavy value
+    over several tasks and joins light ones, so files are few and of even size."""
+    return df.hint("rebalance", F.col(column))
+
+
 def stamp(df: DataFrame, extract_date: date | str, loaded_at: datetime | str) -> DataFrame:
     return df.withColumns({"_extract_date": day(extract_date), "_loaded_at": instant(loaded_at),
                            "dt": day(extract_date)})
@@ -29,7 +35,7 @@ def land_partition(df: DataFrame, path: str, extract_date: date | str, loaded_at
     The manifest row is written after the data: it stands for the success marker, and a
     partition without one is not loadable.  Landing the same day again replaces both.
     """
-    _write_partitions(stamp(df, extract_date, loaded_at), f"{path}/data", "dt")
+    _write_partitions(balanced(stamp(df, extract_date, loaded_at), "dt"), f"{path}/data", "dt")
     done = df.sparkSession.range(1).select(day(extract_date).alias("dt"), instant(loaded_at).alias("completed_at"))
     _write_partitions(done, f"{path}/manifest", "dt")
 
@@ -103,7 +109,7 @@ def backfill_rows(df: DataFrame, column: str, start: date | str, end: date | str
 
 def backfill(df: DataFrame, column: str, path: str, start: date | str, end: date | str, max_days: int = 90) -> None:
     """Rewrite the days of the range and leave all other partitions as they are."""
-    _write_partitions(backfill_rows(df, column, start, end, max_days), path, column)
+    _write_partitions(balanced(backfill_rows(df, column, start, end, max_days), column), path, column)
 
 
 def schema_drift(expected: T.StructType, actual: T.StructType) -> list[tuple[str, str, str | None, str | None, bool]]:
@@ -163,7 +169,7 @@ def overwrite_table(df: DataFrame, path: str) -> None:
 def export_partition(df: DataFrame, column: str, exported_day: date | str, path: str) -> DataFrame:
     """Write one day as its ``dt`` partition and return the exported rows."""
     rows = df.filter(F.col(column) == day(exported_day)).withColumn("dt", F.col(column))
-    _write_partitions(rows, path, "dt")
+    _write_partitions(balanced(rows, "dt"), path, "dt")
     return rows
 
 

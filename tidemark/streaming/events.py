@@ -155,7 +155,7 @@ class BucketedTable:
         self._replace(touched, batch_id, "manifest", ("batch",))
 
     def _replace(self, df: DataFrame, batch_id: int, part: str, by: tuple[str, ...]) -> None:
-        (df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        (df.withColumn("batch", F.lit(batch_id).cast("bigint")).hint("rebalance", F.col("bucket")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{self.path}/{part}"))
 
 

@@ -37,7 +37,7 @@ R.add("land_partition", lambda c: landing.complete_partitions(c.spark, _land(c))
 def _incomplete(c):
     path = _land(c)
     unfinished = landing.stamp(c.raw["raw_opportunity"].select("id", "amount", "close_date"), "2001-08-02", LOADED)
-    unfinished.write.mode("append").partitionBy("dt").parquet(f"{path}/data")
+    landing.balanced(unfinished, "dt").write.mode("append").partitionBy("dt").parquet(f"{path}/data")
     return landing.complete_partitions(c.spark, path)
 
 
@@ -55,7 +55,7 @@ def _event_files(c):
 def _manifest(c):
     path = work_dir(c.spark, "events")
     rows = c.raw["raw_event"].withColumn("dt", F.col("event_date"))
-    rows.write.partitionBy("dt").parquet(f"{path}/data")
+    landing.balanced(rows, "dt").write.partitionBy("dt").parquet(f"{path}/data")
     days = rows.agg(F.explode(F.sequence(F.min("dt"), F.date_add(F.max("dt"), 3))).alias("dt"))
     return landing.landing_manifest(c.spark, path, days).drop("files_found")
 
@@ -103,7 +103,7 @@ R.add("backfill_rows", lambda c: landing.backfill_rows(
 def _backfill(c):
     path = work_dir(c.spark, "backfill")
     rows = c.raw["raw_event"].select("event_id", "event_date", F.lit(1).alias("revision"))
-    rows.write.partitionBy("event_date").parquet(path)
+    landing.balanced(rows, "event_date").write.partitionBy("event_date").parquet(path)
     landing.backfill(rows.withColumn("revision", F.lit(2)), "event_date", path, "2024-01-05", "2024-01-20")
     return c.spark.read.schema("event_id string, revision int, event_date date").parquet(path)
 
