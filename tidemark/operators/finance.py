@@ -54,12 +54,13 @@ def subscription_mrr(subscriptions: DataFrame, customers: DataFrame, accounts: D
                      statuses: Sequence[str] | None = BILLABLE) -> DataFrame:
     """Billable subscriptions with their account and monthly price; one row per subscription.
 
-    The customer-to-account link is built first, from unique keys on both sides, so the
-    large side is joined once and never fans out.
+    The customer-to-account link is built first, one row per customer by its newest record,
+    so the large side is joined once and never fans out.
     """
     billable = subscriptions if statuses is None else status_in(subscriptions, "subscription_status", statuses)
-    known = accounts.select(F.col("account_id"), F.col("account_id").alias("salesforce_account_id")).distinct()
-    link = (customers.select("customer_id", "salesforce_account_id").distinct()
+    known = accounts.select("account_id", F.col("account_id").alias("salesforce_account_id")).distinct()
+    newest = F.max_by("salesforce_account_id", F.struct("created_at", "salesforce_account_id"))
+    link = (customers.groupBy("customer_id").agg(newest.alias("salesforce_account_id"))
             .join(known, "salesforce_account_id", "left").select("customer_id", "account_id"))
     cents = annual_cents(F.col("plan_amount_usd"), F.col("plan_interval"))
     return billable.join(link, "customer_id", "inner").select(

@@ -25,22 +25,23 @@ def drop_soft_deleted(df: DataFrame, flag: str = "is_deleted") -> DataFrame:
     return df.filter(~F.coalesce(F.col(flag), F.lit(False)))
 
 
-def exclude_ids(df: DataFrame, column: str, ids: Sequence[str] | DataFrame) -> DataFrame:
-    """``column NOT IN ids`` with SQL's null rule: a null id is dropped as well.
+def exclude_ids(df: DataFrame, column: str, ids: Sequence[str] | DataFrame, keep_null: bool = False) -> DataFrame:
+    """``column NOT IN ids`` with SQL's null rule: a null id is dropped too, unless ``keep_null``.
 
-    A short list is a pushed-down predicate, anything longer an anti-join whose
-    strategy the optimizer picks from the size of the list.
+    A short list is a pushed-down predicate, anything longer an anti-join whose strategy the
+    optimizer picks from the size of the list.
     """
-    kept = df.filter(F.col(column).isNotNull())
-    if isinstance(ids, DataFrame):
-        return kept.join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column, "left_anti")
-    ids = list(ids)
-    if not ids:
-        return df
-    if len(ids) <= INLINE_IDS:
-        return kept.filter(~F.col(column).isin(ids))
-    listed = df.sparkSession.createDataFrame([(i,) for i in ids], f"`{column}` string")
-    return kept.join(listed, column, "left_anti")
+    given = F.col(column)
+    if not isinstance(ids, DataFrame):
+        ids = list(ids)
+        if not ids:
+            return df
+        if len(ids) <= INLINE_IDS:
+            return df.filter(given.isNull() | ~given.isin(ids)) if keep_null else df.filter(~given.isin(ids))
+        ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"`{column}` string")
+    listed = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
+    kept = df if keep_null else df.filter(given.isNotNull())
+    return kept.join(listed, column, "left_anti").select(*df.columns)
 
 
 def status_in(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.values import attributed_revenue_proxy
 from tidemark.operators import finance, marketing, people, product, sales, staging
+from tidemark.operators.relational import exclude_ids
 from tidemark.session import checkpointed
 
 
@@ -42,9 +43,7 @@ class Marts:
 
     def _real(self, df: DataFrame) -> DataFrame:
         """Drop test accounts; rows without any account stay."""
-        if not self.settings.test_ids:
-            return df
-        return df.filter(F.col("account_id").isNull() | ~F.col("account_id").isin(*self.settings.test_ids))
+        return exclude_ids(df, "account_id", self.settings.test_ids, keep_null=True)
 
     # staging
     @cached_property
