@@ -99,7 +99,7 @@ def pii_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def erase_subjects(df: DataFrame, column: str, subjects: DataFrame) -> DataFrame:
     """Rows of everyone else; rows without a subject id stay."""
-    gone = subjects.select(F.col(subjects.columns[0]).alias(column)).distinct()
+    gone = subjects.select(F.col(subjects.columns[0]).alias(column))
     return df.join(gone, column, "left_anti").select(*df.columns)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.values import normal_email
 from tidemark.operators.relational import latest_by_key
+from tidemark.operators.skew import spread_join
 
 SYSTEMS = ("crm", "billing", "marketing", "product")
 
@@ -15,9 +16,10 @@ def identity_links(accounts: DataFrame, customers: DataFrame, contacts: DataFram
 
     Billing links by the account id in its metadata, marketing by the normalised email of the
     newest customer with it, product by the account id of its events.  Every link is
-    many-to-one, so no group is ever paired with itself.
+    many-to-one, so no group is ever paired with itself; contacts that share one e-mail are
+    spread.
     """
-    known = accounts.select("account_id").distinct()
+    known = accounts.select("account_id")
     crm = known.select("account_id", F.lit("crm").alias("system"), F.col("account_id").alias("external_id"))
     billed = (customers.select(F.col("salesforce_account_id").alias("account_id"), "customer_id",
                                normal_email(F.col("email")).alias("email"), "created_at")
@@ -25,7 +27,9 @@ def identity_links(accounts: DataFrame, customers: DataFrame, contacts: DataFram
     billing = billed.select("account_id", F.lit("billing").alias("system"), F.col("customer_id").alias("external_id"))
     owner = latest_by_key(billed.filter(F.col("email").isNotNull()), ["email"],
                           ["created_at", "customer_id"]).select("email", "account_id")
-    marketing = (contacts.select(normal_email(F.col("email")).alias("email"), "contact_id").join(owner, "email")
+    reachable = contacts.select(normal_email(F.col("email")).alias("email"), "contact_id").filter(
+        F.col("email").isNotNull())
+    marketing = (spread_join(reachable, owner, "email", spread_by=["contact_id"])
                  .select("account_id", F.lit("marketing").alias("system"), F.col("contact_id").alias("external_id")))
     users = (events.filter(F.col("account_id").isNotNull() & F.col("user_id").isNotNull())
              .select("account_id", "user_id").distinct().join(known, "account_id", "left_semi"))

@@ -245,12 +245,15 @@ def activation_rate(events: DataFrame, start: date | str, end: date | str, signu
 
 def exclude_bots(events: DataFrame, start: date | str, end: date | str, internal_users: DataFrame,
                  max_per_hour: int, user: str = "user_id", ts: str = "event_timestamp") -> DataFrame:
-    """Events without listed users and without users above ``max_per_hour`` in any clock hour."""
+    """Events without listed users and without users above ``max_per_hour`` in any clock hour.
+
+    The anti-join spreads the events of heavy users, bots above all.
+    """
     scoped = events_between(events, start, end)
     fast = (scoped.filter(F.col(user).isNotNull()).groupBy(user, F.date_trunc("hour", ts).alias("_hour"))
-            .agg(F.count("*").alias("n")).filter(F.col("n") > max_per_hour).select(user))
-    unwanted = fast.unionByName(internal_users.select(user)).distinct()
-    return scoped.join(unwanted, user, "left_anti")
+            .agg(F.count("*").alias("n")).filter(F.col("n") > max_per_hour).select(user).distinct())
+    unwanted = fast.unionByName(internal_users.select(user))
+    return spread_join(scoped, unwanted, user, "left_anti", spread_by=[ts])
 
 
 def match_rate(events: DataFrame, accounts: DataFrame, start: date | str, end: date | str,

@@ -39,7 +39,7 @@ def exclude_ids(df: DataFrame, column: str, ids: Sequence[str] | DataFrame, keep
         if len(ids) <= INLINE_IDS:
             return df.filter(given.isNull() | ~given.isin(ids)) if keep_null else df.filter(~given.isin(ids))
         ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"`{column}` string")
-    listed = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
+    listed = ids.select(F.col(ids.columns[0]).alias(column))
     kept = df if keep_null else df.filter(given.isNotNull())
     return kept.join(listed, column, "left_anti").select(*df.columns)
 

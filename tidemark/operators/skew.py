@@ -29,7 +29,8 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
                 spread_by: Sequence[str] = (), hot: DataFrame | None = None) -> DataFrame:
     """Join on ``key`` with the heavy keys of ``left`` spread over ``salts`` tasks.
 
-    Rows of ``right`` are repeated ``salts`` times for heavy keys only.  Each left row meets
+    Rows of ``right`` are repeated ``salts`` times for heavy keys only; left rows without a key
+    match nothing and are spread as well.  Each left row meets
     all of its right rows under its own salt, so inner, left, left_semi and left_anti joins
     come out as without the salt.  The adaptive skew join does the same at run time, but not
     where an aggregate on the same key follows; this one always applies.
@@ -41,7 +42,8 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     scatter = [F.col(c) for c in (spread_by or left.columns)]
     zero = F.lit(0).cast("bigint")
     many = (left.join(heavy, key, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*scatter), F.lit(salts))).otherwise(zero))
+            .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(*scatter), F.lit(salts)))
+                        .otherwise(zero))
             .drop("_hot"))
     copies = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(zero))
     few = right.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -83,7 +83,7 @@ def copy_into(df: DataFrame, target: str) -> DataFrame:
 
 def copy_once(batch: DataFrame, history: DataFrame, file_column: str = "file_path") -> DataFrame:
     """Rows of files that ``history`` (one row per loaded file) does not list."""
-    return batch.join(history.select(file_column).distinct(), file_column, "left_anti").select(*batch.columns)
+    return batch.join(history.select(file_column), file_column, "left_anti").select(*batch.columns)
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], updated_at: str) -> DataFrame:

@@ -72,7 +72,9 @@ def stream_engagement_approx(events: DataFrame, rsd: float = 0.02,
 def stream_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     """Sessions per user, appended once the gap has passed.
 
-    Two events exactly one gap apart share a session, as in the batch form.
+    Two events exactly one gap apart share a session, as in the batch form.  For very active
+    users set ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``, which
+    merges sessions before the shuffle.
     """
     return (events.filter(F.col("user_id").isNotNull())
             .groupBy(F.session_window("at", gap).alias("session"), "user_id")
@@ -135,7 +137,8 @@ class BucketedTable:
     def read(self, before: int | None = None) -> DataFrame:
         """Current rows; ``before`` leaves out that batch and later ones."""
         rows = self.spark.read.schema(f"{self.schema}, bucket int, batch bigint").parquet(f"{self.path}/data")
-        return rows.join(self._versions(before), ["bucket", "batch"], "left_semi")
+        # One version per bucket: safe to broadcast, and it prunes the folders that are read.
+        return rows.join(F.broadcast(self._versions(before)), ["bucket", "batch"], "left_semi")
 
     def prepare(self) -> None:
         """Create the folders, so that the first batch reads an empty table."""
@@ -148,7 +151,7 @@ class BucketedTable:
         """Rewrite the touched buckets with the newest row per key."""
         incoming = batch.withColumn("bucket", self._bucket())
         touched = incoming.select("bucket").distinct()
-        stored = self.read(batch_id).drop("batch").join(touched, "bucket", "left_semi")
+        stored = self.read(batch_id).drop("batch").join(F.broadcast(touched), "bucket", "left_semi")
         rest = [c for c in batch.columns if c not in self.keys and c not in self.order]
         newest = latest_by_key(stored.unionByName(incoming), self.keys, [*self.order, *rest, "bucket"])
         self._replace(newest, batch_id, "data", ("batch", "bucket"))
