@@ -103,6 +103,19 @@ def rolling_distinct(events: DataFrame, start: date | str, end: date | str, n: i
     return daily.select(*by, "activity_date", F.sum("change").over(to_date).alias("mau"))
 
 
+def rolling_distinct_approx(events: DataFrame, start: date | str, end: date | str, n: int = 30,
+                            by: Sequence[str] = (), user: str = "user_id", lg_k: int = 12) -> DataFrame:
+    """``rolling_distinct`` with HyperLogLog sketches: one per day, merged over the days it reaches.
+
+    Only sketches are repeated ``n`` times, never events or users.
+    """
+    daily = (events_between(events, start, end).filter(F.col(user).isNotNull())
+             .groupBy(*by, F.col("event_date").alias("opens")).agg(F.hll_sketch_agg(user, F.lit(lg_k)).alias("sketch")))
+    reach = periods(F.col("opens"), F.least(F.date_add("opens", n - 1), day(end)))
+    return (daily.select(*by, "sketch", F.explode(reach).alias("activity_date")).groupBy(*by, "activity_date")
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("mau")))
+
+
 def feature_adoption_daily(events: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Day x feature: distinct users and accounts; no event name is left out."""
     keys = ["activity_date", "feature_name"]

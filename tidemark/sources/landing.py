@@ -64,7 +64,7 @@ def landing_manifest(spark: SparkSession, path: str, expected: DataFrame) -> Dat
 def copy_into(df: DataFrame, target: str) -> DataFrame:
     """Fit a batch to the target schema (DDL): columns by name in any case, missing ones null.
 
-    Casts are ANSI casts: one bad value aborts the load.
+    Casts are ANSI casts (the session default): one bad value aborts the load.
     """
     wanted = T.StructType.fromDDL(target) if isinstance(target, str) else target
     given: dict[str, str] = {}
