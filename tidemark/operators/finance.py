@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.dates import day, instant, period_start, periods
-from tidemark.functions.values import MONEY, annual_cents, monthly_usd, ratio, yearly_usd
+from tidemark.functions.values import annual_cents, monthly_usd, ratio, yearly_usd
 from tidemark.operators.relational import growth_rate, status_in
 from tidemark.operators.skew import spread_join
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS, BINDINGS, SPINE_START, TEST_ACCOUNTS
+from workload.bindings import AS_OF_ORDERS, BINDINGS, SPINE_START, TEST_ACCOUNTS
 
 _TESTS = ", ".join(f"'{i}'" for i in TEST_ACCOUNTS)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import finance, marketing, sales
+from tidemark.operators import marketing, sales
 from workload.bindings import AS_OF_ORDERS
 from workload.context import AS_DEFINED, Registry
 from tidemark.plans.marts import Marts
