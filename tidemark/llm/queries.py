@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, tokens
+from tidemark.llm import mixing, packing, substrings, tokens
 from tidemark.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -30,10 +30,15 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(read(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"), length=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op5_mix_sources": op5_mix_sources,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {}
