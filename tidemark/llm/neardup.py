@@ -282,7 +282,8 @@ def _block_links(apart: DataFrame, classes: DataFrame, items: DataFrame, percent
     every = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     wanted = ["key", "lb", "rb", "c", "comp", "band", "bands", "sketch", "items"]
     left = full.filter("comp != main").withColumn("lb", slot).withColumn("rb", F.explode(every)).select(*wanted)
-    right = full.withColumn("rb", slot).withColumn("lb", F.explode(every)).select(*wanted)
+    # New column identities, as both sides come from one table.
+    right = full.withColumn("rb", slot).withColumn("lb", F.explode(every)).select(*wanted).toDF(*wanted)
     return (left.groupBy("key", "lb", "rb").cogroup(right.groupBy("key", "lb", "rb"))
             .applyInPandas(_blocks(percent, limit), "a bigint, b bigint").distinct())
 
