@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, neardup, packing, substrings, tokens
+from tidemark.llm import fingerprints, mixing, neardup, packing, substrings, tokens
 from tidemark.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(read(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
 
 
+def op8_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op5_mix_sources": op5_mix_sources,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_weighted_fingerprints": op8_weighted_fingerprints,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
