@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,15 +11,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import filled, replaced
+from tidemark.session import checkpointed
 
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 1_000_000
+# Fixed marks: a run of them after a letter or digit is a token run of its own.
+_MARKS = b".,;:!?"
+# Words of these letters alone are in composed form, have plain lower-case forms, and are not split further.
+_LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes themselves, others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b) if b in own else chr(next(rest)) for b in range(256)}
 
 
 class WordIds(dict):
     """The ids of blank-separated words as little-endian 32-bit numbers, each word encoded once.
 
-    Right for vocabularies that drop white space before they merge: a text's ids are then
-    its words' ids in a row.  Bounded: a full cache starts again.
+    Right for byte-level vocabularies that fold case and drop white space before they merge: a text's ids
+    are then its words' ids in a row, and a word's are those of its core in lower case and of the
+    marks after it.  Plain cores go to the merges at once, all others through the whole
+    tokenizer.  Bounded: a full cache starts again.
     """
 
     def __init__(self, path: str):
@@ -26,16 +41,34 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: list[bytes]) -> None:
-        new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > _CACHED_WORDS:
+        self._merge = self._tokenizer.model.tokenize
+        self._ids = [n.to_bytes(4, "little") for n in range(self._tokenizer.get_vocab_size())]
+        self._letters = _byte_letters()
+
+    def __missing__(self, word: bytes) -> bytes:
+        # A special token is one only as it is spelt.
+        core = word if b"<|" in word else word.lower()
+        tail = core[len(core.rstrip(_MARKS)):]
+        if tail and core[-len(tail) - 1: -len(tail)].isalnum():
+            ids = self[core[: -len(tail)]] + self[tail]
+        elif core != word:
+            ids = self[core]
+        else:
+            ids = self._encoded(word)
+        if len(self) >= _CACHED_WORDS:
             self.clear()
-            new = list(set(words))
-        encoded = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new],
-                                                    add_special_tokens=False)
-        for word, e in zip(new, encoded):
-            self[word] = np.asarray(e.ids, dtype="<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def _encoded(self, word: bytes) -> bytes:
+        if word.isalpha():
+            letters = word.decode()
+        else:
+            text = word.decode("utf-8", "replace")
+            if not _LETTERS.fullmatch(text):
+                return b"".join([self._ids[n] for n in self._tokenizer.encode(text, add_special_tokens=False).ids])
+            letters = text.lower().encode().decode("latin-1").translate(self._letters)
+        return b"".join([self._ids[t.id] for t in self._merge(letters)])
 
 
 _caches: dict[str, WordIds] = {}
@@ -49,12 +82,7 @@ def encoder(path: str) -> Callable[[bytes], bytes]:
         cache = _caches[path] = WordIds(path)
 
     def encode(text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            cache.learn(words)
-            return b"".join(map(cache.__getitem__, words))
+        return b"".join(map(cache.__getitem__, text.split()))
 
     return encode
 
@@ -73,8 +101,9 @@ def token_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def length_histogram(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``n_tokens, documents``: how many documents have each encoded length."""
-    return token_counts(docs, path, text).groupBy("n_tokens").agg(F.count("*").alias("documents"))
+    """``n_tokens, documents``: how many documents have each encoded length.  Texts are encoded once."""
+    counted = token_counts(docs, path, text).groupBy("n_tokens").agg(F.count("*").alias("documents"))
+    return checkpointed(counted, "lengths")
 
 
 _BLOCK = 1024
