@@ -62,3 +62,18 @@ def filled(batch: pa.RecordBatch, column: str) -> pa.Array:
     if texts.type != pa.string():
         texts = texts.cast(pa.string())
     return texts.fill_null("") if texts.null_count else texts
+
+
+# Bytes of lists that may be broadcast to join documents; larger lists are shuffled with the documents.
+BROADCAST_BYTES = 64 << 20
+
+
+def join_documents(docs: DataFrame, lists: DataFrame, how: str, item_bytes: int) -> DataFrame:
+    """Join documents (``d`` id, ``h`` hash of the text) with a ``list`` per document.
+
+    The lists are broadcast after a look at their size, else shuffled with the documents.
+    """
+    size = lists.agg(F.sum(F.size("list") * item_bytes + 64)).first()[0] or 0
+    few = lists.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "list")
+    return docs.join(F.broadcast(few) if size <= BROADCAST_BYTES else few,
+                     F.col("d").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), how).drop("_d", "_h")

@@ -28,7 +28,7 @@ PICKED = 1_000_000
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
     """Sorted distinct shingles of each text; one shingle for a text of fewer words, none without words."""
-    hashed = Hashed(data, FOLDED)
+    hashed = Hashed(FOLDED[data])
     begin, end, text = word_ranges(data, offsets)
     words = mix(hashed.ranges(begin, end))
     values, of = shingles(words, text, width)

@@ -45,22 +45,54 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hashed:
-    """Range hashes of one buffer."""
+    """Range hashes of one sequence of 64-bit numbers."""
 
-    def __init__(self, data: np.ndarray, table: np.ndarray = BYTE):
-        power, self._back = _grown(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * power[: len(data)], out=self._sums[1:])
+    def __init__(self, values: np.ndarray):
+        power, self._back = _grown(len(values) + 1)
+        self._sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * power[: len(values)], out=self._sums[1:])
 
     def ranges(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self._sums[end] - self._sums[begin]) * self._back[begin]
 
     def grams(self, k: int) -> np.ndarray:
-        """The hash of the ``k`` bytes from each position on."""
+        """The hash of the ``k`` numbers from each position on."""
         n = len(self._sums) - k
         return (self._sums[k:] - self._sums[:n]) * self._back[:n]
 
 
+_POSITION_BITS = np.uint64(27)
+
+
+def least_runs(grams: np.ndarray, wide: int, offsets: np.ndarray, length: int):
+    """Runs of windows of ``wide`` grams (``length`` items) that have the same least gram, the leftmost of equals.
+
+    ``offsets`` tell where each text begins and ends among the items; no window leaves its text.  Returns
+    text number, first window, number of windows and place of the least gram, per run.
+    """
+    none = np.zeros(0, np.int64)
+    if len(grams) < wide:
+        return none, none, none, none
+    # The high bits of the hash decide, then the position: one number to take minima of.
+    low = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
+    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    step = 1
+    while step * 2 <= wide:
+        least = np.minimum(least[:-step], least[step:])
+        step *= 2
+    if step < wide:
+        least = np.minimum(least[: len(least) - (wide - step)], least[wide - step:])
+    place = (least & low).astype(np.int64)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(place)]
+    valid = np.arange(len(place)) + length <= offsets[1:][text]
+    fresh = np.ones(len(place), bool)
+    fresh[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(fresh & valid)
+    stops = np.append(np.flatnonzero(fresh | ~valid), len(place))
+    windows = stops[np.searchsorted(stops, first, side="right")] - first
+    return text[first], first, windows, place[first]
+
+
 def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin, end and text number of every word; words never cross texts."""
     n = len(data)
@@ -79,13 +111,19 @@ def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return begin, end, np.searchsorted(ends, begin, side="right")
 
 
-def shingles(words: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every run of ``width`` words within one text."""
+def word_grams(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` words, those across texts included."""
     n = len(words) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     total = np.zeros(n, np.uint64)
     for k, factor in enumerate(numbers(width, 2) | np.uint64(1)):
         total += mix(words[k: k + n] + np.uint64(k + 1)) * factor
-    inside = text[:n] == text[width - 1:]
-    return mix(total[inside]), text[:n][inside]
+    return mix(total)
+
+
+def shingles(words: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every run of ``width`` words within one text."""
+    grams = word_grams(words, width)
+    inside = text[: len(grams)] == text[width - 1: width - 1 + len(grams)]
+    return grams[inside], text[: len(grams)][inside]

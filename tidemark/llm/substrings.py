@@ -26,19 +26,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import filled, parts_for, text_bytes, text_slices
+from tidemark.llm.common import filled, join_documents, parts_for, text_bytes, text_slices
 from tidemark.llm.grouping import common_prefixes, suffix_array
-from tidemark.llm.rolling import BYTE, Hashed, numbers
+from tidemark.llm.rolling import BYTE, Hashed, least_runs, numbers
 from tidemark.session import checkpointed
 
 _ANCHORS = "k bigint, s bigint, d bigint, h bigint, at bigint"
 _SEGMENTS = "k bigint, s bigint, n bigint, u bigint, d bigint, h bigint, at bigint, bytes binary"
 _MARKS = "d bigint, h bigint, begin bigint, end bigint, w1 bigint, w2 bigint"
-_POSITION_BITS = np.uint64(27)
-# Bytes of lists that may be broadcast to join documents; larger lists are shuffled with the documents.
-BROADCAST_BYTES = 64 << 20
 # Different segments around one anchor that one shard takes; more are split.
-GROUP = 512
+GROUP = 8192
 SHARD = 1500
 _OTHER = numbers(256, 7)
 
@@ -53,31 +50,13 @@ def _unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def segments_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int):
     """Text number, anchor hash, segment hash, start in the text, windows, and place of the anchor, per segment."""
-    none = np.zeros(0, np.int64)
     if len(data) < length:
+        none = np.zeros(0, np.int64)
         return none, none.view(np.uint64), none.view(np.uint64), none, none, none
-    hashed = Hashed(data)
+    hashed = Hashed(BYTE[data])
     grams = hashed.grams(k)
-    # The high bits of the hash decide, then the position: one number to take minima of.
-    low = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
-    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    wide, step = length - k + 1, 1
-    while step * 2 <= wide:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    if step < wide:
-        least = np.minimum(least[: len(least) - (wide - step)], least[wide - step:])
-    anchor = (least & low).astype(np.int64)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(anchor)]
-    valid = np.arange(len(anchor)) + length <= offsets[1:][text]
-    fresh = np.ones(len(anchor), bool)
-    fresh[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-    lo = np.flatnonzero(fresh & valid)
-    stops = np.append(np.flatnonzero(fresh | ~valid), len(anchor))
-    windows = stops[np.searchsorted(stops, lo, side="right")] - lo
-    place = anchor[lo]
-    of = text[lo]
-    return (of, grams[place], hashed.ranges(lo, lo + windows + length - 1), lo - offsets[of], windows, place - lo)
+    of, lo, windows, place = least_runs(grams, length - k + 1, offsets, length)
+    return of, grams[place], hashed.ranges(lo, lo + windows + length - 1), lo - offsets[of], windows, place - lo
 
 
 def _anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -175,7 +154,7 @@ def _matched(length: int, k: int):
             i = members[0]
             if split[i]:
                 data = np.frombuffer(texts[i], np.uint8)
-                one, two = Hashed(data), Hashed(data, _OTHER)
+                one, two = Hashed(BYTE[data]), Hashed(_OTHER[data])
                 x = np.arange(most)
                 h1, h2 = (t.ranges(x, x + length).view(np.int64).tolist() for t in (one, two))
                 for x, hit in enumerate(flags.tolist()):
@@ -187,14 +166,6 @@ def _matched(length: int, k: int):
     return run
 
 
-def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """Join documents with one list per document: broadcast after its size is looked at, else shuffled."""
-    size = lists.agg(F.sum(F.size("list") * 40 + 64)).first()[0] or 0
-    few = lists.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "list")
-    return docs.join(F.broadcast(few) if size <= BROADCAST_BYTES else few,
-                     F.col("d").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), how).drop("_d", "_h")
-
-
 def _cut_out(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,8 +184,15 @@ def _cut_out(length: int):
     return run
 
 
-def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100) -> DataFrame:
-    """``d, h, list``: per document with repeats the spans (begin, end) of its repeated windows, unmerged.
+def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = [[x for span in _merged(spans) for x in span] for spans in batch.column(2).to_pylist()]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int64()))],
+                              names=["d", "h", "list"])
+
+
+def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100, group: int = GROUP) -> DataFrame:
+    """``d, h, list``: per document with repeats the begin and end of each of its maximal repeated runs, in a row.
 
     ``keyed`` has ``d`` (id), ``h`` (hash of the text) and ``text``.  Rows alike in id and text are
     copies of one another, so their spans are the same.
@@ -234,12 +212,12 @@ def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100) -> DataFra
     mixed = segments.join(groups, "k").select("k", "s", "n", "u", "one.*")
     lists = checkpointed(mixed.groupBy("d", "h").agg(F.collect_list(F.struct("k", "s", "n", "u", "at")).alias("list")),
                          "wanted")
-    texts = checkpointed(_with_lists(keyed, lists, "inner").select("d", "h", "text", "list")
+    texts = checkpointed(join_documents(keyed, lists, "inner", 48).select("d", "h", "text", "list")
                          .mapInArrow(_cut_out(length), _SEGMENTS), "texts")
     n = texts.count()
-    blocks = F.ceil(F.col("u") / GROUP)
-    salt = F.when(F.col("u") > GROUP, F.pmod(F.xxhash64("s"), blocks)).otherwise(F.lit(-1))
-    shard = F.when(F.col("u") > GROUP, F.xxhash64("k", salt)).otherwise(
+    blocks = F.ceil(F.col("u") / group)
+    salt = F.when(F.col("u") > group, F.pmod(F.xxhash64("s"), blocks)).otherwise(F.lit(-1))
+    shard = F.when(F.col("u") > group, F.xxhash64("k", salt)).otherwise(
         F.pmod(F.xxhash64("k"), F.lit(parts_for(n, SHARD))))
     marks = checkpointed(
         texts.dropDuplicates(["k", "s"]).withColumn("salt", salt).withColumn("shard", shard)
@@ -249,7 +227,8 @@ def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100) -> DataFra
         .agg(F.count("*").alias("c"), F.collect_list(F.when(F.col("begin").isNotNull(), F.struct("d", "h", "begin"))).alias("own"))
         .filter("c > 1").select(F.explode("own").alias("o")).select("o.d", "o.h", "o.begin", (F.col("o.begin") + length).alias("end")))
     spans = whole.unionByName(marks.filter("end is not null").select("d", "h", "begin", "end")).unionByName(across)
-    return spans.groupBy("d", "h").agg(F.collect_list(F.struct("begin", "end")).alias("list"))
+    listed = spans.groupBy("d", "h").agg(F.collect_list(F.struct("begin", "end")).alias("list"))
+    return listed.mapInArrow(_merge_lists, "d bigint, h bigint, list array<bigint>")
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -274,13 +253,13 @@ def _cut(keep: bool):
             ids = batch.column(batch.schema.get_field_index("d")).to_pylist()
             for d, text, spans in zip(ids, filled(batch, "text"), spans_of):
                 data, at, parts = text.as_buffer().to_pybytes(), 0, []
-                merged = _merged(spans or [])
-                for begin, end in merged:
+                spans = spans or []
+                for begin, end in zip(spans[::2], spans[1::2]):
                     parts.append(data[at: begin])
                     at = end
                 parts.append(data[at:])
                 kept = b"".join(parts)
-                rows.append((d, len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
+                rows.append((d, len(data), len(data) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest()))
                 if keep:
                     kept_bytes.append(kept)
             columns = list(zip(*rows)) or [()] * 5
@@ -295,7 +274,7 @@ def _cut(keep: bool):
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, k: int = 100, doc_id: str = "doc_id", text: str = "text",
-                   keep: bool = False) -> DataFrame:
+                   keep: bool = False, group: int = GROUP) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row; with ``keep`` also the remaining bytes.
 
     A null text is empty, a null id stays null, texts shorter than ``length`` keep everything,
@@ -304,5 +283,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = 100, doc_id: str
     """
     keyed = docs.select(F.col(doc_id).cast("bigint").alias("d"), F.xxhash64(F.col(text)).alias("h"),
                         F.col(text).alias("text"))
-    spans = checkpointed(repeated_spans(keyed, length, k), "spans")
-    return _with_lists(keyed, spans, "left").mapInArrow(_cut(keep), _CUT + (", kept binary" if keep else ""))
+    spans = checkpointed(repeated_spans(keyed, length, k, group), "spans")
+    return join_documents(keyed, spans, "left", 8).mapInArrow(_cut(keep), _CUT + (", kept binary" if keep else ""))
