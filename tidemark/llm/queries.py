@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, mixing, neardup, packing, substrings, tokens
+from tidemark.llm import fingerprints, mixing, neardup, packing, paragraphs, substrings, tokens
 from tidemark.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(read(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_paragraph_dedup": op3_paragraph_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_weighted_fingerprints": op8_weighted_fingerprints,
