@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fingerprints, mixing, neardup, packing, paragraphs, substrings, tokens
+from tidemark.llm import fingerprints, mixing, neardup, neighbours, packing, paragraphs, substrings, tokens
 from tidemark.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read(spark, sf_dir, "documents"))
 
 
+def op6_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(read(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_paragraph_dedup": op3_paragraph_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_graph_neighbours": op6_graph_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_weighted_fingerprints": op8_weighted_fingerprints,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
