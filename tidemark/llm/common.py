@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,16 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package from where the driver has it."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fingerprints, mixing, neardup, neighbours, packing, paragraphs, substrings, tokens
+from tidemark.llm import fingerprints, mixing, neardup, neighbours, packing, paragraphs, substrings, tokens, toxicity
 from tidemark.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def vocabulary(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_limits(tokens.length_histogram(read(spark, sf_dir, "documents"), vocabulary()))
 
@@ -51,6 +55,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_string_kernel_toxicity": op1_string_kernel_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_paragraph_dedup": op3_paragraph_dedup,
     "op5_mix_sources": op5_mix_sources,
