@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import fingerprints, mixing, neardup, neighbours, packing, paragraphs, substrings, tokens, toxicity
+from tidemark.llm import fingerprints, mixing, neardup, neighbours, packing, paragraphs, substrings, tokens, toxicity, urls
 from tidemark.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -30,6 +30,14 @@ def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/"))
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read(spark, sf_dir, "documents"))
 
@@ -58,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_string_kernel_toxicity": op1_string_kernel_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_paragraph_dedup": op3_paragraph_dedup,
+    "op4_url_rules": op4_url_rules,
     "op5_mix_sources": op5_mix_sources,
     "op6_graph_neighbours": op6_graph_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
