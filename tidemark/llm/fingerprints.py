@@ -23,19 +23,23 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
 
 
 def draws(term: str, block: str) -> dict[str, Column]:
-    """``r``, ``logc`` and ``b`` of each sample of a block: Gamma(2, 1), the logarithm of another, and a uniform number."""
+    """``h`` (a hash of its own), ``r``, ``logc`` and ``b`` of each sample of a block for a term.
+
+    ``r`` is drawn from Gamma(2, 1), ``logc`` is the logarithm of another such draw, and ``b`` is uniform.
+    """
     found = {}
     for j in range(PER_BLOCK):
-        one = F.xxhash64(F.col(term), F.col(block), F.lit(2 * j))
-        two = F.xxhash64(F.col(term), F.col(block), F.lit(2 * j + 1))
+        one = F.xxhash64(F.col(term), F.col(block) * PER_BLOCK + j)
+        two = F.xxhash64(one)
+        found[f"h{j}"] = one
         found[f"r{j}"] = F.negative(F.ln(_uniform(one, 0, 32) * _uniform(one, 32, 32)))
         found[f"logc{j}"] = F.ln(F.negative(F.ln(_uniform(two, 0, 24) * _uniform(two, 24, 24))))
         found[f"b{j}"] = _uniform(two, 48, 16)
     return found
 
 
-def sample_key(j: int, term: str, block: str, log_weight: Column) -> Column:
-    """What a term bids for sample ``j``; the least bid of a set is its sample.
+def sample_key(j: int, log_weight: Column) -> Column:
+    """What a term bids for sample ``j`` of its block; the least bid of a set is its sample.
 
     With t = floor(ln w / r + b) the bid's size is ln a = ln c - r (t - b + 1), and the sample is (term, t).
     The high 31 bits hold the size, the low 32 bits a name of (term, t), equal for equal samples.
@@ -44,7 +48,7 @@ def sample_key(j: int, term: str, block: str, log_weight: Column) -> Column:
     size = F.col(f"logc{j}") - F.col(f"r{j}") * (t - F.col(f"b{j}") + F.lit(1.0))
     fixed = F.least(F.greatest(((size + F.lit(_ZERO)) * F.lit(_ONE)).cast("bigint"), F.lit(0).cast("bigint")),
                     F.lit(_TOP).cast("bigint"))
-    name = F.xxhash64(F.col(term), F.col(block), F.lit(j), t).bitwiseAND(F.lit(_LOW).cast("bigint"))
+    name = F.xxhash64(F.col(f"h{j}"), t).bitwiseAND(F.lit(_LOW).cast("bigint"))
     # least and greatest pass over nulls, so a term without a weight is left out here.
     return F.when(log_weight.isNotNull(), F.shiftleft(fixed, 32).bitwiseOR(name))
 
@@ -56,13 +60,21 @@ def signatures(terms: DataFrame, keys: list[str], weights: list[str]) -> DataFra
     empty set.  Two sets agree in each sample with a chance of their generalised Jaccard similarity.
     """
     blocked = terms.withColumn("block", F.explode(F.lit(list(range(BLOCKS)))))
-    drawn = blocked.select(*keys, "term", "block", *[F.ln(F.when(F.col(w) > 0, F.col(w))).alias(f"log_{w}") for w in weights],
-                           *[c.alias(name) for name, c in draws("term", "block").items()])
-    least = drawn.groupBy(*keys, "block").agg(*[
-        F.min(sample_key(j, "term", "block", F.col(f"log_{w}"))).alias(f"{w}_{j}") for w in weights for j in range(PER_BLOCK)])
+    logs = [F.ln(F.when(F.col(w) > 0, F.col(w))).alias(f"log_{w}") for w in weights]
+    drawn = blocked.select(*keys, "block", *logs, *[c.alias(name) for name, c in draws("term", "block").items()])
+    head = weights[0]
+    bids = [sample_key(j, F.col(f"log_{head}")).alias(f"{head}_{j}") for j in range(PER_BLOCK)]
+    first = drawn.select("*", *bids)
+    least = [F.min(f"{head}_{j}").alias(f"{head}_{j}") for j in range(PER_BLOCK)]
+    for w in weights[1:]:
+        # An equal weight makes an equal bid.
+        same = F.col(f"log_{w}") == F.col(f"log_{head}")
+        least += [F.min(F.when(same, F.col(f"{head}_{j}")).otherwise(sample_key(j, F.col(f"log_{w}")))).alias(f"{w}_{j}")
+                  for j in range(PER_BLOCK)]
+    made = first.groupBy(*keys, "block").agg(*least)
     names = {w: F.array(*[(F.col(f"{w}_{j}").bitwiseAND(F.lit(_LOW).cast("bigint")) - F.lit(1 << 31)).cast("int")
                           for j in range(PER_BLOCK)]) for w in weights}
-    whole = least.select(*keys, F.struct("block", *[c.alias(w) for w, c in names.items()]).alias("part"))
+    whole = made.select(*keys, F.struct("block", *[c.alias(w) for w, c in names.items()]).alias("part"))
     listed = whole.groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
     return listed.select(*keys, *[F.flatten(F.col(f"parts.{w}")).alias(w) for w in weights])
 

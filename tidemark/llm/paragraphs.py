@@ -4,10 +4,11 @@ A paragraph is any run of 50 words, wherever it stands, so passages inside longe
 paragraphs are alike when the sets of their five-word shingles, aligned on a common shingle, have a Jaccard
 similarity of at least 0.8 (equal, or one word replaced).
 
-1. Bands.  Each of three hash functions picks the least shingle of every paragraph.  Neighbours mostly
-   share their pick, so a text falls into few runs of paragraphs with one pick, about one per 23 words
-   and band.  Equal paragraphs always collide, those at a similarity of 0.8 miss all bands of one
-   paragraph with a chance of 0.008, and a passage of more than 50 words has several.
+1. Bands.  Two bands of two hash functions; each function picks the least shingle of every paragraph.
+   Neighbours mostly share their picks, so a text falls into few runs of paragraphs with one pair of picks, about one
+   per 12 words and band.  Equal paragraphs always collide; those at a similarity of 0.8 miss both
+   bands of one paragraph with a chance of 0.13, and a passage of more than 50 words has several.  (Bands of one
+   function would miss less, but every common sentence would make a candidate.)
 2. Runs that are equal as a whole form one node, counted with partial aggregates.
 3. Different runs around one pick meet in shards and are verified: neighbours in the order of the words after and
    before the pick, and the first run of all, are compared word by word.  That is linear in the
@@ -30,8 +31,8 @@ from tidemark.llm.components import components
 from tidemark.llm.rolling import FOLDED, Hashed, least_runs, mix, numbers, word_grams, word_ranges
 from tidemark.session import checkpointed
 
-WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 3, 80
-_SEEDS = numbers(BANDS, 11)
+WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 2, 80
+_SEEDS = numbers(2 * BANDS, 11).reshape(BANDS, 2)
 _LEFT, _RIGHT = WORDS - SHINGLE, WORDS
 _SIDE = (WORDS - SHINGLE) // 2
 GROUP, SHARD = 8192, 4000
@@ -58,14 +59,16 @@ def _runs(docs: DataFrame) -> DataFrame:
             for begin, end in text_slices(texts):
                 words, _, _, offsets = _words(texts.slice(begin, end - begin))
                 grams, whole = word_grams(words, SHINGLE), Hashed(words)
-                for seed in _SEEDS:
-                    picked = mix(grams ^ seed)
-                    of, lo, windows, place = least_runs(picked, WORDS - SHINGLE + 1, offsets, WORDS)
-                    s = mix(whole.ranges(lo, lo + windows + WORDS - 1) + picked[place])
+                for seeds in _SEEDS:
+                    one, two = (mix(grams ^ seed) for seed in seeds)
+                    of, lo, windows, (place, other) = least_runs([one, two], WORDS - SHINGLE + 1, offsets, WORDS)
+                    k = mix(one[place] + mix(two[other]))
+                    s = mix(whole.ranges(lo, lo + windows + WORDS - 1) + k)
+                    # The runs are aligned on the first function's pick.
                     at = ((lo - offsets[of]) << 16) | (windows << 8) | (place - lo)
                     rows = pa.array(of + begin)
                     yield pa.record_batch(
-                        [pa.array(picked[place].view(np.int64)), pa.array(s.view(np.int64)), batch.column(0).take(rows),
+                        [pa.array(k.view(np.int64)), pa.array(s.view(np.int64)), batch.column(0).take(rows),
                          batch.column(1).take(rows), pa.array(at)], names=["k", "s", "d", "h", "at"])
 
     return docs.mapInArrow(run, _RUNS)
@@ -112,6 +115,7 @@ def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 def _verified(rows: pd.DataFrame) -> pd.DataFrame:
     """Marked paragraphs (``s, x, y``: a run of them) and links (``s, other``) of a shard's runs."""
+    rows = rows.drop_duplicates(["k", "s"])
     at = rows["at"].to_numpy(np.int64)
     windows, pick = (at >> 8) & 255, at & 255
     group, names = rows["k"].to_numpy(np.int64), rows["s"].to_numpy(np.int64)
@@ -171,7 +175,7 @@ def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
         nodes.join(groups, "k").groupBy(F.col("first.d").alias("d"), F.col("first.h").alias("h"))
         .agg(F.collect_list(F.struct("k", "s", "u", F.col("first.at").alias("at"))).alias("list")), "wanted")
     contexts = checkpointed(join_documents(keyed, lists, "inner", 40).select("d", "h", "text", "list")
-                            .mapInArrow(_contexts, _CONTEXTS).dropDuplicates(["k", "s"]), "contexts")
+                            .mapInArrow(_contexts, _CONTEXTS), "contexts")
     small = F.pmod(F.xxhash64("k"), F.lit(parts_for(contexts.count(), SHARD)))
     # A group too large for one shard: alike paragraphs have 22 words in common on one side of the pick, mostly.
     sides = F.array(F.xxhash64("k", F.lit("before"), "before"), F.xxhash64("k", F.lit("after"), "after"))

@@ -7,6 +7,8 @@ product.  Equal ranges have equal hashes; different ones collide with a chance n
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -64,33 +66,38 @@ class Hashed:
 _POSITION_BITS = np.uint64(27)
 
 
-def least_runs(grams: np.ndarray, wide: int, offsets: np.ndarray, length: int):
-    """Runs of windows of ``wide`` grams (``length`` items) that have the same least gram, the leftmost of equals.
+def least_runs(grams: Sequence[np.ndarray], wide: int, offsets: np.ndarray, length: int):
+    """Runs of windows of ``wide`` grams (``length`` items) with the same least gram, the leftmost of equals.
 
-    ``offsets`` tell where each text begins and ends among the items; no window leaves its text.  Returns
-    text number, first window, number of windows and place of the least gram, per run.
+    With several kinds of grams the windows of a run agree in all.  ``offsets`` tell where each text begins and ends among
+    the items; no window leaves its text.  Returns text number, first window, number of windows, and
+    the place of the least gram of each kind, per run.
     """
     none = np.zeros(0, np.int64)
-    if len(grams) < wide:
-        return none, none, none, none
+    if len(grams[0]) < wide:
+        return none, none, none, [none for _ in grams]
     # The high bits of the hash decide, then the position: one number to take minima of.
     low = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
-    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    step = 1
-    while step * 2 <= wide:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    if step < wide:
-        least = np.minimum(least[: len(least) - (wide - step)], least[wide - step:])
-    place = (least & low).astype(np.int64)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(place)]
-    valid = np.arange(len(place)) + length <= offsets[1:][text]
-    fresh = np.ones(len(place), bool)
-    fresh[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    places = []
+    for kind in grams:
+        least, step = (kind & ~low) | np.arange(len(kind), dtype=np.uint64), 1
+        while step * 2 <= wide:
+            least = np.minimum(least[:-step], least[step:])
+            step *= 2
+        if step < wide:
+            least = np.minimum(least[: len(least) - (wide - step)], least[wide - step:])
+        places.append((least & low).astype(np.int64))
+    n = len(places[0])
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
+    valid = np.arange(n) + length <= offsets[1:][text]
+    fresh = np.ones(n, bool)
+    fresh[1:] = text[1:] != text[:-1]
+    for place in places:
+        fresh[1:] |= place[1:] != place[:-1]
     first = np.flatnonzero(fresh & valid)
-    stops = np.append(np.flatnonzero(fresh | ~valid), len(place))
+    stops = np.append(np.flatnonzero(fresh | ~valid), n)
     windows = stops[np.searchsorted(stops, first, side="right")] - first
-    return text[first], first, windows, place[first]
+    return text[first], first, windows, [place[first] for place in places]
 
 
 def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -55,7 +55,7 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int):
         return none, none.view(np.uint64), none.view(np.uint64), none, none, none
     hashed = Hashed(BYTE[data])
     grams = hashed.grams(k)
-    of, lo, windows, place = least_runs(grams, length - k + 1, offsets, length)
+    of, lo, windows, (place,) = least_runs([grams], length - k + 1, offsets, length)
     return of, grams[place], hashed.ranges(lo, lo + windows + length - 1), lo - offsets[of], windows, place - lo
 
 
