@@ -134,6 +134,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
                         "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def apply_mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them: not at all, once or repeated."""
+    measured = docs.select(F.col("source"), words(F.col("text")).alias("size"),
+                           ticket(F.col("doc_id"), F.col("text")).alias("ticket"))
+    state = plan(checkpointed(measured, "sizes"), weights, share, most)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source").alias("source"),
+                        ticket(F.col("doc_id"), F.col("text")).alias("ticket"))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    repeated = taken(keyed, state).filter("copies > 0").select("_row", copies.alias("_copy"))
+    return repeated.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+
 def mix_digest(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
                most: float = 2.0) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` alone: texts are read once."""

@@ -289,10 +289,16 @@ def _block_links(apart: DataFrame, classes: DataFrame, items: DataFrame, percent
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its group; rows without an id stay.
+    """The rows of ``docs`` whose document is the smallest of its group, and those without words or without an id.
 
-    Rows that share the kept id all stay if their texts are the same size class; see ``near_duplicates``.
+    Rows that share an id are one document; one of them stays, the last in the order of all columns by their hash.
     """
-    judged = near_duplicates(docs.select("doc_id", "text"), width, percent)
+    judged = checkpointed(near_duplicates(docs.select("doc_id", "text"), width, percent), "judged")
     gone = judged.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = judged.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.filter("doc_id is not null").groupBy(F.col("doc_id").alias("key")).agg(F.max_by(row, F.xxhash64(row)).alias("row"))
+    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]).unionByName(kept.filter("doc_id is null"))
