@@ -78,30 +78,48 @@ def decisions(codes: np.ndarray, starts: np.ndarray, weights: np.ndarray, bias:
     return np.add.reduceat(sums, starts) / _norms(int(lengths.max()))[lengths] + bias
 
 
-def features(words: list[bytes]) -> np.ndarray:
-    """Dense features of a bounded list of words, given as letter codes."""
-    out = np.zeros((len(words), LETTERS ** 3), np.float32)
-    for i, word in enumerate(words):
-        codes = np.frombuffer(word, np.uint8)
-        if len(codes) > 2:
-            for last, _, triple in _triples(codes, np.zeros(1, np.int64)):
-                np.add.at(out[i], triple, DECAY ** (last + 1))
-            out[i] /= _norms(len(codes))[-1]
+def _sparse(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers, subsequence codes and values of the features of a bounded list of words."""
+    codes = np.frombuffer(b"".join(words), np.uint8)
+    lengths = np.array([len(w) for w in words], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(words)), lengths)
+    parts = [(owner[where], triple, np.full(len(where), DECAY ** (last + 1)))
+             for last, where, triple in _triples(codes, starts[lengths > 0])]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    rows, triples, values = (np.concatenate(x) for x in zip(*parts))
+    return rows, triples.astype(np.int64), values / _norms(int(lengths.max()))[lengths[rows]]
+
+
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of a bounded list of words, and the subsequence that each column stands for; others are 0."""
+    rows, triples, values = _sparse(words)
+    columns, place = np.unique(triples, return_inverse=True)
+    out = np.zeros((len(words), len(columns)))
+    np.add.at(out, (rows, place), values)
+    return out, columns
+
+
+def kernel(words: list[bytes], landmarks: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Kernel values of words with landmarks, given by their features, a block at a time."""
+    out = np.zeros((len(words), len(landmarks)))
+    for begin in range(0, len(words), 512):
+        rows, triples, values = _sparse(words[begin: begin + 512])
+        place = np.minimum(np.searchsorted(columns, triples), len(columns) - 1)
+        known = columns[place] == triples
+        block = np.zeros((min(512, len(words) - begin), len(columns)))
+        np.add.at(block, (rows[known], place[known]), values[known])
+        out[begin: begin + 512] = block @ landmarks.T
     return out
 
 
-def kernel(words: list[bytes], landmark_features: np.ndarray) -> np.ndarray:
-    """Kernel values of words with the landmarks, a block at a time."""
-    blocks = [features(words[i: i + 256]) @ landmark_features.T for i in range(0, len(words), 256)]
-    return np.concatenate(blocks) if blocks else np.zeros((0, len(landmark_features)))
-
-
 def spread_out(words: list[bytes], n: int) -> list[bytes]:
     """Up to ``n`` landmarks: the first word, then again and again the one least like those taken."""
-    words = words[:1000]
+    words = words[:400]
     if len(words) <= n:
         return words
-    feats = features(words)
+    feats, _ = features(words)
     gram = feats @ feats.T
     own = np.sqrt(np.maximum(np.diag(gram), 1e-12))
     likeness = gram / own[:, None] / own

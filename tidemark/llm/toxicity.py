@@ -100,8 +100,8 @@ def _scores(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _machine(bad: list[tuple[bytes, float]], good: dict[bytes, float], landmarks: list[bytes]) -> tuple[np.ndarray, float]:
     """One weight per subsequence and the bias of a machine trained on whitened kernel values."""
-    base = strings.features(landmarks)
-    values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
+    base, columns = strings.features(landmarks)
+    values, vectors = np.linalg.eigh(base @ base.T)
     keep = values > 1e-6 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
     words = [w for w, _ in bad] + list(good)
@@ -110,8 +110,10 @@ def _machine(bad: list[tuple[bytes, float]], good: dict[bytes, float], landmarks
     support = np.sqrt(np.array([s for _, s in bad] + list(good.values())))
     support[y > 0] /= support[y > 0].sum()
     support[y < 0] /= support[y < 0].sum()
-    machine = strings.fit_svm(strings.kernel(words, base) @ whiten, y, support)
-    return ((whiten @ machine[:-1]) @ base).astype(np.float32), float(machine[-1])
+    machine = strings.fit_svm(strings.kernel(words, base, columns) @ whiten, y, support)
+    weights = np.zeros(strings.LETTERS ** 3, np.float32)
+    weights[columns] = (whiten @ machine[:-1]) @ base
+    return weights, float(machine[-1])
 
 
 def _decided(shared):
