@@ -26,8 +26,9 @@ def test_engagement_over_several_batches_with_late_and_repeated_events(spark):
                         ("3", T0 + timedelta(hours=23), "view", "u2")])
     batch(spark, path, [("6", T0 + timedelta(hours=50), "view", "u1")])
     stream = streams.timed(streams.stream_events(spark, path, SCHEMA, max_files_per_trigger=1))
-    got = streams.run_available(streams.stream_daily_engagement(stream), work_dir(spark, "out")).collect()
-    assert sorted((r.activity_date.day, r.dau) for r in got) == [(1, 3), (2, 1)]
+    got = streams.daily_engagement(streams.run_upserts(
+        streams.stream_activity(stream), work_dir(spark, "out"), streams.ACTIVITY_KEYS)).collect()
+    assert sorted((r.activity_date.day, r.dau, r.event_count) for r in got) == [(1, 3, 5), (2, 1, 1), (3, 1, 1)]
     unique = streams.run_available(streams.stream_dedupe(streams.timed(
         streams.stream_events(spark, path, SCHEMA, max_files_per_trigger=1), delay="3 days")), work_dir(spark, "out"))
     assert unique.count() == 6
@@ -42,19 +43,28 @@ def test_a_restart_reads_only_new_files(spark):
     assert streams.run_available(streams.stream_events(spark, path, SCHEMA), out).count() == 2
 
 
-def test_bucketed_table_merges_and_repeats(spark):
-    table = streams.BucketedTable(spark, work_dir(spark, "table"), "k string, t int, v string", ["k"], ["t"], buckets=4)
-    table.prepare()
-    frame = lambda *r: spark.createDataFrame(list(r), "k string, t int, v string")
-    values = lambda: {r.k: r.v for r in table.read().collect()}
-    table.merge(frame(("a", 1, "x"), ("b", 1, "x"), ("a", 2, "y")), 0)
-    assert values() == {"a": "y", "b": "x"}
-    second = frame(("a", 1, "old"), ("b", 5, "new"), ("c", 1, "c"))
-    table.merge(second, 1)
-    assert values() == {"a": "y", "b": "new", "c": "c"}
-    table.merge(second, 1)  # the same batch again, after a failure
-    assert values() == {"a": "y", "b": "new", "c": "c"}
-    assert {r.k for r in table.read(before=1).collect()} == {"a", "b"}
+def test_the_last_row_of_each_key_over_several_batches(spark):
+    path, out = work_dir(spark, "in"), work_dir(spark, "out")
+    batch(spark, path, [("1", T0, "x", "a"), ("2", T0, "x", "b"), ("3", T0 + timedelta(hours=2), "y", "a")])
+    run = lambda: {r.user_id: r.event_name for r in streams.run_upserts(
+        streams.stream_events(spark, path, SCHEMA, max_files_per_trigger=1), out, ["user_id"],
+        ["event_timestamp", "event_id"], "append").collect()}
+    assert run() == {"a": "y", "b": "x"}
+    batch(spark, path, [("4", T0 + timedelta(hours=1), "old", "a"), ("5", T0 + timedelta(hours=5), "new", "b"),
+                        ("6", T0, "c", "c")])
+    assert run() == {"a": "y", "b": "new", "c": "c"}
+    assert run() == {"a": "y", "b": "new", "c": "c"}
+
+
+def test_sessions_over_batches_and_slots(spark):
+    path = work_dir(spark, "in")
+    at = lambda minutes: T0 + timedelta(minutes=minutes)
+    batch(spark, path, [("1", at(0), "v", "u"), ("2", at(29), "v", "u"), ("3", at(59), "v", "u")])
+    batch(spark, path, [("4", at(90), "v", "u"), ("5", at(91), "v", "w")])
+    slots = streams.run_upserts(streams.stream_slots(streams.timed(
+        streams.stream_events(spark, path, SCHEMA, max_files_per_trigger=1), delay="3 hours")), work_dir(spark, "out"), streams.SLOT_KEYS)
+    got = sorted((r.user_id, r.session_start, r.session_end, r.events) for r in streams.sessions(slots).collect())
+    assert got == [("u", at(0), at(59), 3), ("u", at(90), at(90), 1), ("w", at(91), at(91), 1)]
 
 
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
@@ -66,7 +76,8 @@ def test_days_do_not_depend_on_the_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         stream = streams.timed(streams.stream_events(spark, path, SCHEMA))
-        got = streams.run_available(streams.stream_daily_engagement(stream), work_dir(spark, "out")).collect()
-        assert [(r.activity_date.day, r.dau) for r in got] == [(1, 2)]
+        got = streams.daily_engagement(streams.run_upserts(
+            streams.stream_activity(stream), work_dir(spark, "out"), streams.ACTIVITY_KEYS)).collect()
+        assert sorted((r.activity_date.day, r.dau) for r in got) == [(1, 2), (4, 1)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

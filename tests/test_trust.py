@@ -108,19 +108,22 @@ def test_calendars(spark):
     assert by_day[date(2024, 1, 31)].is_fiscal_year_end and not by_day[date(2024, 2, 29)].is_fiscal_year_end
     assert (by_day[date(2024, 2, 1)].fiscal_year, by_day[date(2024, 2, 1)].fiscal_quarter) == (2025, 1)
     assert (by_day[date(2024, 4, 30)].fiscal_quarter, by_day[date(2024, 5, 1)].fiscal_quarter) == (1, 2)
-    assert calendar.time_spine(spark).count() == 4747
+    assert calendar.time_spine(spark, "2018-01-01", "2030-12-31").count() == 4747
+    assert calendar.dim_date(spark, "2030-01-01").agg(F.max("date_day")).first()[0] == date(2032, 1, 1)
     assert calendar.date_range(spark, "2024-02-28", "2024-03-01").count() == 3
     assert calendar.date_range(spark, "2024-03-02", "2024-03-01").count() == 0
     monday = spark.sql("select date '2024-01-07' as d").select(period_start(F.col("d"), "week")).first()[0]
     assert monday == date(2024, 1, 1)
 
 
-def test_exclude_ids_drops_nulls_and_keeps_all_without_a_list(spark):
+@pytest.mark.parametrize("ids, left, left_with_null", [
+    (["a"], 1, 2), (["a", None], 1, 2), ([None], 2, 3), ([], 2, 3), (["a", None, *map(str, range(300))], 1, 2)])
+def test_exclude_ids_has_one_rule_for_short_lists_long_lists_and_tables(spark, ids, left, left_with_null):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "id string")
-    assert relational.exclude_ids(df, "id", ["a"]).count() == 1
-    assert relational.exclude_ids(df, "id", []).count() == 3
-    assert relational.exclude_ids(df, "id", [f"x{i}" for i in range(500)] + ["a"]).count() == 1
-    assert relational.exclude_ids(df, "id", spark.createDataFrame([("a",), (None,)], "q string")).count() == 1
+    table = spark.createDataFrame([(i,) for i in ids], "x string")
+    for form in (ids, table):
+        assert relational.exclude_ids(df, "id", form).count() == left
+        assert relational.exclude_ids(df, "id", form, keep_null=True).count() == left_with_null
 
 
 def test_latest_by_key_with_ties_and_nulls(spark):

@@ -21,8 +21,7 @@ def date_range(spark: SparkSession, start: date | str, end: date | str) -> DataF
     return spine(spark, start, end).select(F.date_format("date_day", "yyyy-MM-dd").alias("day"))
 
 
-def time_spine(spark: SparkSession, start: date | str = "2018-01-01",
-               end: date | str = "2030-12-31") -> DataFrame:
+def time_spine(spark: SparkSession, start: date | str, end: date | str) -> DataFrame:
     """Days from ``start`` up to, but without, ``end``."""
     return spine(spark, start, end).filter(F.col("date_day") < day(end))
 
@@ -34,13 +33,15 @@ def month_spine(spark: SparkSession, start: date | str, as_of: date | str) -> Da
 
 
 def dim_date(spark: SparkSession, as_of: date | str, start: date | str = "2018-01-01",
-             days: int = 4000, fiscal_start: int = 1) -> DataFrame:
-    """``days`` days from ``start``, cut two years after ``as_of``.
+             days: int | None = None, fiscal_start: int = 1) -> DataFrame:
+    """Every day from ``start`` to two years after ``as_of``, or at most ``days`` of them.
 
     The fiscal year carries the calendar year in which it ends; with ``fiscal_start=1``
     it is the calendar year.
     """
-    last = F.least(F.date_add(day(start), days - 1), F.add_months(day(as_of), 24))
+    last = F.add_months(day(as_of), 24)
+    if days is not None:
+        last = F.least(F.date_add(day(start), days - 1), last)
     listed = spark.range(1).select(F.explode(periods(day(start), last)).alias("date_day"))
     # Shift the calendar so that the fiscal year starts in January of the shifted one.
     shifted = F.add_months(F.col("date_day"), (13 - fiscal_start) % 12)

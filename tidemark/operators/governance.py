@@ -17,7 +17,6 @@ CONTENT_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     "phone": r"[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}",
 }
-AUDIT_TEXT_CHARS = 10_000
 
 
 def tag_columns(df: DataFrame, tags: Mapping[str, Mapping[str, object]]) -> DataFrame:
@@ -48,8 +47,8 @@ def row_access(df: DataFrame, role: str, user: str, territories: DataFrame,
     return df.join(own, column, "left_semi")
 
 
-def access_log(history: DataFrame, as_of: date | str) -> DataFrame:
-    """Accesses of the last day that touched objects, with the text cut to its stored length."""
+def access_log(history: DataFrame, as_of: date | str, text_chars: int | None = None) -> DataFrame:
+    """Accesses of the last day that touched objects, with their whole text, or its first ``text_chars``."""
     def given(name: str) -> Column:
         return F.col(name) if name in history.columns else F.lit(None).cast("string").alias(name)
 
@@ -58,7 +57,7 @@ def access_log(history: DataFrame, as_of: date | str) -> DataFrame:
     return recent.select(
         F.sha2(F.concat_ws("-", "query_id", at.cast("string")), 256).alias("log_id"), "query_id", "user_name",
         given("role_name"), "warehouse_name",
-        F.left("query_text", F.lit(AUDIT_TEXT_CHARS)).alias("query_text"),
+        (F.col("query_text") if text_chars is None else F.left("query_text", F.lit(text_chars))).alias("query_text"),
         given("database_name"), given("schema_name"), "objects_accessed", at.alias("query_start_time"),
         instant(as_of).alias("loaded_at"))
 

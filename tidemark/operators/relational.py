@@ -26,21 +26,22 @@ def drop_soft_deleted(df: DataFrame, flag: str = "is_deleted") -> DataFrame:
 
 
 def exclude_ids(df: DataFrame, column: str, ids: Sequence[str] | DataFrame, keep_null: bool = False) -> DataFrame:
-    """``column NOT IN ids`` with SQL's null rule: a null id is dropped too, unless ``keep_null``.
+    """Rows whose ``column`` is not among ``ids``; rows without an id go too, unless ``keep_null``.
 
-    A short list is a pushed-down predicate, anything longer an anti-join whose strategy the
-    optimizer picks from the size of the list.
+    Nulls among ``ids`` exclude nothing, and an empty list or table excludes nothing but rows without
+    an id.  A short list is a pushed-down predicate, anything longer an anti-join whose strategy the
+    optimizer picks from the size of the list; the rows are the same.
     """
     given = F.col(column)
+    kept = df if keep_null else df.filter(given.isNotNull())
     if not isinstance(ids, DataFrame):
-        ids = list(ids)
+        ids = [i for i in ids if i is not None]
         if not ids:
-            return df
+            return kept
         if len(ids) <= INLINE_IDS:
-            return df.filter(given.isNull() | ~given.isin(ids)) if keep_null else df.filter(~given.isin(ids))
+            return kept.filter(given.isNull() | ~given.isin(ids))
         ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"`{column}` string")
     listed = ids.select(F.col(ids.columns[0]).alias(column))
-    kept = df if keep_null else df.filter(given.isNotNull())
     return kept.join(listed, column, "left_anti").select(*df.columns)
 
 

@@ -8,28 +8,27 @@ from pyspark.sql import DataFrame, functions as F
 
 # A key with at least one row in HOT_KEYS is heavy; there cannot be more than HOT_KEYS such keys.
 HOT_KEYS = 4096
-TRACKED = 40_000
+SALTS = "_salts"
+_KEYLESS_SALTS = 1024
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys that hold at least 1/4096 of the rows; one column, 4096 rows at most.
+    """The keys that hold at least 1/4096 of the rows, and into how many parts (``_salts``) each must be cut
+    so that no part holds more than that; 4096 rows at most.
 
-    One mergeable frequency sketch over the key column alone.  Heavy keys only get their rows
-    spread; results never depend on which keys the sketch reports.
+    Keys are counted with map-side combine and stay spread by key; only the total is one number.
     """
-    sketch = df.select(key).agg(
-        F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(TRACKED)).alias("top"),
-        F.count("*").alias("n"))
-    listed = sketch.select("n", F.explode("top").alias("t"))
-    heavy = listed.filter((F.col("t.count") * HOT_KEYS >= F.col("n")) & (F.col("t.count") > 1))
-    return heavy.select(F.col("t.item").alias(key)).filter(F.col(key).isNotNull())
+    total = df.agg(F.count(key)).scalar()
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    heavy = counted.filter((F.col("_n") > 1) & (F.col("_n") * HOT_KEYS >= total))
+    return heavy.select(key, F.ceil(F.col("_n") * HOT_KEYS / F.greatest(total, F.lit(1))).cast("bigint").alias(SALTS))
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = 64,
-                spread_by: Sequence[str] = (), hot: DataFrame | None = None) -> DataFrame:
-    """Join on ``key`` with the heavy keys of ``left`` spread over ``salts`` tasks.
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", spread_by: Sequence[str] = (),
+                hot: DataFrame | None = None) -> DataFrame:
+    """Join on ``key`` with the heavy keys of ``left`` spread over as many tasks as their share asks for.
 
-    Rows of ``right`` are repeated ``salts`` times for heavy keys only; left rows without a key
+    Rows of ``right`` are repeated for each part of a heavy key only; left rows without a key
     match nothing and are spread as well.  Each left row meets
     all of its right rows under its own salt, so inner, left, left_semi and left_anti joins
     come out as without the salt.  The adaptive skew join does the same at run time, but not
@@ -38,13 +37,10 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot do a {how} join")
     # At most HOT_KEYS rows, whatever the data: safe to broadcast.
-    heavy = F.broadcast((hot_keys(left, key) if hot is None else hot).withColumn("_hot", F.lit(True)))
+    heavy = F.broadcast(hot_keys(left, key) if hot is None else hot)
     scatter = [F.col(c) for c in (spread_by or left.columns)]
-    zero = F.lit(0).cast("bigint")
-    many = (left.join(heavy, key, "left")
-            .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(*scatter), F.lit(salts)))
-                        .otherwise(zero))
-            .drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(zero))
-    few = right.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    parts = F.when(F.col(key).isNull(), F.lit(_KEYLESS_SALTS)).otherwise(F.coalesce(SALTS, F.lit(1))).cast("bigint")
+    many = left.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*scatter), parts)).drop(SALTS)
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(SALTS, F.lit(1)).cast("bigint") - 1)
+    few = right.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop(SALTS)
     return many.join(few, [key, "_salt"], how).drop("_salt")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -29,12 +31,24 @@ def stamp(df: DataFrame, extract_date: date | str, loaded_at: datetime | str) ->
                            "dt": day(extract_date)})
 
 
+def clear_partitions(spark: SparkSession, path: str, column: str, days: Sequence[date | str]) -> None:
+    """Remove the partitions of ``days`` where they exist; a repeated call changes nothing."""
+    jvm = spark._jvm
+    for one in days:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={one}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def land_partition(df: DataFrame, path: str, extract_date: date | str, loaded_at: datetime | str) -> None:
     """Stamp the rows and write them as the ``dt`` partition of ``extract_date``.
 
     The manifest row is written after the data: it stands for the success marker, and a
-    partition without one is not loadable.  Landing the same day again replaces both.
+    partition without one is not loadable.  Landing the same day again takes the marker away, replaces
+    the data, also with none, and marks it again; readers never see half of it.
     """
+    clear_partitions(df.sparkSession, f"{path}/manifest", "dt", [extract_date])
+    if df.isEmpty():
+        clear_partitions(df.sparkSession, f"{path}/data", "dt", [extract_date])
     _write_partitions(balanced(stamp(df, extract_date, loaded_at), "dt"), f"{path}/data", "dt")
     done = df.sparkSession.range(1).select(day(extract_date).alias("dt"), instant(loaded_at).alias("completed_at"))
     _write_partitions(done, f"{path}/manifest", "dt")
@@ -87,11 +101,16 @@ def copy_once(batch: DataFrame, history: DataFrame, file_column: str = "file_pat
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], updated_at: str) -> DataFrame:
-    """Newest row per key of target and batch; at equal times the batch wins."""
+    """Newest row per key of target and batch; at equal times the batch wins.
+
+    A null in a key matches nothing: such rows of either side all stay.
+    """
     both = target.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)),
                                                            allowMissingColumns=True)
     rest = [c for c in both.columns if c not in keys and c not in (updated_at, "_new")]
-    return latest_by_key(both, keys, [updated_at, "_new", *rest]).drop("_new")
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
+    newest = latest_by_key(both.filter(~keyless), keys, [updated_at, "_new", *rest])
+    return newest.unionByName(both.filter(keyless)).drop("_new")
 
 
 def _check_range(start: date | str, end: date | str, max_days: int) -> None:
@@ -108,8 +127,17 @@ def backfill_rows(df: DataFrame, column: str, start: date | str, end: date | str
 
 
 def backfill(df: DataFrame, column: str, path: str, start: date | str, end: date | str, max_days: int = 90) -> None:
-    """Rewrite the days of the range and leave all other partitions as they are."""
-    _write_partitions(balanced(backfill_rows(df, column, start, end, max_days), column), path, column)
+    """Rewrite the days of the range and leave all other partitions as they are.
+
+    Days of the range that get no rows end up empty.
+    """
+    rows = backfill_rows(df, column, start, end, max_days)
+    # At most max_days + 1 values.
+    filled = {r[0] for r in rows.select(column).distinct().collect()}
+    _write_partitions(balanced(rows, column), path, column)
+    first = date.fromisoformat(str(start))
+    days = [first + timedelta(n) for n in range((date.fromisoformat(str(end)) - first).days + 1)]
+    clear_partitions(df.sparkSession, path, column, [d for d in days if d not in filled])
 
 
 def schema_drift(expected: T.StructType, actual: T.StructType) -> list[tuple[str, str, str | None, str | None, bool]]:
@@ -167,8 +195,10 @@ def overwrite_table(df: DataFrame, path: str) -> None:
 
 
 def export_partition(df: DataFrame, column: str, exported_day: date | str, path: str) -> DataFrame:
-    """Write one day as its ``dt`` partition and return the exported rows."""
+    """Write one day as its ``dt`` partition, empty if it has no rows, and return the exported rows."""
     rows = df.filter(F.col(column) == day(exported_day)).withColumn("dt", F.col(column))
+    if rows.isEmpty():
+        clear_partitions(df.sparkSession, path, "dt", [exported_day])
     _write_partitions(balanced(rows, "dt"), path, "dt")
     return rows
 

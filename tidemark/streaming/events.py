@@ -1,7 +1,7 @@
 """Structured Streaming forms of the event operators.
 
-Each function maps a streaming DataFrame to a streaming DataFrame; ``run_available``
-drives one to the end of its input.  Times are zoned timestamps, because watermarks
+Functions named ``stream_`` map a streaming DataFrame to another.  ``run_available`` drives one to the
+end of its input in append mode, ``run_upserts`` in update mode, where windows that are still open count too.  Times are zoned timestamps, because watermarks
 refuse zone-free ones.
 """
 
@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.dates import instant, micros
-from tidemark.operators.relational import latest_by_key
+from tidemark.operators.relational import count_of, distinct_values, latest_by_key
 
 
 def stream_events(spark: SparkSession, path: str, schema: str, files: str = "*.parquet",
@@ -46,22 +46,59 @@ def stream_dedupe(events: DataFrame, keys: Sequence[str] = ("event_id",)) -> Dat
     return events.dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_daily_engagement(events: DataFrame, ignored: Sequence[str] = ("session_start", "first_open")) -> DataFrame:
-    """Day x account: exact distinct users, appended when the day is closed.
+def run_upserts(df: DataFrame, out: str, keys: Sequence[str], order: Sequence[str] = (), mode: str = "update") -> DataFrame:
+    """Process all available input and return the last row of each key, open windows included.
 
-    Distinct counts are not allowed on streams, so user-days are de-duplicated in one state
-    store and counted in the next.  Users spread the state of a dominant account.
+    Each micro-batch writes the rows it changed as its own ``batch`` partition below ``out``; a repeated
+    batch replaces it.  Reading takes the newest row per key (by ``order``, then batch) with a map-side combine.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
+    spark, data = df.sparkSession, f"{out}/data"
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{data}/batch=-1")
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        newest = latest_by_key(rows, keys, order) if order else rows
+        newest.write.mode("overwrite").parquet(f"{data}/batch={batch}")
+
+    query = (df.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    logged = spark.read.schema(schema).parquet(data)
+    return latest_by_key(logged, keys, [*order, "batch"]).drop("batch")
+
+
+def compact_upserts(rows: DataFrame, out: str) -> None:
+    """Write the current rows of ``run_upserts`` as the single batch of a new folder."""
+    rows.write.mode("overwrite").parquet(f"{out}/data/batch=0")
+
+
+ACTIVITY_KEYS = ("activity_date", "account_id", "user_id", "session_id", "event_name")
+SLOT_KEYS = ("user_id", "slot")
+WINDOW_KEYS = ("window_start", "event_name")
+
+
+def stream_activity(events: DataFrame, ignored: Sequence[str] = ("session_start", "first_open")) -> DataFrame:
+    """Running event counts by day, account, user, session and event name, for update mode.
+
+    The keys spread a dominant account over its users and sessions; ``daily_engagement`` counts them exactly.
     """
     active = events.filter(F.col("account_id").isNotNull() & ~F.col("event_name").isin(*ignored))
-    users = (active.withColumn("day", F.window("at", "1 day")).select("day", "account_id", "user_id")
-             .dropDuplicates(["day", "account_id", "user_id"]))
-    return users.groupBy("day", "account_id").agg(F.count("user_id").alias("dau")).select(
-        _wall(F.col("day.start")).cast("date").alias("activity_date"), "account_id", "dau")
+    return active.groupBy(F.window("at", "1 day").alias("day"), *ACTIVITY_KEYS[1:]).agg(F.count("*").alias("events")).select(
+        _wall(F.col("day.start")).cast("date").alias("activity_date"), *ACTIVITY_KEYS[1:], "events")
+
+
+def daily_engagement(activity: DataFrame) -> DataFrame:
+    """Day x account from the rows of ``stream_activity``: exact users, events, sessions and features."""
+    kinds = {"dau": "user_id", "sessions": "session_id", "features": "event_name"}
+    values = distinct_values(activity, ["activity_date", "account_id"], list(kinds.values()))
+    counted = values.groupBy("activity_date", "account_id").agg(*[count_of(c).alias(n) for n, c in kinds.items()])
+    events = activity.groupBy("activity_date", "account_id").agg(F.sum("events").alias("event_count"))
+    return counted.join(events, ["activity_date", "account_id"])
 
 
 def stream_engagement_approx(events: DataFrame, rsd: float = 0.02,
                              ignored: Sequence[str] = ("session_start", "first_open")) -> DataFrame:
-    """The same in one store, with sketches of fixed size in place of the user sets."""
+    """Day x account in one store, with sketches of fixed size in place of the user sets, for update mode."""
     active = events.filter(F.col("account_id").isNotNull() & ~F.col("event_name").isin(*ignored))
     return active.groupBy(F.window("at", "1 day").alias("day"), "account_id").agg(
         F.approx_count_distinct("user_id", rsd).alias("dau"), F.count("*").alias("event_count"),
@@ -69,31 +106,43 @@ def stream_engagement_approx(events: DataFrame, rsd: float = 0.02,
     ).select(_wall(F.col("day.start")).cast("date").alias("activity_date"), "account_id", "dau", "event_count", "sessions")
 
 
-def stream_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Sessions per user, appended once the gap has passed.
+def stream_slots(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """First and last time and count of events per user and slot of one gap, for update mode.
 
-    Two events exactly one gap apart share a session, as in the batch form.  For very active
-    users set ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``, which
-    merges sessions before the shuffle.
+    Slots spread a very active user over tasks; ``sessions`` joins them.
     """
-    return (events.filter(F.col("user_id").isNotNull())
-            .groupBy(F.session_window("at", gap).alias("session"), "user_id")
-            .agg(F.min("at").alias("session_start"), F.max("at").alias("session_end"), F.count("*").alias("events"))
-            .select("user_id", _wall(F.col("session_start")).alias("session_start"),
-                    _wall(F.col("session_end")).alias("session_end"), "events"))
+    return (events.filter(F.col("user_id").isNotNull()).groupBy(F.window("at", gap).alias("w"), "user_id")
+            .agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("events"))
+            .select("user_id", _wall(F.col("w.start")).alias("slot"), _wall(F.col("first")).alias("first"),
+                    _wall(F.col("last")).alias("last"), "events"))
 
 
-def stream_anomaly(events: DataFrame, baseline: DataFrame, threshold: float = 3.0, window: str = "1 hour",
-                   slide: str = "15 minutes") -> DataFrame:
-    """Windows whose event count is more than ``threshold`` deviations off its baseline.
+def sessions(slots: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Sessions per user, the open one included, from slots: two events exactly one gap apart share a session.
+
+    A window holds one row per slot of a user, not one per event.
+    """
+    order = Window.partitionBy("user_id").orderBy("slot")
+    fresh = F.coalesce(F.col("first") - F.lag("last").over(order) > F.expr(f"interval {gap}"), F.lit(True))
+    numbered = slots.withColumn("fresh", fresh.cast("int")).withColumn("number", F.sum("fresh").over(order))
+    return numbered.groupBy("user_id", "number").agg(
+        F.min("first").alias("session_start"), F.max("last").alias("session_end"), F.sum("events").alias("events")).drop("number")
+
+
+def stream_windows(events: DataFrame, window: str = "1 hour", slide: str = "15 minutes") -> DataFrame:
+    """Running event counts per sliding window and event name, for update mode."""
+    return (events.groupBy(F.window("at", window, slide).alias("w"), "event_name").agg(F.count("*").alias("events"))
+            .select(_wall(F.col("w.start")).alias("window_start"), "event_name", "events"))
+
+
+def anomalies(windows: DataFrame, baseline: DataFrame, threshold: float = 3.0) -> DataFrame:
+    """Windows, open ones included, whose event count is more than ``threshold`` deviations off its baseline.
 
     ``baseline`` is static: event_name, mean_events, sd_events.
     """
-    counted = events.groupBy(F.window("at", window, slide).alias("w"), "event_name").agg(F.count("*").alias("events"))
     z = (F.col("events") - F.col("mean_events")) / F.nullif(F.col("sd_events"), F.lit(0.0))
-    return (counted.join(baseline, "event_name").withColumn("z_score", z)
-            .filter(F.abs("z_score") > threshold)
-            .select(_wall(F.col("w.start")).alias("window_start"), "event_name", "events", "z_score"))
+    return (windows.join(baseline, "event_name").withColumn("z_score", z).filter(F.abs("z_score") > threshold)
+            .select("window_start", "event_name", "events", "z_score"))
 
 
 def hourly_baseline(events: DataFrame) -> DataFrame:
@@ -112,73 +161,12 @@ def hourly_baseline(events: DataFrame) -> DataFrame:
                        F.sqrt(variance).alias("sd_events"))
 
 
-class BucketedTable:
-    """A keyed table on plain parquet that takes upserts from a stream.
-
-    Keys hash into buckets.  A batch writes a new version of the buckets it touches and then
-    one manifest row per bucket; readers take the newest version of each bucket.  Versions
-    are named by the batch, so a repeated batch writes the same folders again.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], order: Sequence[str],
-                 buckets: int = 32):
-        self.spark, self.path, self.keys, self.order, self.buckets = spark, path, list(keys), list(order), buckets
-        self.schema = schema
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def _versions(self, before: int | None) -> DataFrame:
-        manifest = self.spark.read.schema("bucket int, batch bigint").parquet(f"{self.path}/manifest")
-        if before is not None:
-            manifest = manifest.filter(F.col("batch") < before)
-        return manifest.groupBy("bucket").agg(F.max("batch").alias("batch"))
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """Current rows; ``before`` leaves out that batch and later ones."""
-        rows = self.spark.read.schema(f"{self.schema}, bucket int, batch bigint").parquet(f"{self.path}/data")
-        # One version per bucket: safe to broadcast, and it prunes the folders that are read.
-        return rows.join(F.broadcast(self._versions(before)), ["bucket", "batch"], "left_semi")
-
-    def prepare(self) -> None:
-        """Create the folders, so that the first batch reads an empty table."""
-        for part, schema, by in (("data", f"{self.schema}, batch bigint, bucket int", ("batch", "bucket")),
-                                 ("manifest", "bucket int, batch bigint", ("batch",))):
-            (self.spark.createDataFrame([], schema).write.mode("append").partitionBy(*by)
-             .parquet(f"{self.path}/{part}"))
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Rewrite the touched buckets with the newest row per key."""
-        incoming = batch.withColumn("bucket", self._bucket())
-        touched = incoming.select("bucket").distinct()
-        stored = self.read(batch_id).drop("batch").join(F.broadcast(touched), "bucket", "left_semi")
-        rest = [c for c in batch.columns if c not in self.keys and c not in self.order]
-        newest = latest_by_key(stored.unionByName(incoming), self.keys, [*self.order, *rest, "bucket"])
-        self._replace(newest, batch_id, "data", ("batch", "bucket"))
-        self._replace(touched, batch_id, "manifest", ("batch",))
-
-    def _replace(self, df: DataFrame, batch_id: int, part: str, by: tuple[str, ...]) -> None:
-        (df.withColumn("batch", F.lit(batch_id).cast("bigint")).hint("rebalance", F.col("bucket")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{self.path}/{part}"))
-
-
-def stream_upsert(events: DataFrame, table: BucketedTable, checkpoint: str) -> DataFrame:
-    """Merge a stream into ``table`` batch by batch and return its rows at the end."""
-    table.prepare()
-    query = (events.writeStream.foreachBatch(lambda df, batch_id: table.merge(df, batch_id))
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination()
-    return table.read().drop("bucket", "batch")
-
-
 def late_events(events: DataFrame, arrival: str, ts: str, delay: str, batch: str = "hour") -> DataFrame:
     """Events that lay behind the watermark when they arrived, for batches of one ``batch``.
 
     The watermark of a batch is the newest event time of all earlier batches minus ``delay``.
     Event times are reduced to one maximum per batch; the running maximum sees batches only.
     """
-    from pyspark.sql import Window
-
     numbered = events.withColumn("_batch", F.date_trunc(batch, F.col(arrival)).cast("timestamp_ntz"))
     earlier = Window.orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1)
     marks = numbered.groupBy("_batch").agg(F.max(ts).alias("_max")).select(

@@ -49,6 +49,13 @@ R.add("exclude_ids_table", lambda c: relational.exclude_ids(
     c.raw["raw_account"].filter("is_deleted").select("id")), """
     select event_id, account_id from raw_event
     where account_id is not null and account_id not in (select id from raw_account where is_deleted)""")
+_WITH_NULL = [None, *TEST_ACCOUNTS]
+_LONG = [*_WITH_NULL, *[f"nobody-{n}" for n in range(300)]]
+for _name, _ids in (("exclude_ids_null_listed", _WITH_NULL), ("exclude_ids_long_null_listed", _LONG), ("exclude_ids_none", [])):
+    R.add(_name, lambda c, ids=_ids: relational.exclude_ids(
+        c.raw["raw_event"].select("event_id", "account_id"), "account_id", ids),
+        f"select event_id, account_id from raw_event where account_id is not null"
+        + (f" and account_id not in {TEST_ACCOUNTS}" if _ids else ""))
 R.add("surrogate_key", lambda c: c.raw["raw_worker"].select(
     "worker_id", values.surrogate_key(["worker_id", "department", "manager_id", "fte"]).alias("row_key")), """
     select worker_id, md5(worker_id || '-' || coalesce(department, '_null_') || '-' ||
@@ -111,11 +118,19 @@ def _event_days(c):
     return engagement_daily(c.marts.account_engagement)
 
 
-R.add("dim_date", lambda c: calendar.dim_date(c.spark, AS_OF_ORDERS, SPINE_START, 4000, 7).join(
+R.add("dim_date_2030", lambda c: calendar.dim_date(c.spark, "2030-01-01", SPINE_START).join(
+    c.raw["raw_opportunity"].select(F.col("close_date").alias("date_day")).distinct(), "date_day", "left_semi")
+    .select("date_day", "fiscal_year").unionByName(
+        calendar.dim_date(c.spark, "2030-01-01", SPINE_START).agg(F.max("date_day").alias("date_day"),
+                                                                  F.max("fiscal_year").alias("fiscal_year"))), """
+    select distinct close_date as date_day, cast(year(close_date) as integer) as fiscal_year from raw_opportunity
+    where close_date between date '1995-01-01' and date '2032-01-01'
+    union all select date '2032-01-01', 2032""")
+R.add("dim_date", lambda c: calendar.dim_date(c.spark, AS_OF_ORDERS, SPINE_START, fiscal_start=7).join(
     c.raw["raw_opportunity"].groupBy(F.col("close_date").alias("date_day")).agg(F.count("*").alias("closings")),
     "date_day", "left"), f"""
     with d as (select cast(g as date) as date_day from generate_series(timestamp '{SPINE_START}',
-                 least(timestamp '{SPINE_START}' + interval 3999 day, timestamp '{AS_OF_ORDERS}' + interval 24 month),
+                 timestamp '{AS_OF_ORDERS}' + interval 24 month,
                  interval 1 day) t(g)),
     n as (select close_date, count(*) as closings from raw_opportunity group by 1)
     select date_day, cast(date_trunc('month', date_day) as date) as month_start,

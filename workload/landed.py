@@ -57,11 +57,14 @@ def _manifest(c):
     rows = c.raw["raw_event"].withColumn("dt", F.col("event_date"))
     landing.balanced(rows, "dt").write.partitionBy("dt").parquet(f"{path}/data")
     days = rows.agg(F.explode(F.sequence(F.min("dt"), F.date_add(F.max("dt"), 3))).alias("dt"))
-    return landing.landing_manifest(c.spark, path, days).drop("files_found")
+    found = landing.landing_manifest(c.spark, path, days)
+    # How many files a day becomes is the writer's choice; that there are some is not.
+    return found.withColumn("files_found", F.col("files_found") > 0)
 
 
 R.add("landing_manifest", _manifest, """
-    select cast(g as date) as dt, count(event_id) as rows_found, count(event_id) = 0 as is_empty
+    select cast(g as date) as dt, count(event_id) as rows_found, count(event_id) = 0 as is_empty,
+           count(event_id) > 0 as files_found
     from generate_series((select cast(min(event_date) as timestamp) from raw_event),
                          (select cast(max(event_date) as timestamp) from raw_event) + interval 3 day,
                          interval 1 day) t(g)
@@ -85,16 +88,21 @@ def _copy_once(c):
 
 R.add("copy_once", _copy_once, "select event_id, event_date from raw_event where event_date >= date '2024-01-16'")
 R.add("merge_upsert", lambda c: landing.merge_upsert(
-    c.raw["raw_opportunity"].filter("close_date < date '2000-01-01'")
-    .select("id", "stage_name", "amount", F.col("created_date").alias("updated_at")),
+    c.raw["raw_opportunity"].select("id", "stage_name", "amount", F.col("created_date").alias("updated_at")),
     c.raw["raw_opportunity_history"].select(F.col("opportunity_id").alias("id"), "stage_name", "amount",
                                             F.col("changed_at").alias("updated_at")), ["id"], "updated_at"), """
     with u as (select id, stage_name, amount, created_date as updated_at, 0 as n from raw_opportunity
-               where close_date < date '2000-01-01'
                union all select opportunity_id, stage_name, amount, changed_at, 1 from raw_opportunity_history)
     select id, stage_name, cast(amount as double) as amount, updated_at from (
         select *, row_number() over (partition by id order by updated_at desc, n desc, stage_name desc, amount desc)
                as rn from u) where rn = 1""")
+R.add("merge_upsert_null_keys", lambda c: landing.merge_upsert(
+    c.raw["raw_opportunity"].select(F.when(F.col("is_won"), F.col("id")).alias("id"), "stage_name",
+                                    F.col("created_date").alias("updated_at")),
+    c.raw["raw_opportunity"].select(F.when(~F.col("is_won"), F.col("id")).alias("id"), "stage_name",
+                                    F.col("created_date").alias("updated_at")), ["id"], "updated_at"), """
+    select case when is_won then id end as id, stage_name, created_date as updated_at from raw_opportunity
+    union all select case when not is_won then id end, stage_name, created_date from raw_opportunity""")
 R.add("backfill_rows", lambda c: landing.backfill_rows(
     c.raw["raw_event"].select("event_id", "event_date"), "event_date", "2024-01-05", "2024-01-20"), """
     select event_id, event_date from raw_event where event_date between date '2024-01-05' and date '2024-01-20'""")
@@ -111,6 +119,34 @@ def _backfill(c):
 R.add("backfill", _backfill, """
     select event_id, event_date, case when event_date between date '2024-01-05' and date '2024-01-20' then 2 else 1 end
            as revision from raw_event""")
+def _backfill_emptied(c):
+    path = work_dir(c.spark, "backfill")
+    rows = c.raw["raw_event"].select("event_id", "event_date", F.lit(1).alias("revision"))
+    landing.balanced(rows, "event_date").write.partitionBy("event_date").parquet(path)
+    again = rows.withColumn("revision", F.lit(2)).filter("event_date <> date '2024-01-10'")
+    landing.backfill(again, "event_date", path, "2024-01-05", "2024-01-20")
+    return c.spark.read.schema("event_id string, revision int, event_date date").parquet(path)
+
+
+R.add("backfill_emptied_day", _backfill_emptied, """
+    select event_id, event_date, case when event_date between date '2024-01-05' and date '2024-01-20' then 2 else 1 end
+           as revision from raw_event where event_date <> date '2024-01-10'""")
+
+
+def _landed_again(c, rows):
+    path = work_dir(c.spark, "landing")
+    events = c.raw["raw_event"].select("event_id", "event_name")
+    landing.land_partition(events, path, "2024-01-01", LOADED)
+    landing.land_partition(events, path, "2024-01-02", LOADED)
+    landing.land_partition(events.filter(rows), path, "2024-01-02", LOADED)
+    return landing.complete_partitions(c.spark, path).select("event_id", "event_name", "dt")
+
+
+R.add("land_partition_again", lambda c: _landed_again(c, "event_name = 'click'"), """
+    select event_id, event_name, date '2024-01-01' as dt from raw_event
+    union all select event_id, event_name, date '2024-01-02' from raw_event where event_name = 'click'""")
+R.add("land_partition_emptied", lambda c: _landed_again(c, "false"),
+      "select event_id, event_name, date '2024-01-01' as dt from raw_event")
 R.add("schema_drift", lambda c: landing.schema_drift_report(
     c.raw["raw_worker"].select("worker_id", "department", "fte", "salary"),
     c.raw["raw_worker"].select("worker_id", "department", F.col("hire_date").cast("string").alias("fte"),
@@ -154,6 +190,17 @@ def _exported(c):
 R.add("export_partition", _exported, """
     select activity_date, account_id, dau, event_count, activity_date as dt from m_real_engagement
     where activity_date = date '2024-01-15'""")
+def _exported_empty(c):
+    path = work_dir(c.spark, "export")
+    days = c.raw["raw_event"].select("event_id", "event_date")
+    for source in (days, days.filter("event_date <> date '2024-01-15'")):
+        for one in ("2024-01-14", "2024-01-15"):
+            landing.export_partition(source, "event_date", one, path)
+    return c.spark.read.schema("event_id string, event_date date, dt date").parquet(path)
+
+
+R.add("export_partition_emptied", _exported_empty, """
+    select event_id, event_date, event_date as dt from raw_event where event_date = date '2024-01-14'""")
 R.add("external_table", lambda c: registry.external_table(
     c.spark, "tidemark_supplier", f"{c.sf_dir}/supplier.parquet", "s_suppkey bigint, s_name string, s_acctbal double"),
     "select s_suppkey, s_name, s_acctbal from supplier")

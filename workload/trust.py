@@ -65,7 +65,7 @@ R.add("row_access", lambda c: governance.row_access(
     "select id, territory_id from raw_account")
 R.add("access_log", lambda c: governance.access_log(c.raw["raw_access_history"], AS_OF_EVENTS), f"""
     select sha256(query_id || '-' || strftime(start_time, '%Y-%m-%d %H:%M:%S')) as log_id, query_id, user_name,
-           cast(null as varchar) as role_name, warehouse_name, left(query_text, 10000) as query_text,
+           cast(null as varchar) as role_name, warehouse_name, query_text,
            cast(null as varchar) as database_name, cast(null as varchar) as schema_name, objects_accessed,
            start_time as query_start_time, timestamp '{AS_OF_EVENTS}' as loaded_at
     from raw_access_history where start_time >= timestamp '{AS_OF_EVENTS}' - interval 1 day
@@ -145,7 +145,7 @@ R.add("between", lambda c: quality.between(c.raw["raw_account"], "annual_revenue
     where annual_revenue < 0 or annual_revenue > 9000000""")
 R.add("freshness", lambda c: quality.freshness(
     {"account": c.raw["raw_account"], "subscription": c.raw["raw_subscription"],
-     "worker": c.raw["raw_worker"].filter("department = 'nowhere'")}, "synced_at", "2001-08-01 13:30:00"),
+     "worker": c.raw["raw_worker"]}, "synced_at", "2001-08-01 13:30:00"),
     " union all ".join(f"""
     select '{n}' as source_name, max(synced_at) as max_loaded_at,
            cast(date_diff('second', max(synced_at), timestamp '2001-08-01 13:30:00') as double) / 3600.0 as age_hours,
@@ -153,7 +153,7 @@ R.add("freshness", lambda c: quality.freshness(
                   or date_diff('second', max(synced_at), timestamp '2001-08-01 13:30:00') > 86400 then 'error'
                 when date_diff('second', max(synced_at), timestamp '2001-08-01 13:30:00') > 43200 then 'warn'
                 else 'pass' end as status from raw_{n} {w}"""
-                   for n, w in (("account", ""), ("subscription", ""), ("worker", "where department = 'nowhere'"))))
+                   for n, w in (("account", ""), ("subscription", ""), ("worker", ""))))
 TESTS = {
     "monthly_revenue": [NotNull("account_id"), NotNull("revenue_month"), NotNull("mrr_usd"), NotNull("arr_usd"),
                         Between("mrr_usd", 0), Unique(("account_id", "revenue_month"))],
@@ -296,13 +296,13 @@ def _snapshot(c, before):
 def _merged(c):
     first = history.start_history(_snapshot(c, "1999-01-01"), "opportunity_id", "changed_at")
     deleted = c.raw["raw_opportunity"].filter("is_deleted").select(F.col("id").alias("opportunity_id"))
-    batch = _snapshot(c, "2000-06-01").join(deleted, "opportunity_id", "left_anti")
-    return history.scd2_merge(first, batch, "opportunity_id", "changed_at", "2000-06-02"), batch
+    batch = _snapshot(c, "2002-01-01").join(deleted, "opportunity_id", "left_anti")
+    return history.scd2_merge(first, batch, "opportunity_id", "changed_at", "2002-01-02"), batch
 
 
 def _merged_twice(c):
     once, batch = _merged(c)
-    return history.scd2_merge(once, batch, "opportunity_id", "changed_at", "2000-06-02")
+    return history.scd2_merge(once, batch, "opportunity_id", "changed_at", "2002-01-02")
 
 
 def _at(day: str) -> str:
@@ -314,9 +314,9 @@ def _at(day: str) -> str:
 
 _MERGE = f"""
     with o as ({_at('1999-01-01')}),
-    b as (select * from ({_at('2000-06-01')}) where opportunity_id not in
+    b as (select * from ({_at('2002-01-01')}) where opportunity_id not in
           (select id from raw_opportunity where is_deleted)),
-    m as (select o.*, o.changed_at as valid_from, case when b.opportunity_id is null then timestamp '2000-06-02'
+    m as (select o.*, o.changed_at as valid_from, case when b.opportunity_id is null then timestamp '2002-01-02'
                  when b.changed_at > o.changed_at then b.changed_at end as valid_to
           from o left join b on b.opportunity_id = o.opportunity_id
           union all

@@ -45,9 +45,9 @@ R.add("time_to_hire", lambda c: people.time_to_hire(c.raw["raw_requisition"]), "
     select department, count(*) as hires, cast(sum(accepted_date - opened_date) as double) / count(*) as avg_days,
            quantile_cont(accepted_date - opened_date, 0.5) as median_days
     from raw_requisition where accepted_date is not null group by 1""")
-R.add("open_reqs", lambda c: people.open_reqs(c.raw["raw_requisition"], "2000-01-03", AS_OF_ORDERS), f"""
+R.add("open_reqs", lambda c: people.open_reqs(c.raw["raw_requisition"], "1995-01-02", AS_OF_ORDERS), f"""
     select cast(g as date) as week, count(r.id) as open_reqs
-    from generate_series(timestamp '2000-01-03', timestamp '{AS_OF_ORDERS}', interval 7 day) t(g)
+    from generate_series(timestamp '1995-01-02', timestamp '{AS_OF_ORDERS}', interval 7 day) t(g)
     left join raw_requisition r on r.opened_date <= cast(g as date)
          and (r.accepted_date is null or r.accepted_date > cast(g as date)) group by 1""")
 R.add("span_of_control", lambda c: people.span_of_control(c.marts.workers), """
