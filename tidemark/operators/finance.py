@@ -108,17 +108,8 @@ def account_month_grid(accounts: DataFrame, start: date | str, as_of: date | str
             .withColumn("revenue_month", F.explode(months)))
 
 
-def monthly_revenue(mrr: DataFrame, accounts: DataFrame, start: date | str, as_of: date | str,
-                    rule: str = "inclusive", include_trials: bool = True) -> DataFrame:
-    """Account x month with MRR and ARR, zero where nothing is billed.
-
-    A sweep instead of an interval join: a subscription adds its yearly cents in its first
-    month and takes them off after its last, so it costs two rows however long it runs.
-    Changes are summed per (account, month) with map-side combine; the running sum then sees
-    at most one row per month of an account, hot accounts included.  Only the shuffled rows
-    are sparse: the months between two changes are filled in by an explode at the very end,
-    inside the partitions that the running sum left behind.
-    """
+def _arr_changes(mrr: DataFrame, start: date | str, as_of: date | str, rule: str, include_trials: bool) -> DataFrame:
+    """``account_id, month, change``: yearly cents that each subscription adds and takes off, two rows at most."""
     rows = mrr if include_trials else mrr.filter(F.col("subscription_status") != "trialing")
     first, last = _covered_months(rule)
     opening, closing = period_start(day(start), "month"), period_start(day(as_of), "month")
@@ -131,6 +122,40 @@ def monthly_revenue(mrr: DataFrame, accounts: DataFrame, start: date | str, as_o
             F.struct(F.add_months("l", 1).alias("month"), (-F.col("c")).alias("change")))).alias("s"))
         .select("account_id", "s.month", "s.change").filter(F.col("month") <= closing)
     )
+    return changes
+
+
+def arr_by_month(mrr: DataFrame, accounts: DataFrame, start: date | str, as_of: date | str,
+                 rule: str = "inclusive", include_trials: bool = True) -> DataFrame:
+    """``revenue_month, total_arr`` of all listed accounts.
+
+    ARR adds up, so the changes of all accounts are summed by month and the running total sees one row per month;
+    no account x month rows arise.
+    """
+    known = accounts.select("account_id").filter(F.col("account_id").isNotNull()).distinct()
+    changes = _arr_changes(mrr, start, as_of, rule, include_trials).join(known, "account_id", "left_semi")
+    opening, closing = period_start(day(start), "month"), period_start(day(as_of), "month")
+    # Without accounts there are no rows, as in the mart.
+    months = known.agg(F.count("*").alias("n")).filter("n > 0").select(
+        F.explode(periods(opening, closing, "month")).alias("month"), F.lit(0).cast("bigint").alias("change"))
+    line = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = changes.select("month", "change").unionByName(months).groupBy("month").agg(F.sum("change").alias("change"))
+    return summed.select(F.col("month").alias("revenue_month"), yearly_usd(F.sum("change").over(line)).alias("total_arr"))
+
+
+def monthly_revenue(mrr: DataFrame, accounts: DataFrame, start: date | str, as_of: date | str,
+                    rule: str = "inclusive", include_trials: bool = True) -> DataFrame:
+    """Account x month with MRR and ARR, zero where nothing is billed.
+
+    A sweep instead of an interval join: a subscription adds its yearly cents in its first
+    month and takes them off after its last, so it costs two rows however long it runs.
+    Changes are summed per (account, month) with map-side combine; the running sum then sees
+    at most one row per month of an account, hot accounts included.  Only the shuffled rows
+    are sparse: the months between two changes are filled in by an explode at the very end,
+    inside the partitions that the running sum left behind.
+    """
+    opening, closing = period_start(day(start), "month"), period_start(day(as_of), "month")
+    changes = _arr_changes(mrr, start, as_of, rule, include_trials)
     listed = accounts.select("account_id").filter(F.col("account_id").isNotNull()).distinct().select(
         "account_id", opening.alias("month"), F.lit(0).cast("bigint").alias("change"))
     summed = (

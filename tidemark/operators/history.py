@@ -119,6 +119,23 @@ def daily_snapshot_append(history: DataFrame, start: date | str, end: date | str
             .drop("_first", "_last", *VALID))
 
 
+def append_daily_snapshots(history: DataFrame, path: str, start: date | str, end: date | str, open_when=None) -> None:
+    """Add the days after the last stored one, up to ``end``, to the snapshot table below ``path``, by day.
+
+    Only versions that are valid on a new day are read on.  The last stored day is written again, as a run
+    may have broken off in it; a repeated run changes nothing.
+    """
+    spark = history.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    begin = str(start)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        last = spark.read.schema("snapshot_date date").parquet(path).agg(F.max("snapshot_date")).first()[0]
+        begin = max(begin, str(last)) if last else begin
+    days = daily_snapshot_append(history, begin, end, open_when)
+    (days.hint("rebalance", F.col("snapshot_date")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snapshot_date").parquet(path))
+
+
 def _valid_days(rows: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Add the first and last midnight in ``[start, end]`` at which a version is valid."""
     begins = F.col("valid_from").cast("date")

@@ -103,6 +103,17 @@ def rolling_distinct(events: DataFrame, start: date | str, end: date | str, n: i
     return daily.select(*by, "activity_date", F.sum("change").over(to_date).alias("mau"))
 
 
+def active_users(events: DataFrame, start: date | str, end: date | str, n: int = 30) -> DataFrame:
+    """Day: distinct users (``dau``) and distinct users of the last ``n`` days (``mau``), each counted once however
+    many accounts they have.  Days without activity have zero users."""
+    active = not_in_events(events)
+    today = (events_between(active, start, end).select(F.col("event_date").alias("activity_date"), "user_id").distinct()
+             .groupBy("activity_date").agg(F.count("user_id").alias("dau")))
+    rolled = rolling_distinct(active, start, end, n)
+    return rolled.join(today, "activity_date", "left").select(
+        "activity_date", F.coalesce("dau", F.lit(0)).cast("bigint").alias("dau"), "mau")
+
+
 def rolling_distinct_approx(events: DataFrame, start: date | str, end: date | str, n: int = 30,
                             by: Sequence[str] = (), user: str = "user_id", lg_k: int = 12) -> DataFrame:
     """``rolling_distinct`` with HyperLogLog sketches: one per day, merged over the days it reaches.

@@ -84,6 +84,11 @@ class Marts:
         return finance.monthly_revenue(self.subscription_mrr, self.accounts, self.settings.start,
                                        self.settings.as_of)
 
+    @cached_property
+    def arr_totals(self) -> DataFrame:
+        totals = finance.arr_by_month(self.subscription_mrr, self.accounts, self.settings.start, self.settings.as_of)
+        return totals.withColumnRenamed("total_arr", "arr_usd")
+
     @cached_property
     def gross_margin(self) -> DataFrame:
         return finance.gross_margin(self.raw["raw_transaction"])
@@ -148,6 +153,11 @@ class Marts:
     def product_kpis(self) -> DataFrame:
         return self.daily_engagement.select("activity_date", "dau", "mau", "dau_mau_ratio")
 
+    @cached_property
+    def product_users(self) -> DataFrame:
+        """Day: distinct users, and distinct users of the last 30 days, over all accounts."""
+        return product.active_users(self._real(self.raw["raw_event"]), self.settings.events_from, self.settings.events_to)
+
     @cached_property
     def hr_kpis(self) -> DataFrame:
         return people.hr_rollup(self.monthly_headcount)

@@ -34,6 +34,11 @@ class SemanticModel:
     entity: str
     dimensions: tuple[str, ...]
     measures: tuple[Measure, ...]
+    # The view that the corrected form reads, if it is another one.
+    corrected_view: str | None = None
+    # A view with one row per period, and the measures that may be read from it when nothing is filtered or split.
+    totals_view: str | None = None
+    totals: tuple[str, ...] = ()
 
     def measure(self, name: str) -> Measure:
         return next(m for m in self.measures if m.name == name)
@@ -52,7 +57,7 @@ class Metric:
 MODELS = (
     SemanticModel("revenue_metrics", "revenue_kpis", "revenue_month", "month", "account_id", ("account_id",), (
         Measure("mrr", "mrr_usd", rollup="last"),
-        Measure("arr", "arr_usd", rollup="last"))),
+        Measure("arr", "arr_usd", rollup="last")), totals_view="arr_totals", totals=("arr",)),
     SemanticModel("sales_metrics", "sales_kpis", "snapshot_date", "day", "opportunity_id",
                   ("account_id", "stage_name"), (
                       Measure("pipeline_value", "amount_usd", rollup="last"),
@@ -69,7 +74,7 @@ MODELS = (
         Measure("cogs", "cogs"))),
     SemanticModel("product_metrics", "product_kpis", "activity_date", "day", "activity_date", (), (
         Measure("dau", "dau", rollup="average"),
-        Measure("mau", "mau", rollup="last"))),
+        Measure("mau", "mau", rollup="last")), corrected_view="product_users"),
     SemanticModel("hr_metrics", "hr_kpis", "activity_month", "month", "activity_month", (), (
         Measure("headcount", "headcount", rollup="last"),
         Measure("terminations", "terminations"),
@@ -131,7 +136,8 @@ def measures(marts: Marts, model: SemanticModel, names: Sequence[str], grain: st
     unknown = set(dims) - set(model.dimensions)
     if unknown:
         raise ValueError(f"{model.name} has no dimensions {sorted(unknown)}")
-    view = getattr(marts, model.view)
+    whole = where is None and not dims and model.totals_view is not None and set(names) <= set(model.totals)
+    view = getattr(marts, model.totals_view if whole else corrected and model.corrected_view or model.view)
     if where is not None:
         view = view.filter(where)
     period = period_start(F.col(model.time), grain).alias("period")

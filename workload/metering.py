@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans import metrics
-from workload.bindings import AS_OF_ORDERS, TEST_ACCOUNTS
-from workload.context import Registry
+from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS, TEST_ACCOUNTS
+from workload.context import EVENTS_FROM, Registry
 from workload.oracle import FRAGMENTS
 
 R = Registry()
@@ -73,12 +73,19 @@ R.add("metric_pipeline_value_by_stage", lambda c: metrics.metric(c.marts, "pipel
 R.add("metric_mrr_filtered", lambda c: metrics.metric(c.marts, "mrr", where=F.col("mrr_usd") >= 10000), """
     select 'mrr' as metric, 'month' as grain, t as period, sum(mrr_cents) / 100.0 as value
     from v_revenue where mrr_cents >= 1000000 group by 3""")
-R.add("metric_mau_corrected", lambda c: metrics.metric(c.marts, "mau", "month", corrected=True), """
-    select 'mau' as metric, 'month' as grain, date_trunc('month', t)::date as period,
-           cast(arg_max(mau, t) as double) as value from v_product group by 3""")
-R.add("metric_dau_corrected", lambda c: metrics.metric(c.marts, "dau", "month", corrected=True), """
-    select 'dau' as metric, 'month' as grain, date_trunc('month', t)::date as period,
-           cast(sum(dau) as double) / count(*) as value from v_product group by 3""")
+_USERS = f"""
+    a as (select event_date as d, user_id from e_active where account_id not in {TEST_ACCOUNTS}),
+    c as (select cast(g as date) as t from generate_series(timestamp '{EVENTS_FROM}', timestamp '{AS_OF_EVENTS}', interval 1 day) x(g)),
+    u as (select t, (select count(distinct user_id) from a where d = t) as dau,
+                 (select count(distinct user_id) from a where d between t - 29 and t) as mau from c)"""
+R.add("metric_mau_corrected", lambda c: metrics.metric(c.marts, "mau", "month", corrected=True), f"""
+    with {_USERS} select 'mau' as metric, 'month' as grain, date_trunc('month', t)::date as period,
+           cast(arg_max(mau, t) as double) as value from u group by 3""")
+R.add("metric_dau_corrected", lambda c: metrics.metric(c.marts, "dau", "month", corrected=True), f"""
+    with {_USERS} select 'dau' as metric, 'month' as grain, date_trunc('month', t)::date as period,
+           cast(sum(dau) as double) / count(*) as value from u group by 3""")
+R.add("product_users", lambda c: c.marts.product_users, f"""
+    with {_USERS} select t as activity_date, dau, mau from u""")
 R.add("metric_arr_corrected", lambda c: metrics.metric(c.marts, "arr", "quarter", corrected=True), """
     with m as (select t, sum(cents) as cents from v_revenue group by 1)
     select 'arr' as metric, 'quarter' as grain, date_trunc('quarter', t)::date as period,

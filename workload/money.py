@@ -35,6 +35,10 @@ R.add("customers_spine", lambda c: c.marts.customers.join(
 R.add("subscription_mrr", lambda c: c.marts.subscription_mrr, """
     select * replace (cast(annual_cents as bigint) as annual_cents),
            ((2 * annual_cents + 12) // 24) / 100.0 as mrr_usd from s_mrr""")
+def _totals(c):
+    return finance.arr_by_month(c.marts.subscription_mrr, c.marts.accounts, SPINE_START, AS_OF_ORDERS)
+
+
 R.add("account_month_grid", lambda c: finance.account_month_grid(c.marts.accounts, SPINE_START, AS_OF_ORDERS),
       "select account_id, revenue_month from s_account cross join months")
 R.add("interval_join", lambda c: finance.subscription_months(c.marts.subscription_mrr, SPINE_START, AS_OF_ORDERS), """
@@ -54,7 +58,9 @@ R.add("monthly_revenue_month_start", lambda c: finance.monthly_revenue(
              and cast(d.revenue_month as timestamp) < coalesce(m.canceled_at, m.period_end_at)
         group by 1, 2)
     select account_id, revenue_month, ((2 * cents + 12) // 24) / 100.0 as mrr_usd, cents / 100.0 as arr_usd from t""")
-R.add("total_arr", lambda c: finance.total_arr(c.marts.monthly_revenue),
+R.add("total_arr_of_grid", lambda c: finance.total_arr(c.marts.monthly_revenue),
+      "select revenue_month, sum(cents) / 100.0 as total_arr from m_revenue group by 1")
+R.add("total_arr", _totals,
       "select revenue_month, sum(cents) / 100.0 as total_arr from m_revenue group by 1")
 R.add("gross_margin", lambda c: c.marts.gross_margin, """
     select revenue_month, cast(revenue_usd as double) as revenue_usd, cast(cogs_usd as double) as cogs_usd,
@@ -126,18 +132,18 @@ R.add("revenue_per_head", lambda c: finance.revenue_per_head(c.marts.gross_margi
 R.add("attributed_revenue_proxy", lambda c: c.marts.funnel_metrics.select(
     "activity_month", attributed_revenue_proxy(F.col("marketing_spend_usd")).alias("attributed_revenue")),
     "select activity_month, cast(marketing_spend_usd * 3 as double) as attributed_revenue from m_funnel")
-R.add("growth_rate", lambda c: finance.growth_rate(finance.total_arr(c.marts.monthly_revenue), "revenue_month",
+R.add("growth_rate", lambda c: finance.growth_rate(_totals(c), "revenue_month",
                                                    "total_arr"), """
     with t as (select revenue_month, sum(cents) / 100.0 as total_arr from m_revenue group by 1),
     g as (select *, lag(total_arr) over (order by revenue_month) as p from t)
     select revenue_month, total_arr, (total_arr - p) / nullif(p, 0) as growth from g""")
-R.add("mean_growth", lambda c: finance.mean_growth(finance.total_arr(c.marts.monthly_revenue)).select(
+R.add("mean_growth", lambda c: finance.mean_growth(_totals(c)).select(
     F.round("mean_growth", 9).alias("mean_growth")), """
     with t as (select revenue_month, sum(cents) / 100.0 as total_arr from m_revenue group by 1),
     g as (select total_arr, lag(total_arr) over (order by revenue_month) as p from t)
     select round(avg((total_arr - p) / nullif(p, 0)), 9) as mean_growth from g""")
 R.add("forecast_growth", lambda c: finance.forecast_growth(
-    finance.total_arr(c.marts.monthly_revenue), AS_OF_ORDERS).withColumn(
+    _totals(c), AS_OF_ORDERS).withColumn(
     "forecast_arr_usd", F.round("forecast_arr_usd", 0)), f"""
     with t as (select revenue_month, sum(cents) / 100.0 as total_arr from m_revenue group by 1),
     g as (select *, lag(total_arr) over (order by revenue_month) as p from t),
@@ -147,7 +153,7 @@ R.add("forecast_growth", lambda c: finance.forecast_growth(
            'mean_growth' as forecast_method, timestamp '{AS_OF_ORDERS}' as generated_at
     from s cross join range(1, 13) r(i)""")
 R.add("forecast_smoothing", lambda c: finance.forecast_smoothing(
-    finance.total_arr(c.marts.monthly_revenue), AS_OF_ORDERS, 0.3, 6).withColumn(
+    _totals(c), AS_OF_ORDERS, 0.3, 6).withColumn(
     "forecast_arr_usd", F.round("forecast_arr_usd", 1)), f"""
     with t as (select row_number() over (order by revenue_month) as i, count(*) over () as n,
                       sum(cents) / 100.0 as x from m_revenue group by revenue_month)
