@@ -14,7 +14,7 @@ similarity of at least 0.8 (equal, or one word replaced).
    before the pick, and the first run of all, are compared word by word.  That is linear in the
    group.  Paragraphs that are alike mark their runs and link them.
 4. Components of linked runs form a cluster.  Its first occurrence (by id, then place) stays; all
-   other occurrences lose the words of their marked paragraphs, except words that some kept occurrence needs.
+   other occurrences lose the common words of their alike paragraphs, except words that some kept occurrence needs.
 """
 
 from __future__ import annotations
@@ -113,11 +113,27 @@ def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return inside & (common * 100 >= (2 * per - common) * PERCENT)
 
 
+def common_words(one: np.ndarray, two: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """Which words of the first row go with its alike paragraphs: those equal to the aligned word of the second,
+    and up to ``SHINGLE`` replaced ones between two such; so words that merely border on a passage stay."""
+    covered = np.zeros((len(one), one.shape[1] + 1), np.int32)
+    covered[:, : flags.shape[1]] += flags
+    covered[:, WORDS: WORDS + flags.shape[1]] -= flags[:, : covered.shape[1] - WORDS]
+    equal = (np.cumsum(covered, axis=1)[:, :-1] > 0) & (one == two) & (one > 0)
+    marked = equal.copy()
+    width = equal.shape[1]
+    for gap in range(2, SHINGLE + 2):
+        both = equal[:, : width - gap] & equal[:, gap:]
+        for inside in range(1, gap):
+            marked[:, inside: width - gap + inside] |= both
+    return marked
+
+
 def _verified(rows: pd.DataFrame) -> pd.DataFrame:
-    """Marked paragraphs (``s, x, y``: a run of them) and links (``s, other``) of a shard's runs."""
+    """Words of alike paragraphs (``s, x, y``: from, up to) and links (``s, other``) of a shard's runs."""
     rows = rows.drop_duplicates(["k", "s"])
     at = rows["at"].to_numpy(np.int64)
-    windows, pick = (at >> 8) & 255, at & 255
+    pick = at & 255
     group, names = rows["k"].to_numpy(np.int64), rows["s"].to_numpy(np.int64)
     width = _LEFT + _RIGHT
     table = np.zeros((len(rows), width), np.uint32)
@@ -134,19 +150,21 @@ def _verified(rows: pd.DataFrame) -> pd.DataFrame:
     one, two = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
     fit = (group[one] == group[two]) & (one != two)
     one, two = one[fit], two[fit]
-    marked = np.zeros((len(rows), width - WORDS + 1), bool)
+    marked = np.zeros((len(rows), width), bool)
     links = []
     for begin in range(0, len(one), 8192):
         a, b = one[begin: begin + 8192], two[begin: begin + 8192]
         flags = alike(table[a], table[b])
         hit = flags.any(axis=1)
-        np.logical_or.at(marked, a[hit], flags[hit])
-        np.logical_or.at(marked, b[hit], flags[hit])
-        links.extend(zip(names[a[hit]].tolist(), names[b[hit]].tolist()))
+        a, b = a[hit], b[hit]
+        words = common_words(table[a], table[b], flags[hit])
+        np.logical_or.at(marked, a, words)
+        np.logical_or.at(marked, b, words)
+        links.extend(zip(names[a].tolist(), names[b].tolist()))
     out: list[tuple] = [(a, b, None, None) for a, b in links]
     for i in np.flatnonzero(marked.any(axis=1)).tolist():
         start = _LEFT - int(pick[i])
-        edges = np.flatnonzero(np.diff(marked[i, start: start + int(windows[i])].astype(np.int8), prepend=0, append=0))
+        edges = np.flatnonzero(np.diff(marked[i, start:].astype(np.int8), prepend=0, append=0))
         out.extend((int(names[i]), None, x, y) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist()))
     columns = list(zip(*out)) if out else [()] * 4
     kinds = ("Int64", "Int64", "Int32", "Int32")
@@ -184,7 +202,7 @@ def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     linked = components(found.filter("other is not null").select(F.col("s").alias("a"), F.col("other").alias("b")))
     marks = (found.filter("x is not null").groupBy("s").agg(F.collect_set(F.struct("x", "y")).alias("marks")))
     windows = F.shiftright("first.at", 8).bitwiseAND(F.lit(255)).cast("int")
-    whole = F.when(F.col("n") > 1, F.array(F.struct(F.lit(0).alias("x"), windows.alias("y"))))
+    whole = F.when(F.col("n") > 1, F.array(F.struct(F.lit(0).alias("x"), (windows + (WORDS - 1)).alias("y"))))
     clustered = (
         nodes.join(marks, "s", "left").withColumn("marks", F.coalesce(whole, "marks")).filter("marks is not null")
         .join(linked.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s")))
@@ -196,7 +214,7 @@ def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
         shared.join(table, ["k", "s"])
         .select("d", "h", lo.alias("lo"), F.coalesce(place == F.col("kept"), F.lit(False)).alias("keep"),
                 F.col("kept.d").alias("keeper"), F.explode("marks").alias("m"))
-        .select("d", "h", (F.col("lo") + F.col("m.x")).alias("begin"), (F.col("lo") + F.col("m.y") + (WORDS - 1)).alias("end"),
+        .select("d", "h", (F.col("lo") + F.col("m.x")).alias("begin"), (F.col("lo") + F.col("m.y")).alias("end"),
                 "keep", "keeper"))
 
 

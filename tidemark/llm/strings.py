@@ -1,7 +1,8 @@
 """A gap-weighted subsequence kernel on words, with Nyström landmarks, for operator 1.
 
 A word's features are its subsequences of three letters within eight, each occurrence weighted by DECAY to the power
-of its span, divided by the norm that different letters would give a word of that length.  The kernel of two
+of its span, divided by the norm that different letters would give a word of that length, and by their own norm where
+repeated letters make that greater than 1.  The kernel of two
 words is the product of their features, so inserted, doubled and dropped letters cost little.
 """
 
@@ -75,7 +76,15 @@ def decisions(codes: np.ndarray, starts: np.ndarray, weights: np.ndarray, bias:
     for last, where, triple in _triples(codes, starts):
         sums[where] += weights[triple] * np.float32(DECAY ** (last + 1))
     lengths = np.diff(starts, append=len(codes))
-    return np.add.reduceat(sums, starts) / _norms(int(lengths.max()))[lengths] + bias
+    value = np.add.reduceat(sums, starts) / _norms(int(lengths.max()))[lengths]
+    # Repeated letters make a word's features longer than 1; where that could tell, it is scaled back.
+    ends = np.append(starts[1:], len(codes))
+    blob = codes.tobytes()
+    high = np.flatnonzero(np.abs(value) > 1.5)
+    for begin in range(0, len(high), 4096):
+        part = high[begin: begin + 4096]
+        value[part] /= np.maximum(1, own_norms([blob[starts[i]: ends[i]] for i in part]))
+    return value + bias
 
 
 def _sparse(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,13 +101,21 @@ def _sparse(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, triples.astype(np.int64), values / _norms(int(lengths.max()))[lengths[rows]]
 
 
+def own_norms(words: list[bytes]) -> np.ndarray:
+    """The length of each word's features."""
+    rows, triples, values = _sparse(words)
+    keys, place = np.unique(rows * LETTERS ** 3 + triples, return_inverse=True)
+    sums = np.bincount(place, weights=values, minlength=len(keys))
+    return np.sqrt(np.bincount(keys // LETTERS ** 3, weights=sums ** 2, minlength=len(words)))
+
+
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Features of a bounded list of words, and the subsequence that each column stands for; others are 0."""
     rows, triples, values = _sparse(words)
     columns, place = np.unique(triples, return_inverse=True)
     out = np.zeros((len(words), len(columns)))
     np.add.at(out, (rows, place), values)
-    return out, columns
+    return out / np.maximum(1, np.linalg.norm(out, axis=1))[:, None], columns
 
 
 def kernel(words: list[bytes], landmarks: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -110,7 +127,8 @@ def kernel(words: list[bytes], landmarks: np.ndarray, columns: np.ndarray) -> np
         known = columns[place] == triples
         block = np.zeros((min(512, len(words) - begin), len(columns)))
         np.add.at(block, (rows[known], place[known]), values[known])
-        out[begin: begin + 512] = block @ landmarks.T
+        own = np.maximum(1, own_norms(words[begin: begin + 512]))
+        out[begin: begin + 512] = block @ landmarks.T / own[:, None]
     return out
 
 
