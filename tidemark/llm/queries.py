@@ -75,4 +75,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+# Kernel machines, token merges, hash thresholds, graphs, packing and samples are not expressible in SQL; tests/llm compare
+# those queries with brute force.
+ORACLES: dict[str, str] = {
+    "op9_minhash_near_dedup": r"""
+    with w as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') as words from documents),
+    s as (
+      select doc_id, case when len(words) = 0 then [] when len(words) < 3 then [array_to_string(words, ' ')]
+        else list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) end as items
+      from w),
+    n as (select doc_id, len(items) as n from s),
+    x as (select doc_id, unnest(items) as item from s),
+    i as (select a.doc_id as a, b.doc_id as b, count(*) as shared from x a join x b on a.item = b.item and a.doc_id < b.doc_id group by 1, 2),
+    links as materialized (
+      select a, b from i join n p on p.doc_id = a join n q on q.doc_id = b where 100 * shared >= 85 * (p.n + q.n - shared)),
+    edges as (select a, b from links union all select b, a from links),
+    reach as (
+      with recursive r(node, root) as (
+        select doc_id, doc_id from n union select e.b, r.root from r join edges e on e.a = r.node)
+      select node, min(root) as root from r group by 1)
+    select n.doc_id, cast(n.n as bigint) as n_shingles, reach.root as component_id, reach.root = n.doc_id as kept
+    from n join reach on reach.node = n.doc_id""",
+    "op10_suffix_array_dedup": r"""
+    with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    p as (select doc_id, unnest(range(0, len(h) // 2 - 199)) as pos, h from d where len(h) >= 400),
+    g as (select doc_id, pos, md5(substr(h, 2 * pos + 1, 400)) as m from p),
+    rep as (select m from g group by m having count(*) > 1),
+    hit as (select doc_id, pos from g where m in (select m from rep)),
+    o as (select doc_id, pos, pos - lag(pos) over (partition by doc_id order by pos) as gap from hit),
+    run as (select doc_id, pos, sum(case when gap is null or gap > 200 then 1 else 0 end) over (partition by doc_id order by pos) as k from o),
+    span as (select doc_id, k, min(pos) as b, max(pos) + 200 as e from run group by 1, 2),
+    piece as (
+      select doc_id, b, e, coalesce(lag(e) over (partition by doc_id order by b), 0) as f,
+             lead(b) over (partition by doc_id order by b) is null as last from span),
+    kept as (
+      select doc_id, count(*) as n_spans, sum(e - b) as n_removed, max(e) as tail,
+             string_agg(substr(h, 2 * f + 1, 2 * (b - f)), '' order by b) as k from piece join d using (doc_id) group by 1)
+    select d.doc_id, cast(len(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+           cast(coalesce(n_spans, 0) as bigint) as n_spans,
+           sha256(unhex(coalesce(k || substr(h, 2 * tail + 1), h))) as kept_sha256
+    from d left join kept using (doc_id)""",
+}
