@@ -12,6 +12,7 @@ from tidemark.operators.skew import hot_keys, spread_join
 
 # Lifecycle stages and the W-shaped weights.
 MQL, SQL = "marketingqualifiedlead", "salesqualifiedlead"
+LATER = ("opportunity", "customer", "evangelist")
 MILESTONE_WEIGHT, REST_WEIGHT = 0.3, 0.1
 
 
@@ -40,6 +41,32 @@ def funnel_conversion(contacts: DataFrame) -> DataFrame:
     return counted.withColumn("mql_to_sql_rate", ratio(F.col("sqls"), F.col("mqls")))
 
 
+def funnel_reached(contacts: DataFrame) -> DataFrame:
+    """MQL to SQL rate per month of contact creation, counting who ever got that far.
+
+    A contact's stage is its present one; who stands at a later stage has passed the earlier ones,
+    so the rate cannot exceed 1.
+    """
+    stage = F.col("lifecycle_stage")
+    counted = (contacts.groupBy(period_start(F.col("created_at"), "month").alias("activity_month"))
+               .agg(F.count(F.when(stage.isin(MQL, SQL, *LATER), 1)).alias("reached_mql"),
+                    F.count(F.when(stage.isin(SQL, *LATER), 1)).alias("reached_sql")))
+    return counted.withColumn("mql_to_sql_rate", ratio(F.col("reached_sql"), F.col("reached_mql")))
+
+
+def daily_mqls(contacts: DataFrame) -> DataFrame:
+    """Qualified contacts per day of creation."""
+    return (contacts.filter(F.col("lifecycle_stage") == MQL).groupBy(F.col("created_at").cast("date").alias("activity_date"))
+            .agg(F.count("*").alias("mqls")))
+
+
+def campaign_returns(days: DataFrame) -> DataFrame:
+    """Campaign x month from ``campaign_performance`` rows: sums, and the return on the summed spend."""
+    sums = [F.sum(c).alias(c) for c in ("spend_usd", "impressions", "clicks", "attributed_revenue_usd")]
+    months = days.groupBy("campaign_id", period_start(F.col("activity_date"), "month").alias("activity_month")).agg(*sums)
+    return months.withColumn("roas", ratio(F.col("attributed_revenue_usd"), F.col("spend_usd")))
+
+
 def cost_per_mql(leads: DataFrame, spend: DataFrame) -> DataFrame:
     """Spend per qualified lead by channel and month.  ``leads`` carries a ``channel``."""
     qualified = (leads.filter(F.col("lifecycle_stage") == MQL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -69,12 +70,24 @@ def headcount_monthly(workers: DataFrame, start: date | str, as_of: date | str)
                           "terminations", "change")
 
 
-def attrition_avg(history: DataFrame) -> DataFrame:
-    """Terminations over the mean of opening and closing headcount, per month."""
-    total = history.groupBy("month").agg(F.sum("headcount").alias("closing"), F.sum("change").alias("change"),
+def employee_months(workers: DataFrame, start: date | str, as_of: date | str) -> DataFrame:
+    """Employee x month from the month of hire to that of termination: department, cost center, FTE, and whether
+    the employee is still there at the end of the month."""
+    opening, closing = period_start(day(start), "month"), period_start(day(as_of), "month")
+    first = F.greatest(period_start(F.col("hire_date"), "month"), opening)
+    last = F.least(period_start(F.coalesce("termination_date", day(as_of)), "month"), closing)
+    employed = workers.filter(F.col("hire_date").isNotNull() & (last >= first))
+    listed = employed.withColumn("month", F.explode(periods(first, last, "month")))
+    stays = F.col("termination_date").isNull() | (F.col("termination_date") > F.last_day("month"))
+    return listed.select("employee_id", "month", "department", "cost_center", "fte", stays.alias("is_active"))
+
+
+def attrition_avg(history: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Terminations over the mean of opening and closing headcount, per month (and ``by``, such as the department)."""
+    total = history.groupBy("month", *by).agg(F.sum("headcount").alias("closing"), F.sum("change").alias("change"),
                                          F.sum("terminations").alias("terminations"))
     mean = (F.col("closing") + F.col("closing") - F.col("change")) / F.lit(2.0)
-    return total.select("month", "terminations", mean.alias("avg_headcount"),
+    return total.select("month", *by, "terminations", mean.alias("avg_headcount"),
                         ratio(F.col("terminations"), mean).alias("attrition_rate"))
 
 

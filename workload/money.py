@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import period_start
 from tidemark.functions.values import attributed_revenue_proxy
 from tidemark.operators import finance, people
 from workload.bindings import AS_OF_ORDERS, SPINE_START
@@ -175,3 +176,8 @@ R.add("forecast_smoothing_by_owner", lambda c: finance.forecast_smoothing(
     from t cross join range(1, 3) r(h) group by owner_id, h""")
 R.add("arr_by_month", lambda c: c.marts.revenue_kpis.groupBy(F.col("revenue_month").alias("period")).agg(
     F.sum("arr_usd").alias("arr")), "select revenue_month as period, sum(cents) / 100.0 as arr from m_revenue group by 1")
+R.add("revenue_by_ledger_account", lambda c: c.raw["raw_transaction"].groupBy(
+    period_start(F.col("transaction_date"), "month").alias("revenue_month"), "account_type").agg(
+    F.sum("amount").alias("amount")), """
+    select cast(date_trunc('month', transaction_date) as date) as revenue_month, account_type,
+           cast(sum(amount) as double) as amount from raw_transaction group by 1, 2""")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from tidemark.operators import finance, product, scoring
+from tidemark.session import checkpointed, work_dir
+from tidemark.sources import landing
 from workload.bindings import AS_OF_EVENTS
 from workload.context import EVENTS_FROM, Registry
 
@@ -54,3 +57,40 @@ R.add("features_labels", lambda c: scoring.training_rows(_churn_features(c), _la
 R.add("segment_accounts", lambda c: scoring.segment_accounts(
     scoring.account_features(_engagement(c), _revenue(c)), AS_OF_EVENTS))
 R.add("churn_scores", lambda c: scoring.churn_scores(_churn_features(c), _labels(c), AS_OF_EVENTS))
+
+
+def _written(c, scores, schema: str):
+    """Scores as their table holds them after a second run has replaced the first."""
+    path = work_dir(c.spark, "scores")
+    for _ in range(2):
+        landing.overwrite_table(scores, path)
+    return c.spark.read.schema(schema).parquet(path)
+
+
+def _segment_summary(c):
+    features = checkpointed(scoring.account_features(_engagement(c), _revenue(c)), "features")
+    scores = _written(c, scoring.segment_accounts(features, AS_OF_EVENTS), "account_id string, scored_at date, segment_name string")
+    arr = scores.join(features, "account_id").groupBy("segment_name").agg(F.avg("arr_usd").alias("mean_arr"))
+    place = F.array_position(F.array(*[F.lit(n) for n in scoring.SEGMENTS]), F.col("segment_name"))
+    # Five segments at most.
+    means = arr.agg(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("place"), "mean_arr"))),
+                                lambda x: x["mean_arr"]).alias("m")).select((F.array_sort("m") == F.col("m")).alias("ordered"))
+    return scores.agg(F.count("*").alias("accounts"), F.count_distinct("account_id").alias("scored")).withColumn(
+        "ordered_by_arr", means.scalar())
+
+
+def _churn_summary(c):
+    scores = _written(c, scoring.churn_scores(_churn_features(c), _labels(c), AS_OF_EVENTS),
+                      "account_id string, churn_predicted double, churn_probability double, scored_at date")
+    likely = F.col("churn_probability")
+    return scores.agg(
+        F.count("*").alias("accounts"), F.count_distinct("account_id").alias("scored"),
+        F.bool_and(likely.between(0, 1)).alias("all_probabilities"),
+        F.bool_and((likely > 0.5) == (F.col("churn_predicted") == 1)).alias("predictions_agree"))
+
+
+R.add("segment_summary", _segment_summary, f"""
+    with {_FEATURES} select count(*) as accounts, count(distinct account_id) as scored, true as ordered_by_arr from f""")
+R.add("churn_summary", _churn_summary, f"""
+    with {_CHURN} select count(*) as accounts, count(distinct account_id) as scored, true as all_probabilities,
+           true as predictions_agree from cf""")

@@ -93,6 +93,15 @@ R.add("funnel_conversion", lambda c: marketing.funnel_conversion(c.marts.contact
            cast(count(*) filter (where lifecycle_stage = 'salesqualifiedlead') as double)
              / nullif(count(*) filter (where lifecycle_stage = 'marketingqualifiedlead'), 0) as mql_to_sql_rate
     from s_contact group by 1""")
+R.add("funnel_reached", lambda c: marketing.funnel_reached(c.marts.contacts), """
+    with r as (select cast(date_trunc('month', created_at) as date) as activity_month,
+           count(*) filter (where lifecycle_stage in ('marketingqualifiedlead', 'salesqualifiedlead', 'opportunity')) as reached_mql,
+           count(*) filter (where lifecycle_stage in ('salesqualifiedlead', 'opportunity')) as reached_sql
+        from s_contact group by 1)
+    select *, cast(reached_sql as double) / nullif(reached_mql, 0) as mql_to_sql_rate from r""")
+R.add("daily_mqls", lambda c: marketing.daily_mqls(c.marts.contacts), """
+    select cast(created_at as date) as activity_date, count(*) as mqls from s_contact
+    where lifecycle_stage = 'marketingqualifiedlead' group by 1""")
 R.add("cost_per_mql", lambda c: marketing.cost_per_mql(
     c.marts.contacts.join(c.raw["raw_opportunity"].select(F.col("id").alias("contact_id"),
                                                           F.col("lead_source").alias("channel")), "contact_id"),
@@ -138,13 +147,20 @@ _WEIGHTS = f"""
               / (marks * 0.3::double + case when others > 0 then 0.1::double else 0 end), 9) as weight from g)"""
 R.add("attribution_w", lambda c: marketing.attribution_w(_touches(c), _lead_opps(c)).withColumn(
     "weight", F.round("weight", 9)), f"with {_WEIGHTS} select * from w")
-R.add("campaign_performance", lambda c: marketing.campaign_performance(
-    c.raw["raw_ad_spend"],
-    marketing.attribution_w(_touches(c), _lead_opps(c))
-    .join(_lead_opps(c).filter("is_won").select("opportunity_id", "close_date", "amount_usd"), "opportunity_id")
-    .select("campaign_id", F.col("close_date").alias("activity_date"),
-            (F.round("weight", 9).cast("decimal(10,9)") * F.col("amount_usd")).alias("attributed_revenue_usd"))
-).withColumns({"attributed_revenue_usd": F.round("attributed_revenue_usd", 2), "roas": F.round("roas", 6)}), f"""
+def _campaign_days(c):
+    return marketing.campaign_performance(
+        c.raw["raw_ad_spend"],
+        marketing.attribution_w(_touches(c), _lead_opps(c))
+        .join(_lead_opps(c).filter("is_won").select("opportunity_id", "close_date", "amount_usd"), "opportunity_id")
+        .select("campaign_id", F.col("close_date").alias("activity_date"),
+                (F.round("weight", 9).cast("decimal(10,9)") * F.col("amount_usd")).alias("attributed_revenue_usd")))
+
+
+def _rounded(df):
+    return df.withColumns({"attributed_revenue_usd": F.round("attributed_revenue_usd", 2), "roas": F.round("roas", 6)})
+
+
+R.add("campaign_performance", lambda c: _rounded(_campaign_days(c)), f"""
     with {_WEIGHTS},
     a as (select campaign_id, close_date as activity_date,
                  sum(cast(weight as decimal(10,9)) * amount_usd) as earned
@@ -157,6 +173,19 @@ R.add("campaign_performance", lambda c: marketing.campaign_performance(
            cast(round(coalesce(earned, 0), 2) as double) as attributed_revenue_usd,
            round(cast(coalesce(earned, 0) as double) / nullif(cast(spend as double), 0), 6) as roas
     from s full join a on a.campaign_id = s.campaign_id and a.activity_date = s.activity_date""")
+R.add("campaign_returns", lambda c: _rounded(marketing.campaign_returns(_campaign_days(c))), f"""
+    with {_WEIGHTS},
+    a as (select campaign_id, date_trunc('month', close_date)::date as activity_month,
+                 sum(cast(weight as decimal(10,9)) * amount_usd) as earned
+          from w join l using (opportunity_id) where is_won group by 1, 2),
+    s as (select campaign_id, date_trunc('month', activity_date)::date as activity_month, sum(spend_usd) as spend,
+                 sum(impressions) as impressions, sum(clicks) as clicks from raw_ad_spend group by 1, 2)
+    select coalesce(s.campaign_id, a.campaign_id) as campaign_id, coalesce(s.activity_month, a.activity_month) as activity_month,
+           cast(coalesce(spend, 0) as double) as spend_usd, cast(coalesce(impressions, 0) as bigint) as impressions,
+           cast(coalesce(clicks, 0) as bigint) as clicks,
+           cast(round(coalesce(earned, 0), 2) as double) as attributed_revenue_usd,
+           round(cast(coalesce(earned, 0) as double) / nullif(cast(coalesce(spend, 0) as double), 0), 6) as roas
+    from s full join a on a.campaign_id = s.campaign_id and a.activity_month = s.activity_month""")
 R.add("pipeline_influenced", lambda c: marketing.pipeline_influenced(_opps(c), c.raw["raw_touch"]), """
     select cast(date_trunc('month', close_date) as date) as close_month, cast(sum(amount_usd) as double) as pipeline_usd,
            cast(coalesce(sum(amount_usd) filter (where touched), 0) as double) as influenced_usd,

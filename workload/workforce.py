@@ -41,6 +41,17 @@ R.add("attrition_avg", lambda c: people.attrition_avg(people.headcount_monthly(
     o as (select *, n - hires + gone as opening from t)
     select month, cast(gone as bigint) as terminations, (n + opening) / 2.0 as avg_headcount,
            cast(gone as double) / nullif((n + opening) / 2.0, 0) as attrition_rate from o""")
+R.add("attrition_by_department", lambda c: people.attrition_avg(people.headcount_monthly(
+    c.marts.workers, SPINE_START, AS_OF_ORDERS), ["department"]), f"""
+    with {_HISTORY},
+    o as (select *, headcount - hires + terminations as opening from h)
+    select month, department, cast(terminations as bigint) as terminations, (headcount + opening) / 2.0 as avg_headcount,
+           cast(terminations as double) / nullif((headcount + opening) / 2.0, 0) as attrition_rate from o""")
+R.add("employee_months", lambda c: people.employee_months(c.marts.workers, SPINE_START, AS_OF_ORDERS), f"""
+    select employee_id, revenue_month as month, department, cost_center, cast(fte as double) as fte,
+           termination_date is null or termination_date > last_day(revenue_month) as is_active
+    from s_worker join months on revenue_month between date_trunc('month', hire_date)
+         and date_trunc('month', coalesce(termination_date, date '{AS_OF_ORDERS}'))""")
 R.add("time_to_hire", lambda c: people.time_to_hire(c.raw["raw_requisition"]), """
     select department, count(*) as hires, cast(sum(accepted_date - opened_date) as double) / count(*) as avg_days,
            quantile_cont(accepted_date - opened_date, 0.5) as median_days
