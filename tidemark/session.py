@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,19 +27,34 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8,
     )
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+_local_roots: dict[str, str] = {}
+
+
+def _local_root(spark: SparkSession) -> str:
+    """One temporary folder per local session, removed when the process ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="spark-work-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
+    return _local_roots[app]
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``.  Only a local
-    master may fall back to a temporary folder of the machine.
+    master, as in tests, may do without and gets a temporary folder of the machine.
     """
     conf = spark.sparkContext.getConf()
     shared = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared and not _is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix=f"{purpose}-") + "/out"
+    return f"{(shared or _local_root(spark)).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df, purpose: str):
