@@ -52,17 +52,21 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return words, begin, end, np.searchsorted(text, np.arange(len(offsets)))
 
 
-def _runs(docs: DataFrame) -> DataFrame:
+def _runs(docs: DataFrame, keys_only: bool = False) -> DataFrame:
+    """The runs of all texts; ``keys_only`` gives the column ``k`` alone, at less cost."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = filled(batch, "text")
             for begin, end in text_slices(texts):
                 words, _, _, offsets = _words(texts.slice(begin, end - begin))
-                grams, whole = word_grams(words, SHINGLE), Hashed(words)
+                grams, whole = word_grams(words, SHINGLE), None if keys_only else Hashed(words)
                 for seeds in _SEEDS:
                     one, two = (mix(grams ^ seed) for seed in seeds)
                     of, lo, windows, (place, other) = least_runs([one, two], WORDS - SHINGLE + 1, offsets, WORDS)
                     k = mix(one[place] + mix(two[other]))
+                    if keys_only:
+                        yield pa.record_batch([pa.array(k.view(np.int64))], names=["k"])
+                        continue
                     s = mix(whole.ranges(lo, lo + windows + WORDS - 1) + k)
                     # The runs are aligned on the first function's pick.
                     at = ((lo - offsets[of]) << 16) | (windows << 8) | (place - lo)
@@ -71,7 +75,7 @@ def _runs(docs: DataFrame) -> DataFrame:
                         [pa.array(k.view(np.int64)), pa.array(s.view(np.int64)), batch.column(0).take(rows),
                          batch.column(1).take(rows), pa.array(at)], names=["k", "s", "d", "h", "at"])
 
-    return docs.mapInArrow(run, _RUNS)
+    return docs.mapInArrow(run, "k bigint" if keys_only else _RUNS)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +188,7 @@ def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     ``keyed`` has ``d`` (id), ``h`` (hash of the text) and ``text``; ``keeper`` is the id that keeps the cluster.
     """
     runs = _runs(keyed)
-    keys = runs.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    keys = _runs(keyed, keys_only=True).groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
     shared = checkpointed(runs.join(keys, "k"), "runs")
     place = F.struct(F.col("d").isNull().alias("none"), "d", "h", "at")
     nodes = checkpointed(shared.groupBy("k", "s").agg(F.count("*").alias("n"), F.min(place).alias("first")), "nodes")

@@ -48,30 +48,38 @@ def _unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at >> 24, (at >> 12) & 4095, at & 4095
 
 
-def segments_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int):
-    """Text number, anchor hash, segment hash, start in the text, windows, and place of the anchor, per segment."""
+def segments_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int, keys_only: bool = False):
+    """Text number, anchor hash, segment hash, start in the text, windows, and place of the anchor, per segment;
+    the anchor hash alone with ``keys_only``."""
     if len(data) < length:
         none = np.zeros(0, np.int64)
-        return none, none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64) if keys_only else (none, none.view(np.uint64), none.view(np.uint64), none, none, none)
     hashed = Hashed(BYTE[data])
     grams = hashed.grams(k)
     of, lo, windows, (place,) = least_runs([grams], length - k + 1, offsets, length)
+    if keys_only:
+        return grams[place]
     return of, grams[place], hashed.ranges(lo, lo + windows + length - 1), lo - offsets[of], windows, place - lo
 
 
-def _anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
+def _anchors(docs: DataFrame, length: int, k: int, keys_only: bool = False) -> DataFrame:
+    """The segments of all texts; ``keys_only`` gives the column ``k`` alone, at less cost."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = filled(batch, "text")
             ids, hashes = batch.column(0), batch.column(1)
             for begin, end in text_slices(texts):
+                if keys_only:
+                    grams = segments_of(*text_bytes(texts.slice(begin, end - begin)), length, k, True)
+                    yield pa.record_batch([pa.array(grams.view(np.int64))], names=["k"])
+                    continue
                 of, grams, whole, lo, windows, place = segments_of(*text_bytes(texts.slice(begin, end - begin)), length, k)
                 rows = pa.array(of + begin)
                 yield pa.record_batch(
                     [pa.array(grams.view(np.int64)), pa.array(whole.view(np.int64)), ids.take(rows), hashes.take(rows),
                      pa.array(_pack(lo, windows, place))], names=["k", "s", "d", "h", "at"])
 
-    return docs.mapInArrow(run, _ANCHORS)
+    return docs.mapInArrow(run, "k bigint" if keys_only else _ANCHORS)
 
 
 def _extents(context: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -200,7 +208,7 @@ def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100, group: int
     if not 0 < k <= length or length > 4000:
         raise ValueError("k must be within the length, and the length at most 4000")
     anchors = _anchors(keyed, length, k)
-    keys = anchors.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    keys = _anchors(keyed, length, k, keys_only=True).groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
     shared = checkpointed(anchors.join(keys, "k"), "anchors")
     segments = checkpointed(
         shared.groupBy("k", "s").agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "at")).alias("one")), "segments")
