@@ -41,8 +41,10 @@ def test_catalogue_is_complete(ctx):
 
 
 def test_scopes(spark, ctx):
-    assert set(metrics.allowed_metrics(["hr"])) == {"headcount", "terminations", "attrition_rate"}
-    assert len(metrics.allowed_metrics(["admin"])) == 18
+    assert set(metrics.allowed_metrics(["hr"])) == {"headcount"}
+    assert set(metrics.allowed_metrics(["hr"], beyond_served=True)) == {"headcount", "terminations", "attrition_rate"}
+    assert set(metrics.allowed_metrics(["admin"])) == set(metrics.SERVED)
+    assert len(metrics.allowed_metrics(["admin"], beyond_served=True)) == 18
     assert metrics.allowed_metrics([]) == []
     assert metrics.visible_metrics(spark, ["sales"]).count() == 2
     rows = spark.sql("select * from values ('arr', 1), ('dau', 2) t(metric, value)")

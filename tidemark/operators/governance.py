@@ -105,7 +105,7 @@ def erase_subjects(df: DataFrame, column: str, subjects: DataFrame) -> DataFrame
 def erasure_log(df: DataFrame, table: str, column: str, subjects: DataFrame, as_of: date | str) -> DataFrame:
     """Rows erased per subject, with the subject id only as a hash."""
     asked = subjects.select(F.col(subjects.columns[0]).alias(column)).distinct()
-    counted = df.groupBy(column).agg(F.count("*").alias("n"))
+    counted = df.join(asked, column, "left_semi").groupBy(column).agg(F.count("*").alias("n"))
     return asked.join(counted, column, "left").select(
         F.lit(table).alias("table_name"), F.sha2(F.col(column), 256).alias("subject_hash"),
         F.coalesce("n", F.lit(0)).alias("rows_erased"), day(as_of).alias("erased_on"))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.values import normal_email
+from tidemark.operators.product import events_between
 from tidemark.operators.relational import latest_by_key
 from tidemark.operators.skew import spread_join
 
 SYSTEMS = ("crm", "billing", "marketing", "product")
 
 
-def identity_links(accounts: DataFrame, customers: DataFrame, contacts: DataFrame, events: DataFrame) -> DataFrame:
-    """Distinct (account_id, system, external_id) of the four systems.
+def identity_links(accounts: DataFrame, customers: DataFrame, contacts: DataFrame, events: DataFrame,
+                   start: date | str, end: date | str) -> DataFrame:
+    """Distinct (account_id, system, external_id) of the four systems; events of ``[start, end]`` only.
 
     Billing links by the account id in its metadata, marketing by the normalised email of the
     newest customer with it, product by the account id of its events.  Every link is
@@ -31,7 +35,7 @@ def identity_links(accounts: DataFrame, customers: DataFrame, contacts: DataFram
         F.col("email").isNotNull())
     marketing = (spread_join(reachable, owner, "email", spread_by=["contact_id"])
                  .select("account_id", F.lit("marketing").alias("system"), F.col("contact_id").alias("external_id")))
-    users = (events.filter(F.col("account_id").isNotNull() & F.col("user_id").isNotNull())
+    users = (events_between(events, start, end).filter(F.col("account_id").isNotNull() & F.col("user_id").isNotNull())
              .select("account_id", "user_id").distinct().join(known, "account_id", "left_semi"))
     product = users.select("account_id", F.lit("product").alias("system"), F.col("user_id").alias("external_id"))
     return crm.unionByName(billing).unionByName(marketing).unionByName(product).distinct()

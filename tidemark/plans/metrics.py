@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -153,17 +155,26 @@ def measures(marts: Marts, model: SemanticModel, names: Sequence[str], grain: st
         *[combine[model.measure(n).rollup](F.col(n)).alias(n) for n in names])
 
 
-def metric(marts: Marts, name: str, grain: str | None = None, dims: Sequence[str] = (),
+def _full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full join on keys of which nulls match nulls."""
+    theirs = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return left.join(theirs, same, "full").select(
+        *[F.coalesce(k, f"_{k}").alias(k) for k in keys], *[c for c in left.columns if c not in keys],
+        *[c for c in right.columns if c not in keys])
+
+
+def metric(marts: Marts, name: str | Metric, grain: str | None = None, dims: Sequence[str] = (),
            where: Column | None = None, corrected: bool = False) -> DataFrame:
-    """(metric, grain, period, dims, value) of a registered metric.
+    """(metric, grain, period, dims, value) of a registered metric, or of one given as such.
 
     A derived metric evaluates its formula on aggregated inputs and never averages ratios.
     Inputs of one model come out of one aggregate; inputs of several models meet in a full
-    join of aggregated rows.
+    join of aggregated rows, in which a null dimension matches a null.
     """
-    if name not in METRICS:
+    if not isinstance(name, Metric) and name not in METRICS:
         raise ValueError(f"unknown metric {name!r}")
-    wanted = METRICS[name]
+    wanted = name if isinstance(name, Metric) else METRICS[name]
     by_model: dict[SemanticModel, list[str]] = {}
     for n in wanted.inputs:
         by_model.setdefault(model_of(n), []).append(n)
@@ -171,10 +182,10 @@ def metric(marts: Marts, name: str, grain: str | None = None, dims: Sequence[str
     joined = None
     for model, names in by_model.items():
         part = measures(marts, model, names, grain, dims, where, corrected)
-        joined = part if joined is None else joined.join(part, ["period", *dims], "full")
+        joined = part if joined is None else _full_join(joined, part, ["period", *dims])
     values = {n: F.col(n) for n in wanted.inputs}
     value = wanted.formula(values) if wanted.formula else F.col(wanted.inputs[0])
-    return joined.select(F.lit(name).alias("metric"), F.lit(grain).alias("grain"), "period", *dims,
+    return joined.select(F.lit(wanted.name).alias("metric"), F.lit(grain).alias("grain"), "period", *dims,
                          value.cast("double").alias("value"))
 
 
@@ -209,10 +220,14 @@ def metric_query(marts: Marts, names: Sequence[str] = SERVED) -> DataFrame:
     return result
 
 
-def allowed_metrics(scopes: Sequence[str]) -> list[str]:
-    """Metrics that one of ``scopes`` may read: its own domain, or everything for two of them."""
+def allowed_metrics(scopes: Sequence[str], beyond_served: bool = False) -> list[str]:
+    """Metrics that one of ``scopes`` may read: its own domain, or all for two of them.
+
+    Only the served series have a scope; all others are refused unless ``beyond_served`` opens them by domain.
+    """
     everything = {"executive", "admin"} & set(scopes)
-    return [m.name for m in METRICS.values() if everything or m.domain in scopes]
+    return [m.name for m in METRICS.values()
+            if (beyond_served or m.name in SERVED) and (everything or m.domain in scopes)]
 
 
 def visible_metrics(spark: SparkSession, scopes: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,7 +94,8 @@ def read_source(spark: SparkSession, root: str, key: str, env: str = "prod") ->
 def read_relation(spark: SparkSession, relation: str) -> DataFrame:
     """A table by name, or the result of a query."""
     text = relation.strip()
-    return spark.sql(text) if " " in text or "\n" in text else spark.table(text)
+    query = re.match(r"(select|with|from|values|table)\b|\(", text, re.IGNORECASE)
+    return spark.sql(text) if query else spark.table(text)
 
 
 def external_table(spark: SparkSession, name: str, path: str, schema: str) -> DataFrame:

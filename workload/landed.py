@@ -256,7 +256,8 @@ _LINKS = """
 
 
 def _links(c):
-    return identity.identity_links(c.marts.accounts, c.marts.customers, c.marts.contacts, c.raw["raw_event"])
+    return identity.identity_links(c.marts.accounts, c.marts.customers, c.marts.contacts, c.raw["raw_event"],
+                                   EVENTS_FROM, AS_OF_EVENTS)
 
 
 R.add("identity_links", _links, f"with {_LINKS} select * from links")

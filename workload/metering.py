@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import ratio
 from tidemark.plans import metrics
 from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS, TEST_ACCOUNTS
 from workload.context import EVENTS_FROM, Registry
@@ -93,6 +94,15 @@ R.add("metric_arr_corrected", lambda c: metrics.metric(c.marts, "arr", "quarter"
 R.add("metric_win_rate_corrected", lambda c: metrics.win_rate_exact(c.marts, "year"), """
     select 'win_rate' as metric, 'year' as grain, date_trunc('year', t)::date as period,
            cast(sum(won) as double) / sum(closed) as value from v_win group by 3""")
+_PER_ARR = metrics.Metric("pipeline_per_arr", "Open pipeline per recurring revenue", "sales", "ratio", ("pipeline_value", "arr"),
+                          lambda v: ratio(v["pipeline_value"], v["arr"]))
+R.add("metric_of_two_models", lambda c: metrics.metric(c.marts, _PER_ARR, "year", ["account_id"]), """
+    with p as (select date_trunc('year', t)::date as period, account_id, sum(amount_usd) as pipeline from v_sales group by 1, 2),
+    a as (select date_trunc('year', t)::date as period, account_id, sum(cents) as cents from v_revenue group by 1, 2)
+    select 'pipeline_per_arr' as metric, 'year' as grain, coalesce(p.period, a.period) as period,
+           coalesce(p.account_id, a.account_id) as account_id,
+           cast(pipeline as double) / nullif(cast(cents / 100.0 as double), 0) as value
+    from p full join a on p.period = a.period and p.account_id is not distinct from a.account_id""")
 R.add("measures", lambda c: metrics.measures(c.marts, metrics.model_of("weighted_pipeline"),
                                              ["pipeline_value", "weighted_pipeline"], "day"), """
     select t as period, cast(sum(amount_usd) as double) as pipeline_value,
