@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A table of at most this many narrow rows may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 100_000
-# Words are runs of other bytes than these.
-BLANKS = " \t\n\x0b\x0c\r"
+# Words are runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import WORD, join_few, replaced
+from tidemark.llm.common import WORD, join_few
 from tidemark.session import checkpointed
 
 # A hash has 60 bits; each level of the histogram looks at 12 of them.

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import filled, join_few, text_bytes, text_slices
+from tidemark.llm.common import filled, text_bytes, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.rolling import FOLDED, Hashed, mix, numbers, shingles, word_ranges
 from tidemark.session import checkpointed
