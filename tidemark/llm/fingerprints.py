@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import WORD
@@ -17,25 +19,51 @@ _LOW = (1 << 32) - 1
 BLANK = r"[\x20\x09-\x0D]+"
 
 
-def _uniform(bits: Column, shift: int, width: int) -> Column:
-    """A number within (0, 1) from ``width`` bits of a hash."""
-    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
-    return (part.cast("double") + F.lit(0.5)) * F.lit(2.0 ** -width)
+def _gamma_quantile(p: float) -> float:
+    """Where the distribution function 1 - (1 + x) exp(-x) of Gamma(2, 1) is ``p``."""
+    low, high = 0.0, 60.0
+    for _ in range(80):
+        x = (low + high) / 2
+        low, high = (x, high) if 1 - (1 + x) * math.exp(-x) < p else (low, x)
+    return (low + high) / 2
+
+
+# Quantiles at the bounds of equal parts; the last bound stands for the tail beyond it.
+_CELL_BITS = 9
+_CELLS = 1 << _CELL_BITS
+_QUANTILES = [_gamma_quantile(min(i / _CELLS, 1 - 2.0 ** -12)) for i in range(_CELLS + 1)]
+_LOGS = [math.log(max(q, 1e-9)) for q in _QUANTILES]
+
+
+def _bits(source: Column, shift: int, width: int) -> Column:
+    return F.shiftrightunsigned(source, shift).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
+
+
+def _looked_up(table: list[float], number: Column, width: int) -> Column:
+    """The table's function at ``number`` / 2**width, linear between its bounds."""
+    cell, rest = F.shiftrightunsigned(number, width - _CELL_BITS).cast("int"), width - _CELL_BITS
+    within = (number.bitwiseAND(F.lit((1 << rest) - 1).cast("bigint")).cast("double") + F.lit(0.5)) * F.lit(2.0 ** -rest)
+    steps = [b - a for a, b in zip(table, table[1:])]
+    return F.get(F.lit(table[:-1]), cell) + within * F.get(F.lit(steps), cell)
 
 
 def draws(term: str, block: str) -> dict[str, Column]:
     """``h`` (a hash of its own), ``r``, ``logc`` and ``b`` of each sample of a block for a term.
 
-    ``r`` is drawn from Gamma(2, 1), ``logc`` is the logarithm of another such draw, and ``b`` is uniform.
+    ``r`` is drawn from Gamma(2, 1), ``logc`` is the logarithm of another such draw, and ``b`` is uniform.  Both
+    come from quantile tables, as logarithms cost most; only the lowest 64th of ``logc``, where the least bids lie,
+    comes from the series of the inverse, c = x + x**2 / 3 + 11 x**3 / 72 + ... with x = sqrt(2 p).
     """
     found = {}
     for j in range(PER_BLOCK):
-        one = F.xxhash64(F.col(term), F.col(block) * PER_BLOCK + j)
-        two = F.xxhash64(one)
-        found[f"h{j}"] = one
-        found[f"r{j}"] = F.negative(F.ln(_uniform(one, 0, 32) * _uniform(one, 32, 32)))
-        found[f"logc{j}"] = F.ln(F.negative(F.ln(_uniform(two, 0, 24) * _uniform(two, 24, 24))))
-        found[f"b{j}"] = _uniform(two, 48, 16)
+        h = F.xxhash64(F.col(term), F.col(block) * PER_BLOCK + j)
+        low = _bits(h, 20, 28)
+        x = F.sqrt((low.cast("double") + F.lit(0.5)) * F.lit(2.0 ** -27))
+        series = F.ln(x * (F.lit(1.0) + x * (F.lit(1 / 3) + x * F.lit(11 / 72))))
+        found[f"h{j}"] = h
+        found[f"r{j}"] = _looked_up(_QUANTILES, _bits(h, 0, 20), 20)
+        found[f"logc{j}"] = F.when(low < F.lit(1 << 22), series).otherwise(_looked_up(_LOGS, low, 28))
+        found[f"b{j}"] = (_bits(h, 48, 16).cast("double") + F.lit(0.5)) * F.lit(2.0 ** -16)
     return found
 
 
