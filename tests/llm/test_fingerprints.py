@@ -34,7 +34,9 @@ def test_estimates_follow_the_generalised_jaccard_similarity(documents):
         assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         off.append(r["near_edited"] - jaccard(weights(text), weights(edited)))
         off.append(r["near_next"] - jaccard(weights(text), weights(following)))
-    assert abs(np.mean(off)) < 0.01 and np.sqrt(np.mean(np.square(off))) < 0.07
+    # All texts share the 64 samples of their common words, so even the mean error has a deviation of up to 0.02;
+    # that samples are unbiased is for the last test to show.
+    assert abs(np.mean(off)) < 0.03 and np.sqrt(np.mean(np.square(off))) < 0.07
 
 
 def test_awkward_rows(frame, awkward):
