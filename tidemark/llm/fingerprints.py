@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.common import WORD
 from tidemark.session import checkpointed
 
-# Samples are drawn in blocks: a row for each block of a term, a column for each sample of a block.  More columns
-# a block make generated code that the JVM no longer compiles as one method, at four times the cost.
+# Samples are drawn in blocks: a row for each block of a term, a column for each sample of a block.  Few columns
+# keep the generated method short enough for the JVM to compile it.
 BLOCKS, PER_BLOCK = 32, 2
 SAMPLES = BLOCKS * PER_BLOCK
 # Keys hold the size of a sample as a fixed-point number with 24 bits behind the point, in 31 bits.
