@@ -92,3 +92,47 @@ def test_a_passage_repeated_in_one_document_stays_once(frame):
     passage = prose(rng, 80)
     got = removed(frame((1, f"{passage} {prose(rng, 30)} {passage}")))
     assert [(r[0], r[2], r[3], r[4]) for r in got] == [(1, 110, 80, 1)]
+
+
+def test_an_inserted_or_a_deleted_word_is_still_alike(frame):
+    rng = random.Random(21)
+    for change in (lambda w: w[:30] + w[31:], lambda w: w[:30] + ["inserted"] + w[30:]):
+        words = prose(rng, 60).split()
+        other = change(words)
+        rows = [(1, prose(rng, 60) + " " + " ".join(words) + " " + prose(rng, 60)),
+                (2, prose(rng, 60) + " " + " ".join(other) + " " + prose(rng, 60))]
+        assert [(r[0], r[2], r[3]) for r in removed(frame(*rows))] == [(2, 60, len(other))]
+
+
+def test_paragraphs_are_compared_as_sets():
+    def jaccard(one, two):
+        one, two = ({tuple(w[i: i + 5]) for i in range(46)} for w in (one, two))
+        return len(one & two) / len(one | two)
+
+    rng = np.random.default_rng(4)
+    table = np.zeros((60, 95), np.uint32)
+    base = rng.integers(1, 1000, 95)
+    for row in table:
+        words = base.copy()
+        for _ in range(rng.integers(0, 3)):
+            at = rng.integers(0, 80)
+            words = [np.delete(words, at), np.insert(words, at, 2000), np.concatenate([words[at:], words[:at]]),
+                     np.concatenate([words[: at + 5], words[at: at + 5], words[at:]])][rng.integers(0, 4)]
+        words = words[: rng.integers(50, 96)][:95]
+        row[: len(words)] = words
+    runs = paragraphs.Runs(table, np.zeros(60))
+    a, b = np.triu_indices(60, 1)
+    mine, other, _, _, _ = runs.compare(a, b)
+    some = 0
+    for p in range(0, len(a), 29):
+        one, two = ([row[i: i + 50].tolist() for i in range(46) if row[i + 49]] for row in (table[a[p]], table[b[p]]))
+        fit = np.array([[jaccard(x, y) >= 0.8 and (i == j or any(
+            w[:5] in [v[k: k + 5] for k in range(46)] and w[-5:] in [v[k: k + 5] for k in range(46)] for w, v in ((x, y), (y, x))))
+            for j, y in enumerate(two)] for i, x in enumerate(one)])
+        assert np.array_equal(mine[p, : len(one)], fit.any(axis=1)) and np.array_equal(other[p, : len(two)], fit.any(axis=0))
+        assert not (fit.any(axis=1) & ~runs.possible[a[p], : len(one)]).any()
+        some += fit.any()
+    assert some > 5
+    clauses = np.zeros((2, 95), np.uint32)
+    clauses[0, :50], clauses[1, :50] = np.arange(1, 51), np.roll(np.arange(1, 51), 25)
+    assert paragraphs.Runs(clauses, np.zeros(2)).compare(np.array([0]), np.array([1]))[0][0, 0]

@@ -1,8 +1,8 @@
 """Operator 3: repeated passages by MinHash bands over sliding paragraphs.
 
 A paragraph is any run of 50 words, wherever it stands, so passages inside longer lines count.  Two
-paragraphs are alike when the sets of their five-word shingles, aligned on a common shingle, have a Jaccard
-similarity of at least 0.8 (equal, or one word replaced).
+paragraphs are alike when the sets of their five-word shingles have a Jaccard similarity of at least 0.8 (equal, one
+word replaced, inserted or deleted, or clauses swapped).
 
 1. Bands.  Two bands of two hash functions; each function picks the least shingle of every paragraph.
    Neighbours mostly share their picks, so a text falls into few runs of paragraphs with one pair of picks, about one
@@ -11,7 +11,7 @@ similarity of at least 0.8 (equal, or one word replaced).
    function would miss less, but every common sentence would make a candidate.)
 2. Runs that are equal as a whole form one node, counted with partial aggregates.
 3. Different runs around one pick meet in shards and are verified: neighbours in the order of the words after and
-   before the pick, and the first run of all, are compared word by word.  That is linear in the
+   before the pick, and the first run of all, are compared by their shingle sets.  That is linear in the
    group.  Paragraphs that are alike mark their runs and link them.
 4. Components of linked runs form a cluster.  Its first occurrence (by id, then place) stays; all
    other occurrences lose the common words of their alike paragraphs, except words that some kept occurrence needs.
@@ -35,6 +35,7 @@ WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 2, 80
 _SEEDS = numbers(2 * BANDS, 11).reshape(BANDS, 2)
 _LEFT, _RIGHT = WORDS - SHINGLE, WORDS
 _SIDE = (WORDS - SHINGLE) // 2
+_PER = WORDS - SHINGLE + 1
 GROUP, SHARD = 8192, 4000
 
 _RUNS = "k bigint, s bigint, d bigint, h bigint, at bigint"
@@ -102,28 +103,113 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Which paragraphs of rows of aligned words (0: none) are alike: a flag for each first word."""
-    equal = (one == two) & (one > 0)
-    width = one.shape[1]
-    shared = equal[:, : width - SHINGLE + 1].copy()
-    for j in range(1, SHINGLE):
-        shared &= equal[:, j: width - SHINGLE + 1 + j]
-    per = WORDS - SHINGLE + 1
-    sums = np.zeros((len(one), shared.shape[1] + 1), np.int32)
-    np.cumsum(shared, axis=1, out=sums[:, 1:])
-    common = sums[:, per:] - sums[:, :-per]
-    n = common.shape[1]
-    inside = (one[:, :n] > 0) & (two[:, :n] > 0) & (one[:, WORDS - 1:] > 0) & (two[:, WORDS - 1:] > 0)
-    return inside & (common * 100 >= (2 * per - common) * PERCENT)
+    """Which paragraphs of rows of aligned words (0: none) are alike with the one at the same place: a flag for each
+    first word."""
+    n = len(one)
+    runs = Runs(np.concatenate([one, two]), np.tile(np.arange(n), 2))
+    return runs.compare(np.arange(n), np.arange(n, 2 * n))[2]
+
+
+class Runs:
+    """Shingle sets of the paragraphs of runs (rows of words, 0: none); runs are compared within their group only."""
+
+    def __init__(self, table: np.ndarray, group: np.ndarray):
+        rows, places = len(table), table.shape[1] - SHINGLE + 1
+        grams = np.zeros((rows, places), np.uint64)
+        for j, factor in enumerate(numbers(SHINGLE, 2) | np.uint64(1)):
+            grams += mix(table[:, j: j + places].astype(np.uint64) + np.uint64(j + 1)) * factor
+        names, ids = np.unique(mix(grams + mix(group.astype(np.int64).view(np.uint64))[:, None]), return_inverse=True)
+        # The number of the shingle at each place, and where the run holds it before; -1: none.
+        self.ids = ids.reshape(rows, places).astype(np.int32)
+        whole = (table[:, :places] > 0) & (table[:, SHINGLE - 1:] > 0)
+        self.earlier = np.full((rows, places), -1, np.int16)
+        flat = (np.arange(rows)[:, None] * len(names) + self.ids).ravel()
+        flat[~whole.ravel()] = -1 - np.flatnonzero(~whole.ravel())
+        order = np.argsort(flat, kind="stable")
+        again = flat[order][1:] == flat[order][:-1]
+        self.earlier.ravel()[order[1:][again]] = order[:-1][again] % places
+        held = np.bincount(self.ids[whole & (self.earlier < 0)], minlength=len(names))
+        shared = whole & (held[self.ids] > 1)
+        self.central = np.where(whole, held[self.ids], 0).sum(axis=1)
+        self.ids[~whole] = -1
+        self.names = len(names)
+        self.repeats = (self.earlier >= 0).any(axis=1)
+        self.inside = (table[:, : table.shape[1] - WORDS + 1] > 0) & (table[:, WORDS - 1:] > 0)
+        self.sizes = self._different(whole)
+        # Other paragraphs hold too many shingles that no other run of the group has.
+        self.possible = self.inside & (self._different(shared) * 100 >= self.sizes * PERCENT)
+
+    def _different(self, flags: np.ndarray) -> np.ndarray:
+        """How many different flagged shingles each paragraph holds."""
+        counts = _sums(flags)
+        rows = np.flatnonzero(self.repeats)
+        for x in range(counts.shape[1]) if len(rows) else ():
+            part = slice(x, x + _PER)
+            counts[rows, x] = (flags[rows, part] & (self.earlier[rows, part] < x)).sum(axis=1)
+        return counts
+
+    def compare(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For pairs of runs: flags of the paragraphs of the first and of the second that are alike with some paragraph
+        of the other, flags of those alike with the one at the same place, and which shingles of either the other holds.
+
+        Paragraphs are alike if the Jaccard similarity of their shingle sets suffices, wherever the shingles stand.
+        Those not at the same place must share the first and last shingle of one of them: else what
+        they have in common is a shorter passage at the end of a text.
+        """
+        left, right = self.ids[a], np.where(self.ids[b] < 0, -2, self.ids[b])
+        equal = left[:, :, None] == right[:, None, :]
+        hits = equal.any(axis=2), equal.any(axis=1)
+        windows = self.inside.shape[1]
+        first = np.arange(windows)[None, :, None]
+        # holds[p, x, j]: paragraph x of the first run holds shingle j of the second; held[p, y, i]: the other way round.
+        holds, held = (_within(np.where(hit, equal.argmax(axis=axis), -1)[:, None, :], first)
+                       for hit, axis in ((hits[1], 1), (hits[0], 2)))
+        for table, rows, axis in ((holds, np.flatnonzero(self.repeats[a]), 1), (held, np.flatnonzero(self.repeats[b]), 2)):
+            for x in range(windows) if len(rows) else ():
+                part = equal[rows, x: x + _PER] if axis == 1 else equal[rows, :, x: x + _PER]
+                table[rows, x] = part.any(axis=axis)
+        common = _sums(holds)
+        rows = np.flatnonzero(self.repeats[b])
+        for y in range(windows) if len(rows) else ():
+            new = self.earlier[b[rows], y: y + _PER] < y
+            common[rows, :, y] = (holds[rows, :, y: y + _PER] & new[:, None, :]).sum(axis=2)
+        union = self.sizes[a][:, :, None] + self.sizes[b][:, None, :] - common
+        fit = (self.inside[a][:, :, None] & self.inside[b][:, None, :]) & (common * 100 >= union * PERCENT)
+        ends = holds[:, :, :windows] & holds[:, :, _PER - 1: _PER - 1 + windows]
+        ends |= (held[:, :, :windows] & held[:, :, _PER - 1: _PER - 1 + windows]).transpose(0, 2, 1)
+        same = np.arange(windows)
+        ends[:, same, same] = True
+        fit &= ends
+        return fit.any(axis=2), fit.any(axis=1), fit[:, same, same], *hits
+
+
+def _sums(flags: np.ndarray) -> np.ndarray:
+    """Flags within every paragraph."""
+    sums = np.zeros((*flags.shape[:-1], flags.shape[-1] + 1), np.int32)
+    np.cumsum(flags, axis=-1, out=sums[..., 1:])
+    return sums[..., _PER:] - sums[..., :-_PER]
+
+
+def _within(place: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return (place >= first) & (place < first + _PER)
 
 
 def common_words(one: np.ndarray, two: np.ndarray, flags: np.ndarray) -> np.ndarray:
     """Which words of the first row go with its alike paragraphs: those equal to the aligned word of the second,
     and up to ``SHINGLE`` replaced ones between two such; so words that merely border on a passage stay."""
-    covered = np.zeros((len(one), one.shape[1] + 1), np.int32)
+    return _bridged(_spread(flags, WORDS) & (one == two) & (one > 0))
+
+
+def _spread(flags: np.ndarray, length: int) -> np.ndarray:
+    """Which words lie in flagged stretches of ``length`` words."""
+    covered = np.zeros((len(flags), flags.shape[1] + length), np.int32)
     covered[:, : flags.shape[1]] += flags
-    covered[:, WORDS: WORDS + flags.shape[1]] -= flags[:, : covered.shape[1] - WORDS]
-    equal = (np.cumsum(covered, axis=1)[:, :-1] > 0) & (one == two) & (one > 0)
+    covered[:, length:] -= flags
+    return np.cumsum(covered, axis=1)[:, :-1] > 0
+
+
+def _bridged(equal: np.ndarray) -> np.ndarray:
+    """Marked words, and up to ``SHINGLE`` between two of them."""
     marked = equal.copy()
     width = equal.shape[1]
     for gap in range(2, SHINGLE + 2):
@@ -133,6 +219,18 @@ def common_words(one: np.ndarray, two: np.ndarray, flags: np.ndarray) -> np.ndar
     return marked
 
 
+def _link(runs: Runs, table: np.ndarray, a: np.ndarray, b: np.ndarray, marked: np.ndarray, links: list) -> tuple:
+    """Compare pairs of runs: add links and marked words; returns the linked pairs and their flags."""
+    mine, other, same, *hits = runs.compare(a, b)
+    linked = mine.any(axis=1)
+    a, b, mine, other, same = a[linked], b[linked], mine[linked], other[linked], same[linked]
+    for rows, flags, hit, one, two in ((a, mine, hits[0], a, b), (b, other, hits[1], b, a)):
+        words = _bridged(_spread(flags, WORDS) & _spread(hit[linked], SHINGLE))
+        np.logical_or.at(marked, rows, words | common_words(table[one], table[two], same))
+    links.extend(zip(a.tolist(), b.tolist()))
+    return a, b, mine, other
+
+
 def _verified(rows: pd.DataFrame) -> pd.DataFrame:
     """Words of alike paragraphs (``s, x, y``: from, up to) and links (``s, other``) of a shard's runs."""
     rows = rows.drop_duplicates(["k", "s"])
@@ -154,17 +252,12 @@ def _verified(rows: pd.DataFrame) -> pd.DataFrame:
     one, two = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
     fit = (group[one] == group[two]) & (one != two)
     one, two = one[fit], two[fit]
+    runs = Runs(table, group)
     marked = np.zeros((len(rows), width), bool)
     links = []
-    for begin in range(0, len(one), 8192):
-        a, b = one[begin: begin + 8192], two[begin: begin + 8192]
-        flags = alike(table[a], table[b])
-        hit = flags.any(axis=1)
-        a, b = a[hit], b[hit]
-        words = common_words(table[a], table[b], flags[hit])
-        np.logical_or.at(marked, a, words)
-        np.logical_or.at(marked, b, words)
-        links.extend(zip(names[a].tolist(), names[b].tolist()))
+    for begin in range(0, len(one), 256):
+        _link(runs, table, one[begin: begin + 256], two[begin: begin + 256], marked, links)
+    links = [(int(names[a]), int(names[b])) for a, b in links]
     out: list[tuple] = [(a, b, None, None) for a, b in links]
     for i in np.flatnonzero(marked.any(axis=1)).tolist():
         start = _LEFT - int(pick[i])
