@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +137,55 @@ def test_paragraphs_are_compared_as_sets():
     clauses = np.zeros((2, 95), np.uint32)
     clauses[0, :50], clauses[1, :50] = np.arange(1, 51), np.roll(np.arange(1, 51), 25)
     assert paragraphs.Runs(clauses, np.zeros(2)).compare(np.array([0]), np.array([1]))[0][0, 0]
+
+
+def crowd(seed: int, copies: int = 60) -> list[list[int]]:
+    """Runs of words around one pick (words 41 to 45): many copies share one side of it, some differ by a word."""
+    rng = np.random.default_rng(seed)
+    fresh = iter(range(100, 10**6))
+    new = lambda n: [next(fresh) for _ in range(n)]
+    pick, head, tail, runs = new(5), new(40), new(50), []
+    for i in range(copies):
+        runs.append(new(40) + pick + tail[: 25 if i % 2 else rng.integers(5, 50)] + list(rng.integers(10**6, 10**7, 50)))
+        runs.append(new(40 - rng.integers(5, 40)) + head + pick + new(50))
+        runs[-1] = runs[-1][-95:]
+    one = head[20:] + pick + tail[:25]
+    other = list(one)
+    other[19] = next(fresh)
+    runs += [new(20) + one + list(rng.integers(10**6, 10**7, 25)), new(20) + other + list(rng.integers(10**6, 10**7, 25))]
+    return [(run + new(95))[:95] for run in runs]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_a_crowded_group_equals_brute_force(seed):
+    runs = crowd(seed)
+    order = np.random.default_rng(seed).permutation(len(runs))
+    table = np.array([runs[i] for i in order], np.uint32)
+    rows = pd.DataFrame({"k": 7, "s": np.arange(len(table)), "u": len(table), "at": (46 << 8) | 45, "before": 0, "after": 0,
+                         "words": [np.ascontiguousarray(r).tobytes() for r in table]})
+    found = paragraphs._verified(rows)
+    n = len(table)
+    grams = [[tuple(r[i: i + 5]) for i in range(91)] for r in table.tolist()]
+    windows = [[set(g[x: x + 46]) for x in range(46)] for g in grams]
+    comp, need = list(range(n)), np.zeros((n, 95), bool)
+    for a in range(n):
+        for b in range(a + 1, n):
+            if len(set(grams[a]) & set(grams[b])) < 41:
+                continue
+            for x in range(46):
+                # Copies are aligned here.
+                both = windows[a][x] & windows[b][x]
+                if len(both) >= 0.8 * len(windows[a][x] | windows[b][x]):
+                    comp = [comp[a] if c == comp[b] else c for c in comp]
+                    for i in range(x, x + 46):
+                        need[a, i: i + 5] |= grams[a][i] in both
+                        need[b, i: i + 5] |= grams[b][i] in both
+    got = list(range(n))
+    for a, b in found.dropna(subset="other")[["s", "other"]].itertuples(index=False):
+        got = [got[a] if c == got[b] else c for c in got]
+    assert all((got[a] == got[b]) == (comp[a] == comp[b]) for a in range(n) for b in range(n))
+    assert len(set(comp)) > 1
+    marks = np.zeros((n, 95), bool)
+    for s, x, y in found.dropna(subset="x")[["s", "x", "y"]].itertuples(index=False):
+        marks[s, x: y] = True
+    assert need.any() and not (need & ~marks).any()

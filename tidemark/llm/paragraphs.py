@@ -10,9 +10,10 @@ word replaced, inserted or deleted, or clauses swapped).
    bands of one paragraph with a chance of 0.13, and a passage of more than 50 words has several.  (Bands of one
    function would miss less, but every common sentence would make a candidate.)
 2. Runs that are equal as a whole form one node, counted with partial aggregates.
-3. Different runs around one pick meet in shards and are verified: neighbours in the order of the words after and
-   before the pick, and the first run of all, are compared by their shingle sets.  That is linear in the
-   group.  Paragraphs that are alike mark their runs and link them.
+3. Different runs around one pick meet in shards and are verified: runs whose paragraphs hold too many shingles
+   that no other run around the pick has are done; the others are compared by their shingle sets, in larger
+   groups hubs first, and then all pairs that are not connected yet or may add words.
+   Paragraphs that are alike mark their common words and link their runs.
 4. Components of linked runs form a cluster.  Its first occurrence (by id, then place) stays; all
    other occurrences lose the common words of their alike paragraphs, except words that some kept occurrence needs.
 """
@@ -36,7 +37,7 @@ _SEEDS = numbers(2 * BANDS, 11).reshape(BANDS, 2)
 _LEFT, _RIGHT = WORDS - SHINGLE, WORDS
 _SIDE = (WORDS - SHINGLE) // 2
 _PER = WORDS - SHINGLE + 1
-GROUP, SHARD = 8192, 4000
+GROUP, SHARD, SMALL = 8192, 4000, 12
 
 _RUNS = "k bigint, s bigint, d bigint, h bigint, at bigint"
 _CONTEXTS = "k bigint, s bigint, u bigint, at bigint, before bigint, after bigint, words binary"
@@ -138,6 +139,8 @@ class Runs:
         self.sizes = self._different(whole)
         # Other paragraphs hold too many shingles that no other run of the group has.
         self.possible = self.inside & (self._different(shared) * 100 >= self.sizes * PERCENT)
+        # Shingles that some other run of the group may still show to be common.
+        self.open = shared & _spread(self.possible, _PER)
 
     def _different(self, flags: np.ndarray) -> np.ndarray:
         """How many different flagged shingles each paragraph holds."""
@@ -219,16 +222,60 @@ def _bridged(equal: np.ndarray) -> np.ndarray:
     return marked
 
 
-def _link(runs: Runs, table: np.ndarray, a: np.ndarray, b: np.ndarray, marked: np.ndarray, links: list) -> tuple:
-    """Compare pairs of runs: add links and marked words; returns the linked pairs and their flags."""
-    mine, other, same, *hits = runs.compare(a, b)
-    linked = mine.any(axis=1)
-    a, b, mine, other, same = a[linked], b[linked], mine[linked], other[linked], same[linked]
-    for rows, flags, hit, one, two in ((a, mine, hits[0], a, b), (b, other, hits[1], b, a)):
-        words = _bridged(_spread(flags, WORDS) & _spread(hit[linked], SHINGLE))
-        np.logical_or.at(marked, rows, words | common_words(table[one], table[two], same))
-    links.extend(zip(a.tolist(), b.tolist()))
-    return a, b, mine, other
+def _compared(runs: Runs, table: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Words of alike paragraphs, and links of runs, as all pairs of runs of one group give them.
+
+    Groups of up to ``SMALL`` runs compare all pairs.  In larger ones one run after the other, the most central first, meets
+    the later ones, except those already connected with it where neither holds a shingle of the other that is still open.
+    """
+    marked, extra, links = np.zeros(table.shape, bool), np.zeros(table.shape, bool), []
+
+    def compare(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        linked = []
+        for begin in range(0, len(one), 256):
+            a, b = one[begin: begin + 256], two[begin: begin + 256]
+            mine, other, same, *hits = runs.compare(a, b)
+            fit = mine.any(axis=1)
+            linked.append(fit)
+            a, b, same = a[fit], b[fit], same[fit]
+            for rows, others, flags, hit in ((a, b, mine[fit], hits[0][fit]), (b, a, other[fit], hits[1][fit])):
+                common = hit & _spread(flags, _PER)
+                np.logical_and.at(runs.open, rows, ~common)
+                np.logical_or.at(marked, rows, _spread(common, SHINGLE))
+                np.logical_or.at(extra, rows, common_words(table[rows], table[others], same))
+            links.extend(zip(a.tolist(), b.tolist()))
+        return np.concatenate(linked) if linked else np.zeros(0, bool)
+
+    left = np.flatnonzero(runs.possible.any(axis=1))
+    left = left[np.lexsort((-runs.central[left], group[left]))]
+    first = np.flatnonzero(np.diff(group[left], prepend=group[left][:1] - 1)) if len(left) else left
+    sizes = np.diff(np.append(first, len(left)))
+    small = np.repeat(sizes <= SMALL, sizes)
+    for step in range(1, SMALL):
+        one, two = left[:-step], left[step:]
+        fit = (group[one] == group[two]) & small[:-step]
+        if fit.any():
+            compare(one[fit], two[fit])
+    # The fewest shingles that a possible paragraph of the run must share.
+    least = np.where(runs.possible, runs.sizes, _PER).min(axis=1) * PERCENT
+    for begin, size in zip(first[sizes > SMALL], sizes[sizes > SMALL]):
+        rows = left[begin: begin + size]
+        comp, held, sought = np.arange(size), np.zeros(runs.names + 1, bool), np.zeros(runs.names + 1, bool)
+        for at, hub in enumerate(rows[:-1]):
+            if (comp == comp[0]).all() and not runs.open[rows].any():
+                break
+            held[runs.ids[hub]], sought[runs.ids[hub][runs.open[hub]]] = True, True
+            held[-1] = False
+            later = rows[at + 1:]
+            ids = runs.ids[later]
+            common = held[ids]
+            useful = (comp[at + 1:] != comp[at]) | sought[ids].any(axis=1) | (common & runs.open[later]).any(axis=1)
+            useful &= common.sum(axis=1) * 100 >= least[later]
+            held[runs.ids[hub]], sought[runs.ids[hub]] = False, False
+            todo = np.flatnonzero(useful)
+            linked = todo[compare(np.full(len(todo), hub), later[todo])] + at + 1
+            comp[np.isin(comp, comp[linked])] = comp[at]
+    return _bridged(marked) | extra, links
 
 
 def _verified(rows: pd.DataFrame) -> pd.DataFrame:
@@ -243,20 +290,7 @@ def _verified(rows: pd.DataFrame) -> pd.DataFrame:
         values = np.frombuffer(w, np.uint32)
         start = _LEFT - int(pick[i])
         table[i, start: start + len(values)] = values
-    before = _ordered(group, table[:, _LEFT - 1:: -1])
-    after = _ordered(group, table[:, _LEFT:])
-    first = np.lexsort((names, group))
-    heads = first[np.searchsorted(group[first], group)]
-    pairs = [np.stack([order[:-step], order[step:]]) for order in (before, after) for step in (1, 2)]
-    pairs.append(np.stack([heads, np.arange(len(rows))]))
-    one, two = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
-    fit = (group[one] == group[two]) & (one != two)
-    one, two = one[fit], two[fit]
-    runs = Runs(table, group)
-    marked = np.zeros((len(rows), width), bool)
-    links = []
-    for begin in range(0, len(one), 256):
-        _link(runs, table, one[begin: begin + 256], two[begin: begin + 256], marked, links)
+    marked, links = _compared(Runs(table, group), table, group)
     links = [(int(names[a]), int(names[b])) for a, b in links]
     out: list[tuple] = [(a, b, None, None) for a, b in links]
     for i in np.flatnonzero(marked.any(axis=1)).tolist():
@@ -268,13 +302,6 @@ def _verified(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({c: pd.array(v, t) for c, v, t in zip(("s", "other", "x", "y"), columns, kinds)})
 
 
-def _ordered(group: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Row numbers by group, then by words from left to right."""
-    rows = np.concatenate([group.astype(">u8")[:, None].view(np.uint8).reshape(len(group), 8),
-                           words.astype(">u4").view(np.uint8).reshape(len(group), -1)], axis=1)
-    return np.argsort(np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel(), kind="stable")
-
-
 def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     """``d, h, begin, end, keep, keeper``: word spans of clustered paragraphs in every text that holds some.
 
