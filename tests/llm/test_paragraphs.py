@@ -161,7 +161,7 @@ def test_a_crowded_group_equals_brute_force(seed):
     runs = crowd(seed)
     order = np.random.default_rng(seed).permutation(len(runs))
     table = np.array([runs[i] for i in order], np.uint32)
-    rows = pd.DataFrame({"k": 7, "s": np.arange(len(table)), "u": len(table), "at": (46 << 8) | 45, "before": 0, "after": 0,
+    rows = pd.DataFrame({"k": 7, "s": np.arange(len(table)), "u": len(table), "at": (46 << 8) | 45,
                          "words": [np.ascontiguousarray(r).tobytes() for r in table]})
     found = paragraphs._verified(rows)
     n = len(table)
@@ -189,3 +189,19 @@ def test_a_crowded_group_equals_brute_force(seed):
     for s, x, y in found.dropna(subset="x")[["s", "x", "y"]].itertuples(index=False):
         marks[s, x: y] = True
     assert need.any() and not (need & ~marks).any()
+
+
+def test_the_size_of_a_group_does_not_change_what_is_found(frame):
+    # Copies with one replaced word, whose picks have few passage words on one side or the other.
+    rng = random.Random(31)
+    rows = []
+    for i in range(12):
+        words = prose(rng, 52).split()
+        pick = rng.randint(5, 40)
+        other = [*words[:pick], "changed", *words[pick + 1:]]
+        rows += [(2 * i, f"{prose(rng, 45)} {' '.join(words)} {prose(rng, 45)}"), (2 * i + 1, f"{prose(rng, 45)} {' '.join(other)} {prose(rng, 45)}")]
+    # Continuations of one passage, so that the groups at its end are large.
+    passage = prose(rng, 60)
+    rows += [(100 + i, f"{prose(rng, 45)} {passage} {prose(rng, 45)}") for i in range(12)]
+    whole = removed(frame(*rows))
+    assert len(whole) > 11 and removed(frame(*rows), group=1) == removed(frame(*rows), group=5) == whole

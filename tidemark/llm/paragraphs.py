@@ -12,7 +12,8 @@ word replaced, inserted or deleted, or clauses swapped).
 2. Runs that are equal as a whole form one node, counted with partial aggregates.
 3. Different runs around one pick meet in shards and are verified: runs whose paragraphs hold too many shingles
    that no other run around the pick has are done; the others are compared by their shingle sets, in larger
-   groups hubs first, and then all pairs that are not connected yet or may add words.
+   groups hubs first, and then all pairs that are not connected yet or may add words.  Groups of more than ``GROUP``
+   runs are dealt over blocks, and every pair of blocks is settled by itself, so no task holds more than a shard or two blocks.
    Paragraphs that are alike mark their common words and link their runs.
 4. Components of linked runs form a cluster.  Its first occurrence (by id, then place) stays; all
    other occurrences lose the common words of their alike paragraphs, except words that some kept occurrence needs.
@@ -35,12 +36,11 @@ from tidemark.session import checkpointed
 WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 2, 80
 _SEEDS = numbers(2 * BANDS, 11).reshape(BANDS, 2)
 _LEFT, _RIGHT = WORDS - SHINGLE, WORDS
-_SIDE = (WORDS - SHINGLE) // 2
 _PER = WORDS - SHINGLE + 1
 GROUP, SHARD, SMALL = 8192, 4000, 12
 
 _RUNS = "k bigint, s bigint, d bigint, h bigint, at bigint"
-_CONTEXTS = "k bigint, s bigint, u bigint, at bigint, before bigint, after bigint, words binary"
+_CONTEXTS = "k bigint, s bigint, u bigint, at bigint, words binary"
 _FOUND = "s bigint, other bigint, x int, y int"
 
 
@@ -81,26 +81,22 @@ def _runs(docs: DataFrame, keys_only: bool = False) -> DataFrame:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of the wanted runs, as 32-bit hashes, and hashes of the words on either side of the pick."""
+    """The words of the wanted runs, as 32-bit hashes."""
     for batch in batches:
         texts = filled(batch, "text")
         lists = batch.column(batch.schema.get_field_index("list")).to_pylist()
         for begin, end in text_slices(texts):
             words, _, _, offsets = _words(texts.slice(begin, end - begin))
             low = (words.astype(np.uint32) | np.uint32(1))
-            whole = Hashed(words)
             rows = []
             for i, wanted in enumerate(lists[begin: end]):
                 for w in wanted:
-                    lo, n, a = w["at"] >> 16, (w["at"] >> 8) & 255, w["at"] & 255
-                    first = int(offsets[i]) + lo
-                    last, pick = first + n + WORDS - 1, first + a
-                    left, right = max(first, pick - _SIDE), min(last, pick + SHINGLE + _SIDE)
-                    sides = whole.ranges(np.array([left, pick]), np.array([pick, right])).view(np.int64)
-                    rows.append((w["k"], w["s"], w["u"], w["at"], int(sides[0]), int(sides[1]), low[first: last].tobytes()))
-            columns = list(zip(*rows)) or [()] * 7
-            yield pa.record_batch([pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(columns)],
-                                  names=["k", "s", "u", "at", "before", "after", "words"])
+                    first = int(offsets[i]) + (w["at"] >> 16)
+                    last = first + ((w["at"] >> 8) & 255) + WORDS - 1
+                    rows.append((w["k"], w["s"], w["u"], w["at"], low[first: last].tobytes()))
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.record_batch([pa.array(c, pa.binary() if i == 4 else pa.int64()) for i, c in enumerate(columns)],
+                                  names=["k", "s", "u", "at", "words"])
 
 
 def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -319,9 +315,12 @@ def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     contexts = checkpointed(join_documents(keyed, lists, "inner", 40).select("d", "h", "text", "list")
                             .mapInArrow(_contexts, _CONTEXTS), "contexts")
     small = F.pmod(F.xxhash64("k"), F.lit(parts_for(contexts.count(), SHARD)))
-    # A group too large for one shard: alike paragraphs have 22 words in common on one side of the pick, mostly.
-    sides = F.array(F.xxhash64("k", F.lit("before"), "before"), F.xxhash64("k", F.lit("after"), "after"))
-    shards = F.explode(F.when(F.col("u") <= group, F.array(small)).otherwise(sides))
+    # A group too large for one shard goes there by pairs of blocks, which hold ``group`` runs together.
+    blocks = F.ceil(F.col("u") * 2 / group)
+    block = F.pmod(F.xxhash64("s"), blocks)
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), blocks - 1), lambda other: other != block)
+    pairs = F.transform(others, lambda other: F.xxhash64("k", F.least(block, other), F.greatest(block, other)))
+    shards = F.explode(F.when(F.col("u") <= group, F.array(small)).otherwise(pairs))
     found = checkpointed(contexts.withColumn("shard", shards).groupBy("shard").applyInPandas(_verified, _FOUND), "found")
     linked = components(found.filter("other is not null").select(F.col("s").alias("a"), F.col("other").alias("b")))
     marks = (found.filter("x is not null").groupBy("s").agg(F.collect_set(F.struct("x", "y")).alias("marks")))
