@@ -205,3 +205,13 @@ def test_the_size_of_a_group_does_not_change_what_is_found(frame):
     rows += [(100 + i, f"{prose(rng, 45)} {passage} {prose(rng, 45)}") for i in range(12)]
     whole = removed(frame(*rows))
     assert len(whole) > 11 and removed(frame(*rows), group=1) == removed(frame(*rows), group=5) == whole
+
+
+def test_hardly_any_paragraph_with_a_replaced_word_is_missed(frame):
+    rng = random.Random(17)
+    rows = []
+    for i in range(80):
+        words = prose(rng, 50).split()
+        other = [*words[:25], "changed", *words[26:]]
+        rows += [(2 * i, prose(rng, 5) + " " + " ".join(words)), (2 * i + 1, prose(rng, 5) + " " + " ".join(other))]
+    assert len({r[0] for r in removed(frame(*rows))}) >= 77

@@ -4,11 +4,10 @@ A paragraph is any run of 50 words, wherever it stands, so passages inside longe
 paragraphs are alike when the sets of their five-word shingles have a Jaccard similarity of at least 0.8 (equal, one
 word replaced, inserted or deleted, or clauses swapped).
 
-1. Bands.  Two bands of two hash functions; each function picks the least shingle of every paragraph.
-   Neighbours mostly share their picks, so a text falls into few runs of paragraphs with one pair of picks, about one
-   per 12 words and band.  Equal paragraphs always collide; those at a similarity of 0.8 miss both
-   bands of one paragraph with a chance of 0.13, and a passage of more than 50 words has several.  (Bands of one
-   function would miss less, but every common sentence would make a candidate.)
+1. Bands.  Each of three hash functions picks the least shingle of every paragraph.  Neighbours mostly
+   share their pick, so a text falls into few runs of paragraphs with one pick, about one per 23 words
+   and band.  Equal paragraphs always collide, those at a similarity of 0.8 miss all bands of one
+   paragraph with a chance of 0.008, and a passage of more than 50 words has several.
 2. Runs that are equal as a whole form one node, counted with partial aggregates.
 3. Different runs around one pick meet in shards and are verified: runs whose paragraphs hold too many shingles
    that no other run around the pick has are done; the others are compared by their shingle sets, in larger
@@ -33,8 +32,8 @@ from tidemark.llm.components import components
 from tidemark.llm.rolling import FOLDED, Hashed, least_runs, mix, numbers, word_grams, word_ranges
 from tidemark.session import checkpointed
 
-WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 2, 80
-_SEEDS = numbers(2 * BANDS, 11).reshape(BANDS, 2)
+WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 3, 80
+_SEEDS = numbers(BANDS, 11)
 _LEFT, _RIGHT = WORDS - SHINGLE, WORDS
 _PER = WORDS - SHINGLE + 1
 GROUP, SHARD, SMALL = 8192, 4000, 12
@@ -62,15 +61,14 @@ def _runs(docs: DataFrame, keys_only: bool = False) -> DataFrame:
             for begin, end in text_slices(texts):
                 words, _, _, offsets = _words(texts.slice(begin, end - begin))
                 grams, whole = word_grams(words, SHINGLE), None if keys_only else Hashed(words)
-                for seeds in _SEEDS:
-                    one, two = (mix(grams ^ seed) for seed in seeds)
-                    of, lo, windows, (place, other) = least_runs([one, two], WORDS - SHINGLE + 1, offsets, WORDS)
-                    k = mix(one[place] + mix(two[other]))
+                for seed in _SEEDS:
+                    picked = mix(grams ^ seed)
+                    of, lo, windows, (place,) = least_runs([picked], WORDS - SHINGLE + 1, offsets, WORDS)
+                    k = picked[place]
                     if keys_only:
                         yield pa.record_batch([pa.array(k.view(np.int64))], names=["k"])
                         continue
                     s = mix(whole.ranges(lo, lo + windows + WORDS - 1) + k)
-                    # The runs are aligned on the first function's pick.
                     at = ((lo - offsets[of]) << 16) | (windows << 8) | (place - lo)
                     rows = pa.array(of + begin)
                     yield pa.record_batch(
