@@ -121,11 +121,14 @@ def test_paragraphs_are_compared_as_sets():
                      np.concatenate([words[: at + 5], words[at: at + 5], words[at:]])][rng.integers(0, 4)]
         words = words[: rng.integers(50, 96)][:95]
         row[: len(words)] = words
+    table[50:, :90] = 7
+    for row in table[50:]:
+        row[rng.integers(0, 90, rng.integers(0, 3))] = 8
     runs = paragraphs.Runs(table, np.zeros(60))
     a, b = np.triu_indices(60, 1)
     mine, other, _, _, _ = runs.compare(a, b)
     some = 0
-    for p in range(0, len(a), 29):
+    for p in [*range(0, len(a), 29), *np.flatnonzero(a >= 50)]:
         one, two = ([row[i: i + 50].tolist() for i in range(46) if row[i + 49]] for row in (table[a[p]], table[b[p]]))
         fit = np.array([[jaccard(x, y) >= 0.8 and (i == j or any(
             w[:5] in [v[k: k + 5] for k in range(46)] and w[-5:] in [v[k: k + 5] for k in range(46)] for w, v in ((x, y), (y, x))))

@@ -36,7 +36,7 @@ WORDS, SHINGLE, BANDS, PERCENT = 50, 5, 3, 80
 _SEEDS = numbers(BANDS, 11)
 _LEFT, _RIGHT = WORDS - SHINGLE, WORDS
 _PER = WORDS - SHINGLE + 1
-GROUP, SHARD, SMALL = 8192, 4000, 12
+GROUP, SHARD, SMALL = 8192, 4000, 16
 
 _RUNS = "k bigint, s bigint, d bigint, h bigint, at bigint"
 _CONTEXTS = "k bigint, s bigint, u bigint, at bigint, words binary"
@@ -123,26 +123,33 @@ class Runs:
         order = np.argsort(flat, kind="stable")
         again = flat[order][1:] == flat[order][:-1]
         self.earlier.ravel()[order[1:][again]] = order[:-1][again] % places
-        held = np.bincount(self.ids[whole & (self.earlier < 0)], minlength=len(names))
-        shared = whole & (held[self.ids] > 1)
-        self.central = np.where(whole, held[self.ids], 0).sum(axis=1)
-        self.ids[~whole] = -1
+        ranked = flat[order]
+        self.keys = ranked[np.flatnonzero(ranked >= 0)]
         self.names = len(names)
-        self.repeats = (self.earlier >= 0).any(axis=1)
         self.inside = (table[:, : table.shape[1] - WORDS + 1] > 0) & (table[:, WORDS - 1:] > 0)
         self.sizes = self._different(whole)
-        # Other paragraphs hold too many shingles that no other run of the group has.
-        self.possible = self.inside & (self._different(shared) * 100 >= self.sizes * PERCENT)
+        # Other paragraphs hold too many shingles that no other run of the group has; without their runs, more do.
+        self.possible, left = self.inside, -1
+        while left != (left := self.possible.any(axis=1).sum()):
+            new = whole & (self.earlier < 0) & self.possible.any(axis=1)[:, None]
+            held = np.bincount(self.ids[new], minlength=len(names))
+            self.shared = whole & (held[self.ids] > 1)
+            self.possible = self.inside & (self._different(self.shared) * 100 >= self.sizes * PERCENT)
+        self.central = np.where(whole, held[self.ids], 0).sum(axis=1)
+        self.ids[~whole] = -1
         # Shingles that some other run of the group may still show to be common.
-        self.open = shared & _spread(self.possible, _PER)
+        self.open = self.shared & _spread(self.possible, _PER)
 
-    def _different(self, flags: np.ndarray) -> np.ndarray:
-        """How many different flagged shingles each paragraph holds."""
+    def _different(self, flags: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """How many different flagged shingles each paragraph of some runs holds, if all places of a shingle are flagged."""
         counts = _sums(flags)
-        rows = np.flatnonzero(self.repeats)
-        for x in range(counts.shape[1]) if len(rows) else ():
-            part = slice(x, x + _PER)
-            counts[rows, x] = (flags[rows, part] & (self.earlier[rows, part] < x)).sum(axis=1)
+        earlier = self.earlier[rows]
+        row, begin, last, _ = _again(earlier, flags & (earlier >= 0), counts.shape[1])
+        if len(row):
+            wide = counts.shape[1] + 1
+            less = (np.bincount(row * wide + begin, minlength=len(counts) * wide)
+                    - np.bincount(row * wide + last + 1, minlength=len(counts) * wide))
+            counts -= np.cumsum(less.reshape(len(counts), wide), axis=1)[:, :-1].astype(np.int32)
         return counts
 
     def compare(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -153,31 +160,68 @@ class Runs:
         Those not at the same place must share the first and last shingle of one of them: else what
         they have in common is a shorter passage at the end of a text.
         """
-        left, right = self.ids[a], np.where(self.ids[b] < 0, -2, self.ids[b])
-        equal = left[:, :, None] == right[:, None, :]
-        hits = equal.any(axis=2), equal.any(axis=1)
+        aligned = (self.ids[a] == self.ids[b]) & (self.ids[a] >= 0)
+        mine, other = self._elsewhere(a, b, aligned), self._elsewhere(b, a, aligned)
+        moved = (mine | other | aligned & ((self.earlier[a] >= 0) | (self.earlier[b] >= 0))).any(axis=1)
+        hits = aligned | mine, aligned | other
+        # No more shingles can be common than are held by the other run.
+        near = np.ones(len(a), bool)
+        for rows, hit in zip((a, b), hits):
+            near &= (self.inside[rows] & (self._different(hit, rows) * 100 >= self.sizes[rows] * PERCENT)).any(axis=1)
+        flags = np.zeros((3, len(a), self.inside.shape[1]), bool)
+        plain = np.flatnonzero(near & ~moved)
+        one, two = a[plain], b[plain]
+        # Shingles that only stand at the same place make no other paragraphs alike.
+        flags[:, plain] = self.inside[one] & self.inside[two] & _enough(_sums(aligned[plain]), self.sizes[one], self.sizes[two])
+        mixed = np.flatnonzero(near & moved)
+        for at in range(0, len(mixed), 64):
+            some = mixed[at: at + 64]
+            flags[:, some] = self._all_paragraphs(a[some], b[some])
+        return *flags, *hits
+
+    def _elsewhere(self, rows: np.ndarray, others: np.ndarray, aligned: np.ndarray) -> np.ndarray:
+        """Which shingles of some runs stand in others, but not at the same place."""
+        found = self.shared[rows] & ~aligned
+        pair, place = np.nonzero(found)
+        sought = others[pair] * self.names + self.ids[rows[pair], place]
+        at = np.minimum(np.searchsorted(self.keys, sought), len(self.keys) - 1)
+        found[pair, place] = self.keys[at] == sought
+        return found
+
+    def _all_paragraphs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        equal = self.ids[a][:, :, None] == np.where(self.ids[b] < 0, -2, self.ids[b])[:, None, :]
         windows = self.inside.shape[1]
-        first = np.arange(windows)[None, :, None]
         # holds[p, x, j]: paragraph x of the first run holds shingle j of the second; held[p, y, i]: the other way round.
-        holds, held = (_within(np.where(hit, equal.argmax(axis=axis), -1)[:, None, :], first)
-                       for hit, axis in ((hits[1], 1), (hits[0], 2)))
-        for table, rows, axis in ((holds, np.flatnonzero(self.repeats[a]), 1), (held, np.flatnonzero(self.repeats[b]), 2)):
-            for x in range(windows) if len(rows) else ():
-                part = equal[rows, x: x + _PER] if axis == 1 else equal[rows, :, x: x + _PER]
-                table[rows, x] = part.any(axis=axis)
+        holds = _sums(equal.transpose(0, 2, 1)).transpose(0, 2, 1) > 0
+        held = _sums(equal).transpose(0, 2, 1) > 0
         common = _sums(holds)
-        rows = np.flatnonzero(self.repeats[b])
-        for y in range(windows) if len(rows) else ():
-            new = self.earlier[b[rows], y: y + _PER] < y
-            common[rows, :, y] = (holds[rows, :, y: y + _PER] & new[:, None, :]).sum(axis=2)
-        union = self.sizes[a][:, :, None] + self.sizes[b][:, None, :] - common
-        fit = (self.inside[a][:, :, None] & self.inside[b][:, None, :]) & (common * 100 >= union * PERCENT)
+        # A shingle counts only where its paragraph does not hold it before.
+        pair, begin, last, place = _again(self.earlier[b], self.earlier[b] >= 0, windows)
+        twice = np.zeros((len(a), windows + 1, windows), np.int32)
+        again = holds[pair, :, place].astype(np.int32)
+        np.add.at(twice, (pair, begin), again)
+        np.subtract.at(twice, (pair, last + 1), again)
+        common -= np.cumsum(twice, axis=1)[:, :-1].transpose(0, 2, 1)
+        fit = self.inside[a][:, :, None] & self.inside[b][:, None, :]
+        fit &= _enough(common, self.sizes[a][:, :, None], self.sizes[b][:, None, :])
         ends = holds[:, :, :windows] & holds[:, :, _PER - 1: _PER - 1 + windows]
         ends |= (held[:, :, :windows] & held[:, :, _PER - 1: _PER - 1 + windows]).transpose(0, 2, 1)
         same = np.arange(windows)
         ends[:, same, same] = True
         fit &= ends
-        return fit.any(axis=2), fit.any(axis=1), fit[:, same, same], *hits
+        return fit.any(axis=2), fit.any(axis=1), fit[:, same, same]
+
+
+def _again(earlier: np.ndarray, flags: np.ndarray, windows: int) -> tuple[np.ndarray, ...]:
+    """For flagged shingles that a run holds before: row, first and last paragraph that holds both, and place."""
+    row, place = np.nonzero(flags)
+    begin, last = np.maximum(place - _PER + 1, 0), np.minimum(earlier[row, place], windows - 1)
+    fit = begin <= last
+    return row[fit], begin[fit], last[fit], place[fit]
+
+
+def _enough(common: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return common * 100 >= (one + two - common) * PERCENT
 
 
 def _sums(flags: np.ndarray) -> np.ndarray:
@@ -187,10 +231,6 @@ def _sums(flags: np.ndarray) -> np.ndarray:
     return sums[..., _PER:] - sums[..., :-_PER]
 
 
-def _within(place: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return (place >= first) & (place < first + _PER)
-
-
 def common_words(one: np.ndarray, two: np.ndarray, flags: np.ndarray) -> np.ndarray:
     """Which words of the first row go with its alike paragraphs: those equal to the aligned word of the second,
     and up to ``SHINGLE`` replaced ones between two such; so words that merely border on a passage stay."""
@@ -255,20 +295,24 @@ def _compared(runs: Runs, table: np.ndarray, group: np.ndarray) -> tuple[np.ndar
     for begin, size in zip(first[sizes > SMALL], sizes[sizes > SMALL]):
         rows = left[begin: begin + size]
         comp, held, sought = np.arange(size), np.zeros(runs.names + 1, bool), np.zeros(runs.names + 1, bool)
-        for at, hub in enumerate(rows[:-1]):
-            if (comp == comp[0]).all() and not runs.open[rows].any():
-                break
-            held[runs.ids[hub]], sought[runs.ids[hub][runs.open[hub]]] = True, True
-            held[-1] = False
-            later = rows[at + 1:]
-            ids = runs.ids[later]
-            common = held[ids]
-            useful = (comp[at + 1:] != comp[at]) | sought[ids].any(axis=1) | (common & runs.open[later]).any(axis=1)
-            useful &= common.sum(axis=1) * 100 >= least[later]
-            held[runs.ids[hub]], sought[runs.ids[hub]] = False, False
-            todo = np.flatnonzero(useful)
-            linked = todo[compare(np.full(len(todo), hub), later[todo])] + at + 1
-            comp[np.isin(comp, comp[linked])] = comp[at]
+        ids, at, hubs = runs.ids[rows], 0, 1
+        # The first hub settles most groups; if not, several hubs take their turn together.
+        while at < size - 1 and ((comp != comp[0]).any() or runs.open[rows].any()):
+            pairs, still = [], runs.open[rows]
+            for hub in range(at, min(at + hubs, size - 1)):
+                mine, later = ids[hub], ids[hub + 1:]
+                held[mine], sought[mine[still[hub]]] = True, True
+                held[-1] = False
+                common = held[later]
+                useful = (comp[hub + 1:] != comp[hub]) | sought[later].any(axis=1) | (common & still[hub + 1:]).any(axis=1)
+                useful &= common.sum(axis=1) * 100 >= least[rows[hub + 1:]]
+                held[mine], sought[mine] = False, False
+                pairs.append(np.stack([np.full(useful.sum(), hub), np.flatnonzero(useful) + hub + 1]))
+            one, two = np.concatenate(pairs, axis=1)
+            linked = compare(rows[one], rows[two])
+            for hub in np.unique(one[linked]):
+                comp[np.isin(comp, comp[two[linked & (one == hub)]])] = comp[hub]
+            at, hubs = at + hubs, max(1, min(2 * hubs, 4096 // size))
     return _bridged(marked) | extra, links
 
 
