@@ -218,3 +218,30 @@ def test_hardly_any_paragraph_with_a_replaced_word_is_missed(frame):
         other = [*words[:25], "changed", *words[26:]]
         rows += [(2 * i, prose(rng, 5) + " " + " ".join(words)), (2 * i + 1, prose(rng, 5) + " " + " ".join(other))]
     assert len({r[0] for r in removed(frame(*rows))}) >= 77
+
+
+def test_rows_alike_in_id_and_text_list_each_span_once(frame, monkeypatch):
+    sizes, text = [], prose(random.Random(41), 60)
+    whole = paragraphs.clusters
+
+    def spans(keyed, group):
+        found = whole(keyed, group)
+        grouped = type(found).groupBy
+
+        class Spans:
+            def groupBy(self, *names):
+                got = grouped(found, *names)
+
+                class Grouped:
+                    def agg(self, *columns):
+                        out = got.agg(*columns)
+                        sizes.extend(r[0] for r in out.select(F.size("list")).collect())
+                        return out
+
+                return Grouped()
+
+        return Spans()
+
+    monkeypatch.setattr(paragraphs, "clusters", spans)
+    removed(frame(*[(None, text)] * 20, (1, text)))
+    assert len(sizes) == 2 and sizes[0] == sizes[1]

@@ -409,7 +409,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _removals(docs: DataFrame, doc_id: str, text: str, group: int) -> DataFrame:
     """``d, h, list``: begin, end (in words) and keeper of each span that goes, per text."""
     spans = clusters(_keyed(docs, doc_id, text), group).groupBy("d", "h").agg(
-        F.collect_list(F.struct("begin", "end", "keep", "keeper")).alias("list"))
+        F.collect_set(F.struct("begin", "end", "keep", "keeper")).alias("list"))
     settled = spans.mapInArrow(_settle, "d bigint, h bigint, list array<bigint>")
     return checkpointed(settled.filter(F.size("list") > 0), "removals")
 

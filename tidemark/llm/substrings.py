@@ -235,7 +235,7 @@ def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100, group: int
         .agg(F.count("*").alias("c"), F.collect_list(F.when(F.col("begin").isNotNull(), F.struct("d", "h", "begin"))).alias("own"))
         .filter("c > 1").select(F.explode("own").alias("o")).select("o.d", "o.h", "o.begin", (F.col("o.begin") + length).alias("end")))
     spans = whole.unionByName(marks.filter("end is not null").select("d", "h", "begin", "end")).unionByName(across)
-    listed = spans.groupBy("d", "h").agg(F.collect_list(F.struct("begin", "end")).alias("list"))
+    listed = spans.groupBy("d", "h").agg(F.collect_set(F.struct("begin", "end")).alias("list"))
     return listed.mapInArrow(_merge_lists, "d bigint, h bigint, list array<bigint>")
 
 
