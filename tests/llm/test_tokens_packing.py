@@ -136,3 +136,18 @@ def test_bounds_hold_and_best_fit_is_feasible():
         assert fill.max() <= capacity and (offsets + lengths).max() <= capacity
         optimum = best(lengths.tolist(), capacity)
         assert packing.lower_bound(lengths, capacity) <= optimum <= len(fill)
+
+
+def test_pieces_of_rows_that_are_alike_spread_over_parts(spark, monkeypatch):
+    largest, real = [], packing.checkpointed
+
+    def seen(df, name):
+        out = real(df, name)
+        if name == "packing":
+            largest.append(out.groupBy("part").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(packing, "checkpointed", seen)
+    items = spark.createDataFrame([(None, 0, 0, 700, 5)] * 400, packing.PIECES)
+    assert packing.pack(items, 2048, per_part=50).count() == 400
+    assert largest[0] < 120

@@ -132,7 +132,9 @@ def pack(items: DataFrame, capacity: int = 2048, per_part: int = PER_PART, round
     todo, settled, turn = items, [], 0
     while True:
         parts = parts_for(n, per_part)
-        spread = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(turn)), F.lit(parts))
+        # The number of the row, too, as rows may be alike; written pieces are read in the same order again.
+        row = F.monotonically_increasing_id()
+        spread = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", row, F.lit(turn)), F.lit(parts))
         packed = checkpointed(
             todo.select("doc_id", "piece", "start", "length", "ids_crc32", spread.alias("part"))
             .groupBy("part").applyInPandas(_pack(capacity, turn), _ROUND), "packing")
