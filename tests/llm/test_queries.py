@@ -16,6 +16,12 @@ CONTRACT = {
                                   "edited_fingerprint string", "near_edited double", "near_next double"),
     "op9_minhash_near_dedup": ("doc_id bigint", "n_shingles bigint", "component_id bigint", "kept boolean"),
     "op10_suffix_array_dedup": ("doc_id bigint", "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string"),
+    "op11_tokeniser_fertility": ("doc_id bigint", "n_words bigint", "word_chars bigint", "n_symbols bigint", "n_dup_lines bigint",
+                                 "n_repeat_words bigint", "base_failed boolean", "kept boolean"),
+    "op12_fill_in_middle": ("doc_id bigint", "n bigint", "form string", "prefix_chars bigint", "middle_chars bigint",
+                            "output_sha256 string", "restored_sha256 string"),
+    "op13_conversation_repair": ("conv_id bigint", "gaps bigint", "blank bigint", "duplicate bigint", "truncated bigint",
+                                 "illegal bigint", "cost bigint", "audit string", "repaired_sha256 string"),
 }
 
 
