@@ -117,6 +117,14 @@ def test_one_of_each_group_stays(frame, awkward):
     assert sum(r["doc_id"] is None for r in got) == 2
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(frame):
+    rng = random.Random(12)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b), (2, a), (2, c), (3, b + " end"), (4, None), (4, a), (None, a), (5, c), (5, "short")]
+    got = sorted(((r["doc_id"], r["text"]) for r in neardup.drop_near_duplicates(frame(*rows)).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (2, c), (4, None), (None, a), (5, "short")], key=str)
+
+
 def test_odd_sketches_tell_similar_sets():
     rng = np.random.default_rng(3)
     limit = neardup.sketch_limit(0.85)

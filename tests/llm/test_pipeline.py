@@ -59,7 +59,7 @@ def test_packed_tokens_are_those_of_the_mix(stages):
 
 def test_registered(spark, sf):
     names = entry.queries()
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
 
 

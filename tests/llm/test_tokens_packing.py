@@ -32,10 +32,14 @@ def test_words_encode_as_whole_texts(tokenizer, documents):
 
 
 def test_a_full_cache_starts_again(tokenizer, monkeypatch):
-    monkeypatch.setattr(tokens, "_CACHED_WORDS", 3)
+    monkeypatch.setattr(tokens, "_CACHED_BYTES", 64 * 240)
+    monkeypatch.setattr(tokens, "_caches", {})
     encode = tokens.encoder(vocabulary())
-    text = "one, two three four five two one."
-    assert np.frombuffer(encode(text.encode()), "<u4").tolist() == ids(tokenizer, text)
+    cache = tokens._caches[vocabulary()]
+    text = "one, two three four five two one. " + "long" * 100 + " " + " ".join(f"w{i}" for i in range(300))
+    for _ in range(3):
+        assert np.frombuffer(encode(text.encode()), "<u4").tolist() == ids(tokenizer, text)
+    assert ("long" * 100).encode() not in cache and sum(len(k) + len(v) + 200 for k, v in cache.items()) <= 64 * 240
 
 
 def test_limits_equal_brute_force(documents, tokenizer, frame, awkward):

@@ -106,6 +106,23 @@ def test_units_join_spelt_out_words():
     assert [e - s for s, e in zip(starts.tolist(), ends)] == [3, 3, 2, 1, 2]
 
 
+def test_a_repeated_id_stays_within_the_bound(spark, frame, labels, monkeypatch):
+    docs, _ = corpus()
+    rng = random.Random(4)
+    one = next(i for i, _ in docs if i % 4 and zlib.crc32(str(i).encode()) % 4 != 2)
+    many = docs + [(one, prose(rng, 12)) for _ in range(3000)]
+    seen, real = {}, toxicity.checkpointed
+
+    def kept(df, name):
+        out = real(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(toxicity, "checkpointed", kept)
+    model = toxicity.train(frame(*many), labels, toxic=60, clean=150)
+    assert seen["sample"] <= 210 and model.weights is not None
+
+
 def test_toxic_rows_go(frame, labels):
     docs, truth = corpus()
     kept = toxicity.drop_toxic(frame(*docs), labels)

@@ -87,5 +87,33 @@ def test_awkward_urls_and_mined_rules(spark):
     assert verdicts[100] == "block"  # no rule fits, but all pages like it are blocked
 
 
+def test_rare_combinations_of_common_tokens_are_no_rules(spark):
+    """Two tokens common among blocked pages that meet once: that one page is no rule, however sure it looks."""
+    rows = [(i, f"https://a.net/es/x/{i}") for i in range(10)] + [(100 + i, f"https://b.org/y/{i}") for i in range(3000)]
+    rows += [(5000 + i, f"https://a.org/q/x/{i}") for i in range(9)] + [(6000 + i, f"https://c.net/fr/y/{i}") for i in range(12)]
+    rows += [(7000, "https://c.net/es/x"), (7001, "https://c.org/es/x"), (7002, "https://c.net/z/x")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    compare(pages)
+    said = urls.judge(pages, URL_RULES)
+    labelled = said.select(urls.tokens_of(F.col("host"), F.col("path")).alias("tokens"),
+                           F.coalesce(F.col("rule").isNotNull() & (F.col("verdict") == "block"), F.lit(False)).alias("blocked"))
+    n, mined = len(rows), urls.mine(labelled).collect()
+    tables = [(tokens(*parts(u)), stated(*parts(u))[1] == "block") for _, u in rows]
+    assert mined
+    for r in mined:
+        hits = [bad for t, bad in tables if set(r["tokens"]) <= t]
+        assert sum(hits) >= int(urls.SUPPORT * n) and r["support"] == pytest.approx(sum(hits) / n)
+        assert r["confidence"] == pytest.approx(sum(hits) / len(hits))
+
+
+def test_tokens_that_always_stand_together_count_as_one(spark):
+    deep = "/".join(f"d{i}" for i in range(30))
+    rows = [(i, f"https://a.net/es/{deep}") for i in range(20)] + [(100 + i, f"https://b{i}.com/") for i in range(50)] + [
+        (200, f"https://x.org/es/{deep}")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    verdicts = {r["page_id"]: r["verdict"] for r in urls.judge(pages, URL_RULES).collect()}
+    assert verdicts[200] == "block" and verdicts[100] == "allow"
+
+
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).count() == 0

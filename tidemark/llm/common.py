@@ -74,6 +74,11 @@ def filled(batch: pa.RecordBatch, column: str) -> pa.Array:
     return texts.fill_null("") if texts.null_count else texts
 
 
+def text_of_rows(rows: pa.StructArray, at: int) -> pa.Array:
+    """The text column number ``at`` of whole rows, null as empty; so that texts enter a worker once."""
+    return filled(pa.record_batch([rows.flatten()[at]], names=["text"]), "text")
+
+
 # Bytes of lists that may be broadcast to join documents; larger lists are shuffled with the documents.
 BROADCAST_BYTES = 64 << 20
 

@@ -8,9 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import filled, text_bytes, text_slices
+from tidemark.llm.common import filled, join_few, text_bytes, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.rolling import FOLDED, Hashed, mix, numbers, shingles, word_ranges
 from tidemark.session import checkpointed
@@ -289,16 +289,42 @@ def _block_links(apart: DataFrame, classes: DataFrame, items: DataFrame, percent
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its group, and those without words or without an id.
+    """The rows of ``docs`` that copy no row before them: one of each group of near copies, and all rows without words
+    or without an id.
 
-    Rows that share an id are one document; one of them stays, the last in the order of all columns by their hash.
+    Each different (id, text) is judged by its own shingles, so rows that share an id and differ in text
+    do not stand for each other; of rows alike in both one stays, the last in the order of all columns by their hash.
     """
-    judged = checkpointed(near_duplicates(docs.select("doc_id", "text"), width, percent), "judged")
-    gone = judged.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = judged.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1")
-    if repeated.isEmpty():
+    same = (F.col("doc_id").cast("bigint") == F.col("id")) & (F.xxhash64("text") == F.col("h"))
+    keys = checkpointed(docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"),
+                                                                 F.xxhash64("text").alias("h")).distinct(), "texts")
+    if keys.groupBy("id").count().filter("count > 1").isEmpty():
+        judged = checkpointed(near_duplicates(docs.select("doc_id", "text"), width, percent), "judged")
+        gone = judged.filter("not kept and doc_id is not null").select("doc_id").distinct()
+        kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    else:
+        # Texts go by numbers of their own, in the order of ids, so that the smallest id of a group stays.
+        numbered = checkpointed(_numbered(keys), "numbers")
+        texts = docs.select("doc_id", "text").join(numbered, same).select(F.col("number").alias("doc_id"), "text")
+        judged = checkpointed(near_duplicates(texts, width, percent), "judged")
+        gone = numbered.join(judged.filter("not kept").select(F.col("doc_id").alias("number")).distinct(), "number", "left_semi")
+        kept = docs.join(gone, same, "left_anti").select(*docs.columns)
+    if docs.filter("doc_id is not null").count() == keys.count():
         return kept
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = kept.filter("doc_id is not null").groupBy(F.col("doc_id").alias("key")).agg(F.max_by(row, F.xxhash64(row)).alias("row"))
+    one = (kept.filter("doc_id is not null").groupBy(F.col("doc_id").alias("key"), F.xxhash64("text").alias("text_key"))
+           .agg(F.max_by(row, F.xxhash64(row)).alias("row")))
     return one.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]).unionByName(kept.filter("doc_id is null"))
+
+
+def _numbered(keys: DataFrame) -> DataFrame:
+    """``keys`` (id, h) with ``number``: 0, 1, ... in their order, counted within ranges of ids."""
+    placed = checkpointed(keys.repartitionByRange("id", "h").sortWithinPartitions("id", "h")
+                          .withColumn("place", F.monotonically_increasing_id()), "places")
+    # A place has the partition's number in its upper bits and the row within it in the lower 33.
+    parts = placed.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("n"))
+    # One row per partition, so this window stays small.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    return join_few(placed.withColumn("part", F.shiftright("place", 33)), begins, ["part"]).select(
+        "id", "h", (F.col("begin") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"))

@@ -459,15 +459,16 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     removals = _removals(docs, doc_id, text, group)
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`") for c in names])
-    keyed = docs.select(row.alias("row"), F.col(doc_id).cast("bigint").alias("d"), F.xxhash64(F.col(text)).alias("h"),
-                        F.col(text).alias("text"))
+    at_text = names.index(text)
+    keyed = docs.select(row.alias("row"), F.col(doc_id).cast("bigint").alias("d"), F.xxhash64(F.col(text)).alias("h"))
     joined = join_documents(keyed, removals, "left", 8)
     schema = "row " + docs.select(row.alias("r")).schema["r"].dataType.simpleString() + ", text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            lists = batch.column(batch.schema.get_field_index("list")).to_pylist()
+            rows = batch.column(0)
+            texts = rows.flatten()[at_text]
+            lists = batch.column(1).to_pylist()
             out = []
             for i, spans in enumerate(lists):
                 if not spans:
@@ -482,7 +483,7 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     parts.append(data[at: starts[b]])
                     at = starts[e]
                 out.append(b"".join([*parts, data[at:]]).decode("utf-8", "replace"))
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
+            yield pa.record_batch([rows, pa.array(out, pa.string())], names=["row", "text"])
 
-    cut = joined.select("row", "text", "list").mapInArrow(run, schema)
+    cut = joined.select("row", "list").mapInArrow(run, schema)
     return cut.select(*[(F.col("text") if c == text else F.col(f"row.`{c}`")).alias(c) for c in names])

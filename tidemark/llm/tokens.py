@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.common import filled, replaced
 from tidemark.session import checkpointed
 
-_CACHED_WORDS = 1_000_000
+# What a worker's words and ids may take together, with some 200 bytes for each entry.
+_CACHED_BYTES = 160 << 20
 # Fixed marks: a run of them after a letter or digit is a token run of its own.
 _MARKS = b".,;:!?"
 # Words of these letters alone are in composed form, have plain lower-case forms, and are not split further.
@@ -32,7 +33,7 @@ class WordIds(dict):
     Right for byte-level vocabularies that fold case and drop white space before they merge: a text's ids
     are then its words' ids in a row, and a word's are those of its core in lower case and of the
     marks after it.  Plain cores go to the merges at once, all others through the whole
-    tokenizer.  Bounded: a full cache starts again.
+    tokenizer.  Bounded by bytes: a full cache starts again, and a very long word is not kept.
     """
 
     def __init__(self, path: str):
@@ -43,6 +44,7 @@ class WordIds(dict):
         self._merge = self._tokenizer.model.tokenize
         self._ids = [n.to_bytes(4, "little") for n in range(self._tokenizer.get_vocab_size())]
         self._letters = _byte_letters()
+        self._bytes = 0
 
     def __missing__(self, word: bytes) -> bytes:
         # A special token is one only as it is spelt.
@@ -54,9 +56,13 @@ class WordIds(dict):
             ids = self[core]
         else:
             ids = self._encoded(word)
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = ids
+        cost = len(word) + len(ids) + 200
+        if cost * 64 <= _CACHED_BYTES:
+            if self._bytes + cost > _CACHED_BYTES:
+                self.clear()
+                self._bytes = 0
+            self[word] = ids
+            self._bytes += cost
         return ids
 
     def _encoded(self, word: bytes) -> bytes:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm import strings
-from tidemark.llm.common import filled, replaced, text_bytes, text_slices
+from tidemark.llm.common import filled, replaced, text_bytes, text_of_rows, text_slices
 from tidemark.llm.rolling import FOLDED, Hashed, mix, numbers, word_grams, word_ranges
 from tidemark.session import checkpointed
 
@@ -130,14 +130,19 @@ def _decided(shared):
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC_SAMPLE, clean: int = CLEAN_SAMPLE) -> Model:
-    """Learn from at most ``toxic`` and ``clean`` labelled rows; a bounded number of words reaches the driver.
+    """Learn from at most ``toxic`` and ``clean`` labelled ids, and as many different texts; a bounded number of words reaches
+    the driver.  Where ids repeat and hold more texts than that, the first in hash order count.
 
     Without labelled texts of both kinds all texts get the share of toxic ones among those labelled (0 if none).
     """
     wanted = _sample(labels, toxic, clean)
-    texts = checkpointed(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-        .join(F.broadcast(wanted), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"]), "sample")
+    labelled = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("h"))
+                .join(F.broadcast(wanted), "doc_id").select("toxic", "h", "text"))
+    # Only hashes are put in order; at most ``toxic + clean`` rows are broadcast.
+    hashes = checkpointed(labelled.select("toxic", "h").distinct(), "sample-hashes")
+    first = [hashes.filter(kind).orderBy("h").limit(n) for kind, n in ((F.col("toxic"), toxic), (~F.col("toxic"), clean))]
+    texts = checkpointed(labelled.join(F.broadcast(first[0].unionByName(first[1])), ["toxic", "h"], "left_semi")
+                         .groupBy("toxic", "h").agg(F.min("text").alias("text")).select("text", "toxic"), "sample")
     counts = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     n_toxic, n_clean = counts.get(True, 0), counts.get(False, 0)
     constant = Model(None, 0.0, np.array([n_toxic / max(1, n_toxic + n_clean)]))
@@ -198,15 +203,16 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c.lower() != "score"]
-    row = F.struct(*[F.col(f"`{c}`") for c in names])
-    picked = docs.select(row.alias("row"), F.col(text).alias("text"))
+    at = [c.lower() for c in names].index(text.lower())
+    picked = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = filled(batch, "text")
-            parts = [_scores(shared.value, *text_bytes(texts.slice(b, e - b))) for b, e in text_slices(texts, 1 << 19)]
-            yield pa.record_batch([batch.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))],
-                                  names=["row", "score"])
+            rows = batch.column(0)
+            texts = text_of_rows(rows, at)
+            for begin, end in text_slices(texts, 1 << 19):
+                value = _scores(shared.value, *text_bytes(texts.slice(begin, end - begin)))
+                yield pa.record_batch([rows.slice(begin, end - begin), pa.array(value)], names=["row", "score"])
 
     schema = "row " + picked.schema["row"].dataType.simpleString() + ", score double"
     return picked.mapInArrow(run, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in names], "score")

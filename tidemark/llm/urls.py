@@ -54,8 +54,9 @@ def _placed(kind: str, parts: Column) -> Column:
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """``rule_id, tokens, size, confidence, support``: token combinations that mean a block.
 
-    ``labelled`` has ``tokens`` and ``blocked`` (boolean), a row per page.  Tokens rare among blocked pages cannot be
-    in a rule and are left out first.  FP-growth then finds frequent combinations, and rules
+    ``labelled`` has ``tokens`` and ``blocked`` (boolean), a row per page.  ``support`` is the share of blocked pages with the
+    combination among all pages.  Tokens rare among blocked pages cannot be
+    in a rule and are left out first, and of tokens that always stand together one is enough.  FP-growth then finds frequent combinations, and rules
     stay whose consequence is the block, whose support and confidence are high enough, and of which no part is
     a rule of at least that confidence.
     """
@@ -70,14 +71,20 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
         return empty
     keyed = checkpointed(labelled.select(F.monotonically_increasing_id().alias("row"), "tokens", "blocked"), "transactions")
     kept = join_few(keyed.select("row", "blocked", F.explode("tokens").alias("token")), useful, ["token"])
-    items = kept.groupBy("row", "blocked").agg(F.collect_set("token").alias("items")).select(
-        F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCKED)))).otherwise(F.col("items")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=confidence).fit(checkpointed(items, "items"))
-    # Supports are of the pages that hold a useful token; that is enough to rank and prune.
+    # Tokens that stand in the same rows are one token: else each set of them would be a combination of its own.
+    alike = (kept.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("row")).alias("x"),
+                                       F.sum(F.xxhash64("row") % 1_000_003).alias("y"))
+             .groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token"))
+    items = checkpointed(join_few(kept, checkpointed(alike, "tokens"), ["token"], "left_semi").groupBy("row", "blocked")
+                         .agg(F.collect_set("token").alias("items")).select(
+        F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCKED)))).otherwise(F.col("items")).alias("items")), "items")
+    # Supports are shares of the rows given to the fit; half a row less keeps the least count itself safe from rounding.
+    fitted = items.count()
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / fitted, minConfidence=confidence).fit(items)
     rules = checkpointed(
         model.associationRules.filter(F.col("consequent")[0] == BLOCKED)
         .select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("tokens"),
-                F.size("antecedent").alias("size"), "confidence", "support"), "rules")
+                F.size("antecedent").alias("size"), "confidence", (F.col("support") * fitted / n).alias("support")), "rules")
     # A rule goes if one of its parts with a token less, or one below that, is as sure.
     parts = rules.select("rule_id", "confidence", F.explode("tokens").alias("gone"), "tokens").select(
         "rule_id", "confidence", F.xxhash64(F.array_remove("tokens", F.col("gone"))).alias("part"))
