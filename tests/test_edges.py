@@ -58,7 +58,7 @@ CASES = {
         e("k string, stage string, t timestamp_ntz"), "k", "t", "2024-01-01"),
     "as_of_lookup": lambda e: history.as_of_lookup(e("k string, at timestamp_ntz"), e(SCD), "k", "at", ["stage"]),
     "snapshot_totals": lambda e: history.snapshot_totals(e(SCD), *SPAN, by=["stage"], measures=[]),
-    "identity_links": lambda e: identity.identity_links(e(ACC), e(CUS), e("contact_id string, email string"), e(EVENT)),
+    "identity_links": lambda e: identity.identity_links(e(ACC), e(CUS), e("contact_id string, email string"), e(EVENT), *SPAN),
     "row_count_anomaly": lambda e: quality.row_count_anomaly(e(EVENT), "event_date"),
 }
 
