@@ -27,10 +27,24 @@ def account_engagement(events: DataFrame, start: date | str, end: date | str) ->
     One shuffle of distinct values carries all counts; a dominant account is spread by its
     users and sessions, and the second grouping only adds up partial results.
     """
-    active = not_in_events(events_between(events, start, end)).withColumnRenamed("event_date", "activity_date")
-    keys = ["activity_date", "account_id"]
+    return _engagement(engagement_parts(events_between(events, start, end)))
+
+
+def engagement_parts(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What ``account_engagement`` is made of: distinct users, sessions and event names per day and account, with their
+    rows.  Parts of several loads (``by``) add up, see ``engagement_of_parts``."""
+    active = not_in_events(events).withColumnRenamed("event_date", "activity_date")
+    return distinct_values(active, ["activity_date", "account_id", *by], ["user_id", "session_id", "event_name"])
+
+
+def engagement_of_parts(parts: DataFrame) -> DataFrame:
+    """``account_engagement`` from the parts of any number of loads."""
+    return _engagement(parts.groupBy("activity_date", "account_id", "kind", "value").agg(F.sum("n").alias("n")))
+
+
+def _engagement(values: DataFrame) -> DataFrame:
     named = F.col("kind") == "event_name"
-    return distinct_values(active, keys, ["user_id", "session_id", "event_name"]).groupBy(*keys).agg(
+    return values.groupBy("activity_date", "account_id").agg(
         count_of("user_id").alias("dau"), F.sum(F.when(named, F.col("n"))).alias("event_count"),
         count_of("session_id").alias("sessions"),
         F.array_sort(F.collect_set(F.when(named, F.col("value")))).alias("features_used"))

@@ -43,3 +43,8 @@ class Registry:
             from workload.oracle import oracle
 
             self.oracles[name] = oracle(sql)
+
+    def alike(self, name: str, build: Callable[[Context], DataFrame], other: str) -> None:
+        """A query that must give what ``other`` gives, by another way; it is checked against the same SQL."""
+        self.add(name, build)
+        self.oracles[name] = self.oracles[other]

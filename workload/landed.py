@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import identity
+from tidemark.plans import incremental
 from tidemark.session import work_dir
-from tidemark.sources import landing, registry
+from tidemark.sources import keyed, landing, registry
 from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS
 from workload.context import EVENTS_FROM, Registry
 
@@ -271,3 +272,43 @@ R.add("enrich_accounts", lambda c: identity.enrich_accounts(c.marts.accounts, c.
     select account_id, employee_count_band, json_extract_string(industry_json, '$.code') as industry_code,
            coalesce(technologies_csv, '') as tech_stack
     from s_account join raw_firmographic using (account_id)""")
+
+
+def _merged_into(c):
+    """Opportunities by key bucket; then, day by day as they arrive, the changes of one year and those of all others."""
+    path = work_dir(c.spark, "keyed")
+    keyed.create_keyed(c.raw["raw_opportunity"].select("id", "stage_name", "amount", F.col("created_date").alias("updated_at")),
+                       path, ["id"], buckets=16)
+    changes = c.raw["raw_opportunity_history"].select(F.col("opportunity_id").alias("id"), "stage_name", "amount",
+                                                      F.col("changed_at").alias("updated_at"))
+    late = F.year("updated_at") == 1996
+    for batch in (changes.filter(~late), changes.filter(late), changes.filter(late), changes.filter("false")):
+        keyed.merge_into(batch, path, "updated_at")
+    return keyed.read_keyed(c.spark, path)
+
+
+R.alike("merge_into", _merged_into, "merge_upsert")
+
+
+def _kept_up(c):
+    """The engagement mart after a first build and four refreshes: two later loads, one of late events, one load repeated
+    in full after half of it had arrived."""
+    landed, mart = work_dir(c.spark, "landing"), work_dir(c.spark, "mart")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(50)) == 0
+    events = c.raw["raw_event"].withColumn("load", F.expr("""case when event_date <= date '2024-01-10' then '2024-01-10'
+        when event_date <= date '2024-01-20' then '2024-01-20' else '2024-01-31' end"""))
+
+    def land(load, rows, at):
+        landing.land_partition(rows.drop("load"), landed, load, at)
+        incremental.refresh(c.spark, landed, mart, incremental.ENGAGEMENT, "week")
+
+    in_time = events.filter(~late)
+    land("2024-01-10", in_time.filter("load = '2024-01-10'"), "2024-01-11 01:00:00")
+    land("2024-01-20", in_time.filter("load = '2024-01-20' and event_name <> 'click'"), "2024-01-21 01:00:00")
+    land("2024-01-31", in_time.filter("load = '2024-01-31'"), "2024-02-01 01:00:00")
+    land("2024-01-20", in_time.filter("load = '2024-01-20'"), "2024-02-02 01:00:00")
+    land("2024-02-05", events.filter(late), "2024-02-06 01:00:00")
+    return incremental.read_mart(c.spark, mart)
+
+
+R.add("incremental_mart", _kept_up, "select * from m_engagement")

@@ -10,6 +10,7 @@ from tidemark.operators.quality import Between, NotNull, Unique
 from tidemark.operators.skew import hot_keys
 from tidemark.plans import contracts
 from tidemark.session import checkpointed, work_dir
+from tidemark.sources import keyed
 from workload.bindings import AS_OF_EVENTS, AS_OF_ORDERS
 from workload.context import Registry
 from workload.oracle import FRAGMENTS
@@ -325,6 +326,18 @@ _MERGE = f"""
     select * replace (cast(amount as double) as amount), valid_to is null as is_current from m"""
 R.add("scd2_merge", lambda c: _merged(c)[0], _MERGE)
 R.add("scd2_merge_rerun", _merged_twice, _MERGE)
+
+
+def _stored_history(c):
+    """The same two snapshots merged in a stored history, the second one twice."""
+    path = work_dir(c.spark, "keyed-history")
+    keyed.create_history(_snapshot(c, "1999-01-01"), path, "opportunity_id", "changed_at", buckets=16)
+    for _ in range(2):
+        keyed.merge_history(_merged(c)[1], path, "changed_at", "2002-01-02", hard_deletes=True)
+    return keyed.read_history(c.spark, path)
+
+
+R.alike("merge_history", _stored_history, "scd2_merge")
 R.add("as_of_lookup", lambda c: history.as_of_lookup(
     c.raw["raw_opportunity"].select(F.col("id").alias("opportunity_id"), "close_date"), _scd2(c),
     "opportunity_id", "close_date", ["stage_name", "amount"],

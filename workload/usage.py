@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import product
+from tidemark.operators import activity, chains, product
+from tidemark.session import checkpointed
 from workload.bindings import AS_OF_EVENTS
 from workload.context import EVENTS_FROM, Registry
 
@@ -137,3 +138,25 @@ R.add("engagement_revenue_join", lambda c: product.account_daily_engagement(_by_
            any_value(r.arr) as arr_usd
     from m_engagement e left join (select account_id, max(cents) / 100.0 as arr from m_revenue group by 1) r
          on r.account_id = e.account_id group by 1""")
+
+
+def _bitmaps(c, events):
+    """Bitmaps of two halves of the span, stored and merged, as two loads would leave them."""
+    parts = [checkpointed(activity.activity_bitmaps(events, *span), "bitmaps")
+             for span in ((EVENTS_FROM, "2024-01-12"), ("2024-01-13", AS_OF_EVENTS))]
+    return activity.merge_bitmaps(*parts)
+
+
+R.add("active_by_day", lambda c: activity.active_by_day(_bitmaps(c, product.not_in_events(_events(c))), *SPAN), f"""
+    with d as (select event_date, count(distinct user_id) as dau from e_active group by 1),
+    m as (select cast(g as date) as activity_date, count(distinct e.user_id) as mau
+          from generate_series(timestamp '{EVENTS_FROM}', timestamp '{AS_OF_EVENTS}', interval 1 day) t(g)
+          left join e_active e on e.event_date between cast(g as date) - 29 and cast(g as date) group by 1)
+    select activity_date, coalesce(dau, 0) as dau, mau, cast(coalesce(dau, 0) as double) / nullif(mau, 0) as stickiness
+    from m left join d on event_date = activity_date""")
+R.alike("retention_of_bitmaps", lambda c: activity.retention_of(_bitmaps(c, _events(c)), "week"), "retention")
+R.alike("retention_of_bitmaps_daily", lambda c: activity.retention_of(_bitmaps(c, _events(c)), "day"), "retention_daily")
+R.alike("ordered_funnel", lambda c: chains.ordered_funnel(
+    _events(c), *SPAN, steps=("view", "click", "purchase"), within_hours=24), "event_funnel")
+R.alike("ordered_activation", lambda c: chains.ordered_activation(
+    _events(c), *SPAN, signup="session_start", activation="purchase", within_hours=24), "activation_rate")
