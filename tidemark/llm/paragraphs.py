@@ -128,18 +128,68 @@ class Runs:
         self.names = len(names)
         self.inside = (table[:, : table.shape[1] - WORDS + 1] > 0) & (table[:, WORDS - 1:] > 0)
         self.sizes = self._different(whole)
-        # Other paragraphs hold too many shingles that no other run of the group has; without their runs, more do.
-        self.possible, left = self.inside, -1
-        while left != (left := self.possible.any(axis=1).sum()):
-            new = whole & (self.earlier < 0) & self.possible.any(axis=1)[:, None]
-            held = np.bincount(self.ids[new], minlength=len(names))
-            self.shared = whole & (held[self.ids] > 1)
-            self.possible = self.inside & (self._different(self.shared) * 100 >= self.sizes * PERCENT)
+        _, of = np.unique(group, return_inverse=True)
+        self.possible = self.inside
+        held = self._narrow(whole, of)
         self.central = np.where(whole, held[self.ids], 0).sum(axis=1)
+        self.equal, self.links = self._equal_sets(np.where(whole, mix(names)[self.ids], np.uint64(0)))
+        # Sets of fewer shingles than this are alike with equal ones only, and those are found.
+        self.possible = self.possible & (self.sizes * (100 - PERCENT) >= PERCENT)
+        self._narrow(whole, of)
         self.ids[~whole] = -1
         # Shingles that some other run of the group may still show to be common.
         self.open = self.shared & _spread(self.possible, _PER)
 
+    def _narrow(self, whole: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Leave the paragraphs that may be alike with one of another run; how many runs hold each shingle.
+
+        Sets of a and b shingles are alike if 100 + PERCENT times the common ones are at least PERCENT times a + b, and b is no less
+        than the smallest set of the group.  Paragraphs beyond hold too many shingles that no other
+        run of the group has; without their runs, more do, and the smallest set may grow.
+        """
+        left = -1
+        while left != (left := self.possible.sum()):
+            new = whole & (self.earlier < 0) & self.possible.any(axis=1)[:, None]
+            held = np.bincount(self.ids[new], minlength=self.names)
+            self.shared = whole & (held[self.ids] > 1)
+            places = whole.shape[1]
+            smallest = np.full(of.max(initial=0) + 1, places)
+            np.minimum.at(smallest, of, np.where(self.possible, self.sizes, places).min(axis=1))
+            self.needed = (self.sizes + smallest[of][:, None]) * PERCENT
+            self.possible = self.possible & self.holds_enough(self._different(self.shared), slice(None))
+        return held
+
+    def _equal_sets(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flags of the paragraphs whose set another run holds as a paragraph's set too, and links of such runs.
+
+        A set goes by the sum of its shingles' hashes, and one run per set links to all others.
+        """
+        row, at = np.nonzero(self.possible)
+        sums = np.zeros((weights.shape[0], weights.shape[1] + 1), np.uint64)
+        np.cumsum(weights, axis=1, out=sums[:, 1:])
+        total = sums[:, _PER:] - sums[:, :-_PER]
+        again, begin, last, place = _again(self.earlier, self.earlier >= 0, total.shape[1])
+        if len(again):
+            less = np.zeros((total.shape[0], total.shape[1] + 1), np.uint64)
+            np.add.at(less, (again, begin), weights[again, place])
+            np.subtract.at(less, (again, last + 1), weights[again, place])
+            total = total - np.cumsum(less, axis=1, dtype=np.uint64)[:, :-1]
+        names = total[row, at]
+        order = np.lexsort((row, names))
+        names, rows = names[order], row[order]
+        fresh = np.append(True, names[1:] != names[:-1]) if len(names) else np.zeros(0, bool)
+        first = rows[np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(names) else rows
+        apart = rows != first
+        links = np.unique(np.stack([first[apart], rows[apart]], axis=1), axis=0)
+        several = np.bincount(np.cumsum(fresh) - 1, weights=apart, minlength=1)[np.cumsum(fresh) - 1] > 0 if len(names) else apart
+        flags = np.zeros(self.possible.shape, bool)
+        flags[row[order][several], at[order][several]] = True
+        return flags, links
+
+    def holds_enough(self, common: np.ndarray, rows: np.ndarray | slice) -> np.ndarray:
+        """Whether so many common shingles can make a paragraph of some runs alike with any other of its group."""
+        return common * (100 + PERCENT) >= self.needed[rows]
+
     def _different(self, flags: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
         """How many different flagged shingles each paragraph of some runs holds, if all places of a shingle are flagged."""
         counts = _sums(flags)
@@ -167,7 +217,7 @@ class Runs:
         # No more shingles can be common than are held by the other run.
         near = np.ones(len(a), bool)
         for rows, hit in zip((a, b), hits):
-            near &= (self.inside[rows] & (self._different(hit, rows) * 100 >= self.sizes[rows] * PERCENT)).any(axis=1)
+            near &= (self.possible[rows] & self.holds_enough(self._different(hit, rows), rows)).any(axis=1)
         flags = np.zeros((3, len(a), self.inside.shape[1]), bool)
         plain = np.flatnonzero(near & ~moved)
         one, two = a[plain], b[plain]
@@ -262,7 +312,12 @@ def _compared(runs: Runs, table: np.ndarray, group: np.ndarray) -> tuple[np.ndar
     Groups of up to ``SMALL`` runs compare all pairs.  In larger ones one run after the other, the most central first, meets
     the later ones, except those already connected with it where neither holds a shingle of the other that is still open.
     """
-    marked, extra, links = np.zeros(table.shape, bool), np.zeros(table.shape, bool), []
+    extra = np.zeros(table.shape, bool)
+    # Paragraphs with equal sets are settled by name.
+    settled = _spread(runs.equal, _PER)[:, : runs.open.shape[1]]
+    marked, links = _spread(settled, SHINGLE), [(int(a), int(b)) for a, b in runs.links]
+    runs.open &= ~settled
+    joined = _roots(len(table), runs.links)
 
     def compare(one: np.ndarray, two: np.ndarray) -> np.ndarray:
         linked = []
@@ -291,11 +346,11 @@ def _compared(runs: Runs, table: np.ndarray, group: np.ndarray) -> tuple[np.ndar
         if fit.any():
             compare(one[fit], two[fit])
     # The fewest shingles that a possible paragraph of the run must share.
-    least = np.where(runs.possible, runs.sizes, _PER).min(axis=1) * PERCENT
+    least = np.where(runs.possible, runs.needed, 2 * _PER * PERCENT).min(axis=1)
     for begin, size in zip(first[sizes > SMALL], sizes[sizes > SMALL]):
         rows = left[begin: begin + size]
-        comp, held, sought = np.arange(size), np.zeros(runs.names + 1, bool), np.zeros(runs.names + 1, bool)
-        ids, at, hubs = runs.ids[rows], 0, 1
+        comp, held, sought = joined[rows], np.zeros(runs.names + 1, bool), np.zeros(runs.names + 1, bool)
+        ids, once, at, hubs = runs.ids[rows], runs.earlier[rows] < 0, 0, 1
         # The first hub settles most groups; if not, several hubs take their turn together.
         while at < size - 1 and ((comp != comp[0]).any() or runs.open[rows].any()):
             pairs, still = [], runs.open[rows]
@@ -305,7 +360,7 @@ def _compared(runs: Runs, table: np.ndarray, group: np.ndarray) -> tuple[np.ndar
                 held[-1] = False
                 common = held[later]
                 useful = (comp[hub + 1:] != comp[hub]) | sought[later].any(axis=1) | (common & still[hub + 1:]).any(axis=1)
-                useful &= common.sum(axis=1) * 100 >= least[rows[hub + 1:]]
+                useful &= (common & once[hub + 1:]).sum(axis=1) * (100 + PERCENT) >= np.maximum(least[rows[hub + 1:]], least[rows[hub]])
                 held[mine], sought[mine] = False, False
                 pairs.append(np.stack([np.full(useful.sum(), hub), np.flatnonzero(useful) + hub + 1]))
             one, two = np.concatenate(pairs, axis=1)
@@ -316,6 +371,21 @@ def _compared(runs: Runs, table: np.ndarray, group: np.ndarray) -> tuple[np.ndar
     return _bridged(marked) | extra, links
 
 
+def _roots(n: int, links: np.ndarray) -> np.ndarray:
+    """The smallest row that each row is linked with, over any number of links."""
+    root = np.arange(n)
+    while len(links):
+        low = np.minimum(root[links[:, 0]], root[links[:, 1]])
+        new = root.copy()
+        np.minimum.at(new, links[:, 0], low)
+        np.minimum.at(new, links[:, 1], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
 def _verified(rows: pd.DataFrame) -> pd.DataFrame:
     """Words of alike paragraphs (``s, x, y``: from, up to) and links (``s, other``) of a shard's runs."""
     rows = rows.drop_duplicates(["k", "s"])
