@@ -156,7 +156,7 @@ class Runs:
             smallest = np.full(of.max(initial=0) + 1, places)
             np.minimum.at(smallest, of, np.where(self.possible, self.sizes, places).min(axis=1))
             self.needed = (self.sizes + smallest[of][:, None]) * PERCENT
-            self.possible = self.possible & self.holds_enough(self._different(self.shared), slice(None))
+            self.possible = self.possible & (self._different(self.shared) * (100 + PERCENT) >= self.needed)
         return held
 
     def _equal_sets(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,10 +186,6 @@ class Runs:
         flags[row[order][several], at[order][several]] = True
         return flags, links
 
-    def holds_enough(self, common: np.ndarray, rows: np.ndarray | slice) -> np.ndarray:
-        """Whether so many common shingles can make a paragraph of some runs alike with any other of its group."""
-        return common * (100 + PERCENT) >= self.needed[rows]
-
     def _different(self, flags: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
         """How many different flagged shingles each paragraph of some runs holds, if all places of a shingle are flagged."""
         counts = _sums(flags)
@@ -217,7 +213,7 @@ class Runs:
         # No more shingles can be common than are held by the other run.
         near = np.ones(len(a), bool)
         for rows, hit in zip((a, b), hits):
-            near &= (self.possible[rows] & self.holds_enough(self._different(hit, rows), rows)).any(axis=1)
+            near &= (self.inside[rows] & (self._different(hit, rows) * 100 >= self.sizes[rows] * PERCENT)).any(axis=1)
         flags = np.zeros((3, len(a), self.inside.shape[1]), bool)
         plain = np.flatnonzero(near & ~moved)
         one, two = a[plain], b[plain]
