@@ -212,7 +212,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, doc_id:
     classes = checkpointed(whole.groupBy("g1", "g2", "n").agg(
         F.min("d").alias("c"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")), "classes")
     rows = classes.select("c", "n", F.posexplode("bands").alias("band", "key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
+    # Written before it is joined: a join straight on an aggregate cannot split a hot key.
+    buckets = checkpointed(rows.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1"), "buckets")
     members = checkpointed(rows.join(buckets, "key"), "members")
     central = members.groupBy("c").agg(F.sum("m").alias("score"))
     small, large = members.filter(F.col("m") <= SMALL), members.filter(F.col("m") > SMALL)

@@ -412,11 +412,12 @@ def clusters(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     ``keyed`` has ``d`` (id), ``h`` (hash of the text) and ``text``; ``keeper`` is the id that keeps the cluster.
     """
     runs = _runs(keyed)
-    keys = _runs(keyed, keys_only=True).groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    # Lists of keys are written before they are joined: a join straight on an aggregate cannot split a hot key.
+    keys = checkpointed(_runs(keyed, keys_only=True).groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k"), "keys")
     shared = checkpointed(runs.join(keys, "k"), "runs")
     place = F.struct(F.col("d").isNull().alias("none"), "d", "h", "at")
     nodes = checkpointed(shared.groupBy("k", "s").agg(F.count("*").alias("n"), F.min(place).alias("first")), "nodes")
-    groups = nodes.groupBy("k").agg(F.count("*").alias("u")).filter("u > 1")
+    groups = checkpointed(nodes.groupBy("k").agg(F.count("*").alias("u")).filter("u > 1"), "groups")
     lists = checkpointed(
         nodes.join(groups, "k").groupBy(F.col("first.d").alias("d"), F.col("first.h").alias("h"))
         .agg(F.collect_list(F.struct("k", "s", "u", F.col("first.at").alias("at"))).alias("list")), "wanted")

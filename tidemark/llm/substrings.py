@@ -208,7 +208,9 @@ def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100, group: int
     if not 0 < k <= length or length > 4000:
         raise ValueError("k must be within the length, and the length at most 4000")
     anchors = _anchors(keyed, length, k)
-    keys = _anchors(keyed, length, k, keys_only=True).groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    # Lists of keys are written before they are joined: a join straight on an aggregate cannot split a hot key.
+    keys = checkpointed(
+        _anchors(keyed, length, k, keys_only=True).groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k"), "keys")
     shared = checkpointed(anchors.join(keys, "k"), "anchors")
     segments = checkpointed(
         shared.groupBy("k", "s").agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "at")).alias("one")), "segments")
@@ -216,7 +218,7 @@ def repeated_spans(keyed: DataFrame, length: int = 200, k: int = 100, group: int
     whole = (
         shared.join(segments.filter("n > 1").select("k", "s"), ["k", "s"])
         .select("d", "h", lo.alias("begin"), (lo + windows + F.lit(length - 1)).alias("end")))
-    groups = segments.groupBy("k").agg(F.count("*").alias("u")).filter("u > 1")
+    groups = checkpointed(segments.groupBy("k").agg(F.count("*").alias("u")).filter("u > 1"), "groups")
     mixed = segments.join(groups, "k").select("k", "s", "n", "u", "one.*")
     lists = checkpointed(mixed.groupBy("d", "h").agg(F.collect_list(F.struct("k", "s", "n", "u", "at")).alias("list")),
                          "wanted")
