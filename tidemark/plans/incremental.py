@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import period_start
-from tidemark.operators import product
+from tidemark.operators import product, sketches
 from tidemark.session import checkpointed
 from tidemark.sources.landing import balanced
 
@@ -42,6 +42,8 @@ class Refreshed:
     periods: list[date] = field(default_factory=list)
 
 
+# A sketch of users per day and account; what ``metrics.distinct_metric`` reads.
+ACTIVE_USERS = Mart(lambda events: sketches.distinct_parts(events, ["dt"]), sketches.merge_distinct, "activity_date")
 ENGAGEMENT = Mart(lambda events: product.engagement_parts(events, ["dt"]), product.engagement_of_parts, "activity_date")
 
 

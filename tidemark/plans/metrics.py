@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import GRAINS, instant, period_start
 from tidemark.functions.values import ratio
+from tidemark.operators import sketches
 from tidemark.plans.marts import Marts
 
 VERSION = "1.0.0"
@@ -189,6 +190,22 @@ def metric(marts: Marts, name: str | Metric, grain: str | None = None, dims: Seq
                          value.cast("double").alias("value"))
 
 
+def distinct_metric(parts: DataFrame, accounts: DataFrame, grain: str, dims: Sequence[str] = ()) -> DataFrame:
+    """(metric, grain, period, dims, value, approximate, standard_error): distinct active users from stored sketches.
+
+    ``parts`` is what ``sketches.distinct_parts`` or a mart of them holds, ``dims`` are columns of ``accounts``; an account that
+    is not there has null dimensions.  Any period and dimension counts each user once, where sums of ``dau`` or
+    ``mau`` count a user again per account, and no event is read.
+    """
+    if grain not in GRAINS:
+        raise ValueError(f"unknown grain {grain!r}")
+    if dims:
+        parts = parts.join(accounts.select("account_id", *[d for d in dims if d != "account_id"]), "account_id", "left")
+    counted = sketches.distinct_users(parts, grain, dims)
+    return counted.select(F.lit("active_users").alias("metric"), F.lit(grain).alias("grain"), "period", *dims,
+                          F.col("active_users").cast("double").alias("value"), "approximate", "standard_error")
+
+
 def win_rate_exact(marts: Marts, grain: str = "quarter") -> DataFrame:
     """Win rate with the counts added up before dividing, instead of a mean of rates."""
     return (marts.sales_win_counts.groupBy(period_start(F.col("fiscal_quarter"), grain).alias("period"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import marketing, sales
+from tidemark.functions.dates import days_between
+from tidemark.operators import marketing, sales, sketches
 from workload.bindings import AS_OF_ORDERS
 from workload.context import AS_DEFINED, Registry
+from workload.ranks import ranked
 from tidemark.plans.marts import Marts
 
 R = Registry()
@@ -53,6 +55,17 @@ R.add("sales_cycle", lambda c: sales.sales_cycle(_opps(c)), """
            cast(sum(date_diff('day', cast(created_at as date), close_date)) as double) / count(*) as avg_days,
            quantile_cont(date_diff('day', cast(created_at as date), close_date), 0.5) as median_days
     from s_opportunity where is_won group by 1""")
+def _cycles(c, grain):
+    won = _opps(c).filter("is_won").select(F.col("close_date").alias("day"), days_between(
+        F.col("created_at").cast("date"), F.col("close_date")).alias("value"))
+    return ranked(won, sketches.quantile_parts(won, F.col("value"), F.col("day")), grain)
+
+
+for _grain in ("quarter", "year"):
+    R.add(f"sales_cycle_quantiles_by_{_grain}", lambda c, g=_grain: _cycles(c, g), f"""
+        select cast(date_trunc('{_grain}', close_date) as date) as period, p as probability, count(*) as observations,
+               true as all_seen, true as within
+        from s_opportunity cross join (values (0.1::double), (0.5::double), (0.9::double)) t(p) where is_won group by 1, 2""")
 R.add("quota_attainment", lambda c: sales.quota_attainment(_opps(c), c.raw["raw_quota"]), """
     select q.owner_id, q.quarter_start, cast(q.quota_usd as double) as quota_usd,
            cast(coalesce(sum(o.amount_usd), 0) as double) as bookings_usd,

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import activity, chains, product
-from tidemark.session import checkpointed
+from tidemark.functions.dates import day, period_start
+from tidemark.operators import activity, chains, product, sketches
+from tidemark.plans import incremental, metrics
+from tidemark.session import checkpointed, work_dir
+from tidemark.sources import landing
 from workload.bindings import AS_OF_EVENTS
 from workload.context import EVENTS_FROM, Registry
 
@@ -160,3 +163,46 @@ R.alike("ordered_funnel", lambda c: chains.ordered_funnel(
     _events(c), *SPAN, steps=("view", "click", "purchase"), within_hours=24), "event_funnel")
 R.alike("ordered_activation", lambda c: chains.ordered_activation(
     _events(c), *SPAN, signup="session_start", activation="purchase", within_hours=24), "activation_rate")
+
+
+def _sketched(c, by_events):
+    """Users by week and quarter and by the account's industry: exact ones, and whether stored sketches come within three
+    standard errors of them."""
+    parts = by_events(c)
+    accounts = c.marts.accounts.select("account_id", "industry")
+    events = product.not_in_events(_events(c)).join(accounts, "account_id", "left")
+    result = None
+    for grain in ("week", "quarter"):
+        found = metrics.distinct_metric(parts, accounts, grain, ["industry"]).select(
+            "metric", "grain", F.col("period").alias("_p"), F.col("industry").alias("_i"), "value", "approximate")
+        exact = events.groupBy(period_start(F.col("event_date"), grain).alias("period"), "industry").agg(
+            F.count_distinct("user_id").alias("users"))
+        off = F.abs(F.col("value") - F.col("users")) / F.col("users")
+        rows = exact.join(found, F.col("period").eqNullSafe(F.col("_p")) & F.col("industry").eqNullSafe(F.col("_i")), "full").select(
+            "metric", "grain", "period", "industry", "users", "approximate",
+            (off <= 3 * sketches.standard_error()).alias("within"))
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+R.add("active_users_sketched", lambda c: _sketched(c, lambda c: checkpointed(
+    sketches.distinct_parts(product.events_between(_events(c), *SPAN)), "sketches")), """
+    with e as (select user_id, event_date, industry from e_active left join s_account using (account_id)),
+    g as (select 'week' as grain, date_trunc('week', event_date)::date as period, industry, user_id from e
+          union all select 'quarter', date_trunc('quarter', event_date)::date, industry, user_id from e)
+    select 'active_users' as metric, grain, period, industry, count(distinct user_id) as users, true as approximate, true as within
+    from g group by grain, period, industry""")
+
+
+def _sketch_mart(c):
+    """The mart of sketches after three loads, the last of them late and overlapping the others' days and users."""
+    landed, mart = work_dir(c.spark, "landing"), work_dir(c.spark, "mart")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0
+    first = F.col("event_date") <= day("2024-01-15")
+    for load, rows in (("2024-01-15", first & ~late), ("2024-01-31", ~first & ~late), ("2024-02-05", late)):
+        landing.land_partition(_events(c).filter(rows), landed, load, f"{load} 23:00:00")
+        incremental.refresh(c.spark, landed, mart, incremental.ACTIVE_USERS, "month")
+    return incremental.read_mart(c.spark, mart)
+
+
+R.alike("active_users_sketched_loads", lambda c: _sketched(c, _sketch_mart), "active_users_sketched")

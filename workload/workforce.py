@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.operators import people
+from pyspark.sql import functions as F
+
+from tidemark.functions.dates import days_between
+from tidemark.operators import people, sketches
 from workload.bindings import AS_OF_ORDERS, SPINE_START
 from workload.context import Registry
+from workload.ranks import ranked
 
 R = Registry()
 
@@ -56,6 +60,20 @@ R.add("time_to_hire", lambda c: people.time_to_hire(c.raw["raw_requisition"]), "
     select department, count(*) as hires, cast(sum(accepted_date - opened_date) as double) / count(*) as avg_days,
            quantile_cont(accepted_date - opened_date, 0.5) as median_days
     from raw_requisition where accepted_date is not null group by 1""")
+
+
+def _hiring_times(c):
+    filled = c.raw["raw_requisition"].filter("accepted_date is not null").select(
+        "department", F.col("accepted_date").alias("day"),
+        days_between(F.col("opened_date"), F.col("accepted_date")).alias("value"))
+    return ranked(filled, sketches.quantile_parts(filled, F.col("value"), F.col("day"), ["department"]), "year", ["department"])
+
+
+R.add("time_to_hire_quantiles", _hiring_times, """
+    select cast(date_trunc('year', accepted_date) as date) as period, department, p as probability, count(*) as observations,
+           true as all_seen, true as within
+    from raw_requisition cross join (values (0.1::double), (0.5::double), (0.9::double)) t(p)
+    where accepted_date is not null group by 1, 2, 3""")
 R.add("open_reqs", lambda c: people.open_reqs(c.raw["raw_requisition"], "1995-01-02", AS_OF_ORDERS), f"""
     select cast(g as date) as week, count(r.id) as open_reqs
     from generate_series(timestamp '1995-01-02', timestamp '{AS_OF_ORDERS}', interval 7 day) t(g)
