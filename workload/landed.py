@@ -266,6 +266,40 @@ R.add("identity_spine", lambda c: identity.identity_spine(_links(c)), f"""
     with {_LINKS} select account_id, """ + ", ".join(
     f"count(*) filter (where system = '{s}') as {s}_ids, min(external_id) filter (where system = '{s}') as {s}_id"
     for s in identity.SYSTEMS) + " from links group by 1")
+
+# Four customers in a row write from one company's domain, every ninth from a domain that many share.
+_N = "cast(regexp_extract(email, '[0-9]+', 0) as bigint)"
+_COMPANY = (f"case when {_N} % 9 = 0 then email else split_part(email, '@', 1) || '@c' || "
+            f"cast(cast(floor({_N} / 4) as bigint) as string) || '.example' end")
+
+
+def _components(c):
+    customers, contacts = (df.withColumn("email", F.expr(_COMPANY)) for df in (c.marts.customers, c.marts.contacts))
+    records = identity.identity_records(c.marts.accounts, customers, contacts, c.raw["raw_event"], EVENTS_FROM, AS_OF_EVENTS)
+    return identity.identity_components(records, [*identity.SHARED_DOMAINS, "example.com"])
+
+
+# Labels sink to the least one of a record's neighbours, step by step; the links above need fewer steps than these.
+_REACHED = f"""(with recursive
+    r as (select 'crm' as system, account_id as external_id, null as email, account_id from s_account
+          union all select 'billing', customer_id, {_COMPANY}, salesforce_account_id from s_customer
+          union all select 'marketing', contact_id, {_COMPANY}, null from s_contact
+          union all select distinct 'product', user_id, null, account_id from raw_event),
+    k as (select *, system || ':' || external_id as rec,
+                 case when split_part(email, '@', 2) <> 'example.com' then split_part(email, '@', 2) end as dom from r),
+    p as (select *, rec as label, 0 as step from k
+          union all
+          select system, external_id, email, account_id, rec, dom, least(label,
+                 min(label) over (partition by rec),
+                 case when email is not null then min(label) over (partition by email) end,
+                 case when dom is not null then min(label) over (partition by dom) end,
+                 case when account_id is not null then min(label) over (partition by account_id) end), step + 1
+          from p where step < 16)
+    select distinct system, external_id, label as identity_id from p where step = 16)"""
+R.add("identity_components", _components, f"select * from {_REACHED} x")
+R.add("identity_sizes", lambda c: identity.identity_sizes(_components(c)), "select identity_id, " + ", ".join(
+    f"count(*) filter (where system = '{s}') as {s}_ids" for s in identity.SYSTEMS) + f""",
+    count(*) filter (where system = 'crm') > 1 as several_accounts from {_REACHED} x group by 1""")
 R.add("enrich_accounts", lambda c: identity.enrich_accounts(c.marts.accounts, c.raw["raw_firmographic"].select(
     "account_id", "employee_count_band", F.from_json("industry_json", "code string").alias("industry"),
     F.split("technologies_csv", ",").alias("technologies"))), """
