@@ -223,6 +223,26 @@ def gross_margin(transactions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                          ratio(profit, F.col("revenue_usd")).alias("gross_margin_pct"))
 
 
+def segment_margin(transactions: DataFrame, accounts: DataFrame, segment: str = "industry",
+                   by: Sequence[str] = ()) -> DataFrame:
+    """Revenue, cost and margin per month, customer segment (a column of ``accounts``) and ``by``.
+
+    Transactions name their ``account_id`` and are added up by account and month before they meet the accounts, so a
+    busy account is one row per month in the join.  Transactions of unknown accounts have a null segment.
+    """
+    kinds = transactions.filter(F.col("account_type").isin("Income", "COGS"))
+    added = kinds.groupBy("account_id", period_start(F.col("transaction_date"), "month").alias("transaction_date"),
+                          "account_type", *by).agg(F.sum("amount").alias("amount"))
+    segments = accounts.select("account_id", F.col(segment).alias("customer_segment"))
+    return gross_margin(added.join(segments, "account_id", "left"), ["customer_segment", *by])
+
+
+def customers_spine(customers: DataFrame, spine: DataFrame) -> DataFrame:
+    """Billing customers with the name of their account; customers whose account is not on the spine keep a null name."""
+    names = spine.select(F.col("account_id").alias("salesforce_account_id"), "account_name")
+    return customers.join(names, "salesforce_account_id", "left").select("customer_id", "salesforce_account_id", "account_name")
+
+
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], left_value: str,
               right_value: str, tolerance: float = 0.005) -> DataFrame:
     """Compare two totals per key.  A key that one side lacks is an exception."""

@@ -97,6 +97,49 @@ def campaign_performance(spend: DataFrame, attributed: DataFrame) -> DataFrame:
         ratio(F.coalesce("attributed_revenue_usd", zero), F.col("spend_usd")).alias("roas"))
 
 
+def lead_campaigns(contacts: DataFrame, touches: DataFrame, key: str = "opportunity_id") -> DataFrame:
+    """``campaign_id, activity_date``, a row per qualified contact: the campaign of its first touch, on the day it was created.
+
+    ``touches`` name the contact by ``key``.  Contacts that nothing touched have no campaign and are left out.
+    """
+    first = touches.groupBy(F.col(key).alias("contact_id")).agg(
+        F.min(F.struct("touched_at", "touch_id", "campaign_id")).alias("first")).select("contact_id", "first.campaign_id")
+    qualified = contacts.filter(F.col("lifecycle_stage") == MQL).select(
+        "contact_id", F.col("created_at").cast("date").alias("activity_date"))
+    return qualified.join(first, "contact_id").select("campaign_id", "activity_date")
+
+
+def campaign_report(spend: DataFrame, campaigns: DataFrame, revenue: DataFrame, pipeline: DataFrame,
+                    leads: DataFrame) -> DataFrame:
+    """The published campaign mart: one row per campaign and day, in the types of its contract.
+
+    ``campaigns`` has ``campaign_id, campaign_name, channel``, ids at most once; ``revenue`` and ``pipeline`` have ``campaign_id,
+    activity_date`` and ``attributed_revenue_usd`` or ``attributed_pipeline_usd``; ``leads`` a row per qualified lead.  All four
+    are stacked and added up in one aggregate, so a day that only one of them knows stays.  A campaign that is not
+    listed has no name; rows without a campaign or a day are left out; ``roas`` is null without spend, and where
+    the contract's decimal cannot hold it.
+    """
+    measures = {"spend_usd": MONEY, "impressions": "bigint", "clicks": "bigint", "attributed_revenue_usd": "decimal(28,11)",
+                "attributed_pipeline_usd": "decimal(28,11)", "mql_count": "bigint"}
+
+    def of(df, **own):
+        return df.select("campaign_id", "activity_date", *[
+            own.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in measures.items()])
+
+    stacked = (of(spend, **{c: F.col(c) for c in ("spend_usd", "impressions", "clicks")})
+               .unionByName(of(revenue, attributed_revenue_usd=F.col("attributed_revenue_usd")))
+               .unionByName(of(pipeline, attributed_pipeline_usd=F.col("attributed_pipeline_usd")))
+               .unionByName(of(leads, mql_count=F.lit(1))))
+    days = stacked.filter("campaign_id is not null and activity_date is not null").groupBy("campaign_id", "activity_date").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in measures])
+    named = days.join(campaigns.select("campaign_id", "campaign_name", "channel"), "campaign_id", "left")
+    return named.select(
+        "campaign_id", "activity_date", "campaign_name", "channel", F.col("spend_usd").cast(MONEY).alias("spend_usd"),
+        *[F.col(c).cast("int").alias(c) for c in ("impressions", "clicks", "mql_count")],
+        F.col("attributed_pipeline_usd").cast(MONEY).alias("attributed_pipeline_usd"),
+        ratio(F.col("attributed_revenue_usd"), F.col("spend_usd")).try_cast("decimal(8,4)").alias("roas"))
+
+
 def attribution_w(touches: DataFrame, opportunities: DataFrame) -> DataFrame:
     """W-shaped weights: 0.3 each for the first touch, the last touch up to lead creation and
     the last touch up to opportunity creation; the other touches share 0.1.

@@ -49,6 +49,16 @@ ENGAGEMENT = Contract(
     not_null=("activity_date",),
     tier=2,
 )
+CAMPAIGNS = Contract(
+    dataset="campaign_performance",
+    primary_key=("campaign_id", "activity_date"),
+    columns={"campaign_id": "string", "activity_date": "date", "campaign_name": "string", "channel": "string",
+             "spend_usd": "decimal(18,2)", "impressions": "int", "clicks": "int", "mql_count": "int",
+             "attributed_pipeline_usd": "decimal(18,2)", "roas": "decimal(8,4)"},
+    not_null=("campaign_id", "activity_date"),
+    ranges={"spend_usd": (0, None), "mql_count": (0, None)},
+    tier=2,
+)
 
 
 def contract_check(df: DataFrame, contract: Contract) -> DataFrame:

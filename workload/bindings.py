@@ -143,6 +143,13 @@ BINDINGS: dict[str, Binding] = {
         "currency": "case l_suppkey % 3 when 0 then 'USD' when 1 then 'EUR' else 'GBP' end",
         "product_line": "cast(l_partkey % 5 as string)",
     }),
+    "raw_account_transaction": Binding(("lineitem", "orders"), {
+        "account_id": "cast(o_custkey as string)",
+        "transaction_date": "cast(l_shipdate as date)",
+        "account_type": "case l_returnflag when 'N' then 'Income' when 'R' then 'COGS' else 'Other' end",
+        "amount": "cast(l_extendedprice as decimal(18,2))",
+        "product_line": "cast(l_partkey % 5 as string)",
+    }, on="l_orderkey = o_orderkey"),
     "raw_currency_rate": Binding(("orders",), {
         "currency": "cur",
         "rate_date": "cast(o_orderdate as date)",
@@ -168,6 +175,11 @@ BINDINGS: dict[str, Binding] = {
         "impressions": "cast(o_orderkey % 1000 as bigint)",
         "clicks": "cast(o_orderkey % 37 as bigint)",
     }),
+    "raw_campaign": Binding(("orders",), {
+        "campaign_id": "'c' || cast(n as string)",
+        "campaign_name": "'Campaign ' || cast(n as string)",
+        "channel": "case n % 4 when 0 then 'paid_search' when 1 then 'paid_social' when 2 then 'email' else 'organic' end",
+    }, distinct={"n": "o_orderkey % 12"}),
     "raw_touch": Binding(("lineitem",), {
         "touch_id": "cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' || "
                     "cast(l_partkey as string) || '-' || cast(l_suppkey as string)",

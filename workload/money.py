@@ -28,9 +28,7 @@ R.add("subscriptions_customers", lambda c: c.marts.subscriptions.join(c.marts.cu
     "subscription_id", "customer_id", "email", "salesforce_account_id"), """
     select subscription_id, customer_id, c.email, salesforce_account_id
     from s_subscription join s_customer c using (customer_id)""")
-R.add("customers_spine", lambda c: c.marts.customers.join(
-    c.marts.account_spine.select(F.col("account_id").alias("salesforce_account_id"), "account_name"),
-    "salesforce_account_id", "left").select("customer_id", "salesforce_account_id", "account_name"), """
+R.add("customers_spine", lambda c: finance.customers_spine(c.marts.customers, c.marts.account_spine), """
     select customer_id, salesforce_account_id, account_name
     from s_customer left join s_account on account_id = salesforce_account_id""")
 R.add("subscription_mrr", lambda c: c.marts.subscription_mrr, """
@@ -82,6 +80,17 @@ R.add("margin_by_segment", lambda c: finance.gross_margin(c.raw["raw_transaction
            cast(sum(income) - coalesce(sum(cost), 0) as double) / nullif(cast(sum(income) as double), 0)
                as gross_margin_pct
     from m_margin_parts group by 1, 2, 3 having count(income) > 0""")
+R.add("margin_by_customer_segment", lambda c: finance.segment_margin(
+    c.raw["raw_account_transaction"], c.marts.accounts, "industry", ["product_line"]), """
+    with t as (select cast(date_trunc('month', transaction_date) as date) as revenue_month, industry as customer_segment, product_line,
+                      case r.account_type when 'Income' then amount end as income, case r.account_type when 'COGS' then amount end as cost
+               from raw_account_transaction r left join s_account s on s.account_id = r.account_id)
+    select revenue_month, customer_segment, product_line, cast(sum(income) as double) as revenue_usd,
+           cast(coalesce(sum(cost), 0) as double) as cogs_usd,
+           cast(sum(income) - coalesce(sum(cost), 0) as double) as gross_profit_usd,
+           cast(sum(income) - coalesce(sum(cost), 0) as double) / nullif(cast(sum(income) as double), 0)
+               as gross_margin_pct
+    from t group by 1, 2, 3 having count(income) > 0""")
 R.add("net_revenue_retention", lambda c: finance.net_revenue_retention(c.marts.monthly_revenue), """
     with f as (select account_id, year(min(revenue_month)) as cohort_year from m_revenue where cents > 0 group by 1)
     select cast(f.cohort_year as integer) as cohort_year, cast(date_trunc('quarter', n.revenue_month) as date) as period,

@@ -9,6 +9,7 @@ from tidemark.operators import marketing, sales, sketches
 from workload.bindings import AS_OF_ORDERS
 from workload.context import AS_DEFINED, Registry
 from workload.ranks import ranked
+from tidemark.plans.contracts import CAMPAIGNS, contract_check
 from tidemark.plans.marts import Marts
 
 R = Registry()
@@ -160,13 +161,24 @@ _WEIGHTS = f"""
               / (marks * 0.3::double + case when others > 0 then 0.1::double else 0 end), 9) as weight from g)"""
 R.add("attribution_w", lambda c: marketing.attribution_w(_touches(c), _lead_opps(c)).withColumn(
     "weight", F.round("weight", 9)), f"with {_WEIGHTS} select * from w")
+def _attributed(c, which, at, name):
+    """Amounts of some opportunities, dealt to campaigns by weight, on the day that ``at`` names."""
+    return (marketing.attribution_w(_touches(c), _lead_opps(c))
+            .join(_lead_opps(c).filter(which).select("opportunity_id", at.alias("activity_date"), "amount_usd"), "opportunity_id")
+            .select("campaign_id", "activity_date", (F.round("weight", 9).cast("decimal(10,9)") * F.col("amount_usd")).alias(name)))
+
+
 def _campaign_days(c):
     return marketing.campaign_performance(
-        c.raw["raw_ad_spend"],
-        marketing.attribution_w(_touches(c), _lead_opps(c))
-        .join(_lead_opps(c).filter("is_won").select("opportunity_id", "close_date", "amount_usd"), "opportunity_id")
-        .select("campaign_id", F.col("close_date").alias("activity_date"),
-                (F.round("weight", 9).cast("decimal(10,9)") * F.col("amount_usd")).alias("attributed_revenue_usd")))
+        c.raw["raw_ad_spend"], _attributed(c, "is_won", F.col("close_date"), "attributed_revenue_usd"))
+
+
+def _campaign_report(c):
+    return marketing.campaign_report(
+        c.raw["raw_ad_spend"], c.raw["raw_campaign"],
+        _attributed(c, "is_won", F.col("close_date"), "attributed_revenue_usd"),
+        _attributed(c, "not is_closed", F.col("created_at").cast("date"), "attributed_pipeline_usd"),
+        marketing.lead_campaigns(c.marts.contacts, _touches(c)))
 
 
 def _rounded(df):
@@ -199,6 +211,34 @@ R.add("campaign_returns", lambda c: _rounded(marketing.campaign_returns(_campaig
            cast(round(coalesce(earned, 0), 2) as double) as attributed_revenue_usd,
            round(cast(coalesce(earned, 0) as double) / nullif(cast(coalesce(spend, 0) as double), 0), 6) as roas
     from s full join a on a.campaign_id = s.campaign_id and a.activity_month = s.activity_month""")
+R.add("campaign_report", _campaign_report, f"""
+    with {_WEIGHTS},
+    f as (select opportunity_id as contact_id, campaign_id from (select *, row_number() over (
+              partition by opportunity_id order by touched_at, touch_id) as rn from raw_touch) where rn = 1),
+    a as (select campaign_id, activity_date, spend_usd as spend, impressions, clicks, null as piped,
+                 null as earned, 0 as mql from raw_ad_spend
+          union all
+          select campaign_id, cast(created_at as date), null, null, null, cast(weight as decimal(10,9)) * amount_usd, null, 0
+          from w join s_opportunity using (opportunity_id) where not is_closed
+          union all
+          select campaign_id, close_date, null, null, null, null, cast(weight as decimal(10,9)) * amount_usd, 0
+          from w join s_opportunity using (opportunity_id) where is_won
+          union all
+          select campaign_id, cast(created_at as date), null, null, null, null, null, 1 from s_contact join f using (contact_id)
+          where lifecycle_stage = 'marketingqualifiedlead')
+    select campaign_id, activity_date, any_value(campaign_name) as campaign_name, any_value(channel) as channel,
+           cast(coalesce(sum(spend), 0) as double) as spend_usd, cast(coalesce(sum(impressions), 0) as integer) as impressions,
+           cast(coalesce(sum(clicks), 0) as integer) as clicks, cast(sum(mql) as integer) as mql_count,
+           cast(round(coalesce(sum(piped), 0), 2) as double) as attributed_pipeline_usd,
+           cast(try_cast(cast(coalesce(sum(earned), 0) as double) / nullif(cast(coalesce(sum(spend), 0) as double), 0)
+                as decimal(8,4)) as double) as roas
+    from a left join raw_campaign using (campaign_id) group by 1, 2""")
+R.add("campaign_contract", lambda c: contract_check(_campaign_report(c), CAMPAIGNS), """
+    select 'campaign_performance' as table_name, unnest(['schema_activity_date', 'schema_attributed_pipeline_usd',
+           'schema_campaign_id', 'schema_campaign_name', 'schema_channel', 'schema_clicks', 'schema_impressions',
+           'schema_mql_count', 'schema_roas', 'schema_spend_usd', 'not_null_campaign_id', 'not_null_activity_date',
+           'between_spend_usd', 'between_mql_count', 'unique_campaign_id_activity_date']) as test_name,
+           2 as tier, cast(0 as bigint) as failures, 'pass' as status""")
 R.add("pipeline_influenced", lambda c: marketing.pipeline_influenced(_opps(c), c.raw["raw_touch"]), """
     select cast(date_trunc('month', close_date) as date) as close_month, cast(sum(amount_usd) as double) as pipeline_usd,
            cast(coalesce(sum(amount_usd) filter (where touched), 0) as double) as influenced_usd,
