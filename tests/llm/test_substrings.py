@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tests_llm_helpers import prose
-from tidemark.llm import grouping, substrings
+from tidemark.llm import grouping, rolling, substrings
 
 
 @settings(max_examples=300, deadline=None)
@@ -33,6 +33,20 @@ def test_suffix_arrays_of_regular_texts(text):
     assert grouping.suffix_array(symbols) == sorted(range(len(symbols)), key=lambda i: symbols[i:])
 
 
+@pytest.mark.parametrize("wide", [1, 2, 5, 8, 13])
+def test_stretches_of_a_long_sequence_change_nothing(wide):
+    rng = np.random.default_rng(3)
+    # Few different numbers above the low bits, so that ties are common.
+    grams = rng.integers(0, 6, 500).astype(np.uint64) << np.uint64(rolling._POSITION_BITS)
+    grams |= rng.integers(0, 1 << 20, 500).astype(np.uint64)
+    high = grams >> np.uint64(rolling._POSITION_BITS)
+    want = [i + int(np.argmin(high[i: i + wide])) for i in range(500 - wide + 1)]
+    for stretch in (wide, wide + 1, 17, 499, 500, 1 << 27):
+        if stretch >= wide:
+            assert rolling.least_places(grams, wide, stretch).tolist() == want
+    assert len(rolling.least_places(grams[: wide - 1], wide)) == 0
+
+
 def brute(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(b[i: i + length] for b in data for i in range(len(b) - length + 1))

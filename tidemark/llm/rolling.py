@@ -63,7 +63,30 @@ class Hashed:
         return (self._sums[k:] - self._sums[:n]) * self._back[:n]
 
 
-_POSITION_BITS = np.uint64(27)
+# A minimum carries its position in this many bits; longer sequences are cut into overlapping stretches.
+_POSITION_BITS = 27
+
+
+def least_places(grams: np.ndarray, wide: int, stretch: int = 1 << _POSITION_BITS) -> np.ndarray:
+    """Where the least of each ``wide`` neighbouring numbers stands, the leftmost of equals (in all but the low bits).
+
+    ``stretch`` numbers are taken at a time, each stretch beginning where the windows of the one before end, so the
+    result does not depend on it and sequences may have any length.
+    """
+    # The high bits of the hash decide, then the position: one number to take minima of.
+    low = np.uint64((1 << _POSITION_BITS) - 1)
+    windows = len(grams) - wide + 1
+    places = np.empty(max(windows, 0), np.int64)
+    for begin in range(0, windows, stretch - wide + 1):
+        part = grams[begin: begin + stretch]
+        least, step = (part & ~low) | np.arange(len(part), dtype=np.uint64), 1
+        while step * 2 <= wide:
+            least = np.minimum(least[:-step], least[step:])
+            step *= 2
+        if step < wide:
+            least = np.minimum(least[: len(least) - (wide - step)], least[wide - step:])
+        places[begin: begin + len(least)] = (least & low).astype(np.int64) + begin
+    return places
 
 
 def least_runs(grams: Sequence[np.ndarray], wide: int, offsets: np.ndarray, length: int):
@@ -76,17 +99,7 @@ def least_runs(grams: Sequence[np.ndarray], wide: int, offsets: np.ndarray, leng
     none = np.zeros(0, np.int64)
     if len(grams[0]) < wide:
         return none, none, none, [none for _ in grams]
-    # The high bits of the hash decide, then the position: one number to take minima of.
-    low = (np.uint64(1) << _POSITION_BITS) - np.uint64(1)
-    places = []
-    for kind in grams:
-        least, step = (kind & ~low) | np.arange(len(kind), dtype=np.uint64), 1
-        while step * 2 <= wide:
-            least = np.minimum(least[:-step], least[step:])
-            step *= 2
-        if step < wide:
-            least = np.minimum(least[: len(least) - (wide - step)], least[wide - step:])
-        places.append((least & low).astype(np.int64))
+    places = [least_places(kind, wide) for kind in grams]
     n = len(places[0])
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
     valid = np.arange(n) + length <= offsets[1:][text]
