@@ -81,3 +81,46 @@ def test_days_do_not_depend_on_the_session_zone(spark, zone):
         assert sorted((r.activity_date.day, r.dau) for r in got) == [(1, 2), (4, 1)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def _folders(spark, out):
+    return (streams._numbered(spark, f"{out}/data", "batch"), streams._numbered(spark, f"{out}/compacted", "upto", whole=True))
+
+
+def test_batches_are_compacted_over_restarts_and_reads_take_later_ones_only(spark):
+    path, out = work_dir(spark, "in"), work_dir(spark, "out")
+    schema, order, expected = None, ["event_timestamp", "event_id"], {}
+    for run in range(3):
+        for k in range(4):
+            rows = [(f"{run}{k}{n}", T0 + timedelta(minutes=(run * 7 + k * 11 + n * 5) % 23), f"{run}-{k}", f"u{(n + k) % 5}") for n in range(4)]
+            batch(spark, path, rows)
+            for i, t, name, user in rows:
+                expected[user] = max(expected.get(user, (datetime.min, "", "")), (t, i, name))
+        stream = streams.stream_events(spark, path, SCHEMA, max_files_per_trigger=1)
+        schema = stream.schema
+        found = streams.run_upserts(stream, out, ["user_id"], order, "append", compact_every=2)
+        assert {r.user_id: (r.event_timestamp, r.event_id, r.event_name) for r in found.collect()} == expected
+    batches, compactions = _folders(spark, out)
+    assert compactions == [7, 9] and batches == [-1, 8, 9, 10, 11]
+    # What the last compaction replaced is not read: the newest rows of all are hidden in an old batch.
+    spark.createDataFrame([("z", datetime(2030, 1, 1), "wrong", "u1", "a", "u1-1")], SCHEMA).write.parquet(f"{out}/data/batch=3")
+    found = streams.read_upserts(spark, schema, out, ["user_id"], order)
+    assert {r.user_id: r.event_name for r in found.collect()} == {u: v[2] for u, v in expected.items()}
+
+
+def test_a_compaction_that_broke_off_does_not_count(spark):
+    path, out = work_dir(spark, "in"), work_dir(spark, "out")
+    for k in range(3):
+        batch(spark, path, [(str(k), T0 + timedelta(hours=k), f"n{k}", "u")])
+    stream = streams.stream_events(spark, path, SCHEMA, max_files_per_trigger=1)
+    read = lambda: [r.event_name for r in streams.read_upserts(spark, stream.schema, out, ["user_id"], ["event_timestamp"]).collect()]
+    streams.run_upserts(stream, out, ["user_id"], ["event_timestamp"], "append")
+    assert _folders(spark, out) == ([-1, 0, 1, 2], [])
+    half = f"{out}/compacted/upto=2"
+    spark.createDataFrame([], stream.schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    assert _folders(spark, out)[1] == [] and read() == ["n2"]
+    streams.compact_upserts(spark, stream.schema, out, ["user_id"], ["event_timestamp"], 2)
+    assert _folders(spark, out)[1] == [2] and read() == ["n2"]
+    # Once more changes nothing.
+    streams.compact_upserts(spark, stream.schema, out, ["user_id"], ["event_timestamp"], 2)
+    assert _folders(spark, out) == ([-1, 0, 1, 2], [2]) and read() == ["n2"]

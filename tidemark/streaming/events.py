@@ -46,30 +46,81 @@ def stream_dedupe(events: DataFrame, keys: Sequence[str] = ("event_id",)) -> Dat
     return events.dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_upserts(df: DataFrame, out: str, keys: Sequence[str], order: Sequence[str] = (), mode: str = "update") -> DataFrame:
+# Batches that are kept as they came before they are put together.
+COMPACT_EVERY = 20
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str, whole: bool = False) -> list[int]:
+    """The numbers of the folders ``prefix=number`` below ``path``; with ``whole`` only those written to the end."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith(f"{prefix}=")]
+    if whole:
+        found = [f for f in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(int(f.getName().split("=", 1)[1]) for f in found)
+
+
+def _logged(spark: SparkSession, schema: T.StructType, out: str) -> DataFrame:
+    """The rows that decide, with their batch: the last compaction and the batches after it."""
+    held = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    compactions = _numbered(spark, f"{out}/compacted", "upto", whole=True)
+    batches = spark.read.schema(held).parquet(f"{out}/data")
+    if not compactions:
+        return batches
+    last = compactions[-1]
+    return batches.filter(F.col("batch") > last).unionByName(spark.read.schema(held).parquet(f"{out}/compacted/upto={last}"))
+
+
+def compact_upserts(spark: SparkSession, schema: T.StructType, out: str, keys: Sequence[str], order: Sequence[str], upto: int) -> None:
+    """Put the batches up to ``upto`` and the last compaction together as one row per key.
+
+    A compaction counts once it is written to the end, so a broken one is written again.  Batches and compactions
+    that the one before had replaced are removed; those that a reader of now may still hold stay until the next.
+    """
+    before = _numbered(spark, f"{out}/compacted", "upto", whole=True)
+    if before and before[-1] >= upto:
+        return
+    rows = latest_by_key(_logged(spark, schema, out).filter(F.col("batch") <= upto), keys, [*order, "batch"])
+    rows.write.mode("overwrite").parquet(f"{out}/compacted/upto={upto}")
+    if not before:
+        return
+    old = [f"{out}/compacted/upto={n}" for n in before[:-1]]
+    old += [f"{out}/data/batch={n}" for n in _numbered(spark, f"{out}/data", "batch") if 0 <= n <= before[-1]]
+    for path in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_upserts(spark: SparkSession, schema: T.StructType, out: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The last row of each key that ``run_upserts`` has left below ``out``; reads the last compaction and later batches only."""
+    return latest_by_key(_logged(spark, schema, out), keys, [*order, "batch"]).drop("batch")
+
+
+def run_upserts(df: DataFrame, out: str, keys: Sequence[str], order: Sequence[str] = (), mode: str = "update",
+                compact_every: int = COMPACT_EVERY) -> DataFrame:
     """Process all available input and return the last row of each key, open windows included.
 
     Each micro-batch writes the rows it changed as its own ``batch`` partition below ``out``; a repeated
-    batch replaces it.  Reading takes the newest row per key (by ``order``, then batch) with a map-side combine.
+    batch replaces it.  A batch begins when those before it are final, so every ``compact_every`` batches it first puts
+    them together; what is kept and read stays within the keys and that many batches.  Reading takes the newest row per key
+    (by ``order``, then batch) with a map-side combine.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
-    spark, data = df.sparkSession, f"{out}/data"
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{data}/batch=-1")
+    schema, spark, data = df.schema, df.sparkSession, f"{out}/data"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{data}/batch=-1")
 
     def keep(rows: DataFrame, batch: int) -> None:
+        done = _numbered(spark, f"{out}/compacted", "upto", whole=True)
+        if batch - 1 - (done[-1] if done else -1) >= compact_every:
+            compact_upserts(spark, schema, out, keys, order, batch - 1)
         newest = latest_by_key(rows, keys, order) if order else rows
         newest.write.mode("overwrite").parquet(f"{data}/batch={batch}")
 
     query = (df.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    logged = spark.read.schema(schema).parquet(data)
-    return latest_by_key(logged, keys, [*order, "batch"]).drop("batch")
-
-
-def compact_upserts(rows: DataFrame, out: str) -> None:
-    """Write the current rows of ``run_upserts`` as the single batch of a new folder."""
-    rows.write.mode("overwrite").parquet(f"{out}/data/batch=0")
+    return read_upserts(spark, schema, out, keys, order)
 
 
 ACTIVITY_KEYS = ("activity_date", "account_id", "user_id", "session_id", "event_name")
