@@ -138,3 +138,16 @@ def test_fx_before_first_rate_and_reconcile_gaps(spark, rows):
     b = spark.createDataFrame([(1, 100.4), (2, 110.0), (4, 5.0), (5, 0.0)], "k int, w double")
     assert rows(finance.reconcile(a, b, ["k"], "v", "w"), "k", "is_exception") == [
         (1, False), (2, True), (3, True), (4, True), (5, False)]
+
+
+def test_filled_in_months_are_spread(spark):
+    """Few changes make many rows: they arise in many parts, however little was shuffled, and are grouped there."""
+    accounts = spark.range(3000).select(F.col("id").cast("string").alias("account_id"))
+    mrr = accounts.limit(50).select(
+        "account_id", F.lit(1200).cast("bigint").alias("annual_cents"), F.lit("active").alias("subscription_status"),
+        F.lit("1995-03-01").cast("timestamp_ntz").alias("period_start_at"),
+        F.lit("1996-03-01").cast("timestamp_ntz").alias("period_end_at"), F.lit(None).cast("timestamp_ntz").alias("canceled_at"))
+    revenue = finance.monthly_revenue(mrr, accounts, "1995-01-01", "2001-08-01")
+    sizes = [r["count"] for r in revenue.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 * 80 and len(sizes) > 200 and max(sizes) < 3000 * 80 / 50
+    assert revenue.groupBy("account_id", "revenue_month").count().filter("count > 1").count() == 0
