@@ -99,3 +99,21 @@ def test_daily_rows_and_totals_agree(spark, versions):
     totals = history.snapshot_totals(built, "2021-01-05", "2021-03-01", ["stage"], [])
     assert sorted(map(tuple, daily.collect())) == sorted(
         (r.snapshot_date, r.stage, r.versions) for r in totals.collect())
+
+
+def test_snapshot_table_holds_runs_of_days(spark, versions, tmp_path, rows):
+    """Days that are stored stay as they were, but for the last one; many days take no more rows than versions."""
+    schema = "k string, stage string, n int"
+    built = history.scd2_from_history(spark.createDataFrame(versions, V), "k", "t", ["stage", "n"])
+    path, open_when = str(tmp_path / "snapshots"), F.col("stage") != "x"
+    history.append_daily_snapshots(built, path, "2021-01-05", "2021-01-04", open_when)
+    assert history.read_daily_snapshots(spark, path, schema).count() == 0
+    history.append_daily_snapshots(built, path, "2021-01-05", "2021-02-10", open_when)
+    before = rows(history.daily_snapshot_append(built, "2021-01-05", "2021-02-09", open_when), "k", "stage", "n", "snapshot_date")
+    changed = built.withColumn("n", F.col("n") + 100)
+    for end in ("2021-12-31", "2021-12-31", "2021-03-01"):
+        history.append_daily_snapshots(changed, path, "2021-01-05", end, open_when)
+    after = rows(history.daily_snapshot_append(changed, "2021-02-10", "2021-12-31", open_when), "k", "stage", "n", "snapshot_date")
+    got = history.read_daily_snapshots(spark, path, schema).select("k", "stage", "n", "snapshot_date")
+    assert sorted(map(str, rows(got))) == sorted(map(str, before + after)) and before and after
+    assert spark.read.parquet(path).count() < len(before + after) / 3
