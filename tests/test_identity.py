@@ -91,3 +91,21 @@ def test_nothing_to_link(spark):
     assert identity.identity_components(empty).count() == 0
     alone = spark.createDataFrame([("crm", "1", None, None), ("crm", "2", None, None)], RECORD)
     assert {r.identity_id for r in identity.identity_components(alone).collect()} == {"crm:1", "crm:2"}
+
+
+def test_only_keys_take_part_in_the_turns(spark, tmp_path, monkeypatch):
+    """Records with one key are tied to nothing; those with several tie their keys, whatever number of rows they come in."""
+    written = []
+
+    def noted(df, purpose):
+        df.write.parquet(str(tmp_path / f"{len(written)}-{purpose}"))
+        written.append((purpose, spark.read.schema(df.schema).parquet(str(tmp_path / f"{len(written)}-{purpose}"))))
+        return written[-1][1]
+
+    monkeypatch.setattr("tidemark.operators.components.checkpointed", noted)
+    members = [(f"one{i}", f"k{i % 7}") for i in range(700)] + [("a", "k1"), ("a", "k2"), ("a", "k6"), ("a", "k2"), ("b", "k4"),
+               ("b", "k5"), ("b", None), ("none", None), (None, "k0")]
+    found = {r.r: r.component for r in components_of_keys(spark.createDataFrame(members, "r string, k string"), "r", "k").collect()}
+    assert {found[f"one{i}"] for i in (1, 2, 6)} | {found["a"]} == {"a"} and {found["b"], found["one4"], found["one5"]} == {"b"}
+    assert found["none"] == "none" and found["one7"] == "one0" and found["one3"] == "one10" and len(found) == 703
+    assert max(df.count() for purpose, df in written if purpose == "edges") <= 7

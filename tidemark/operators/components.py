@@ -17,21 +17,17 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u")
 
 
-def components_of_keys(members: DataFrame, record: str, key: str) -> DataFrame:
-    """``record, component``: every record with the least record that shared keys lead to, itself included.
+def _tied_to_least(edges: DataFrame) -> DataFrame:
+    """``u, v``: every node of the written ``edges`` (u, v; v smaller) with the least one it is linked to, that one left out.
 
-    ``members`` holds (record, key) rows; a null key joins nothing, a null record is left out.  Each key ties
-    its records to its least one, so a key of n records makes n edges.  Then every node's larger neighbours are tied to its
-    least one, and its smaller ones likewise, in turn, until no edge changes; chains of n records take about log n turns.
-    Nothing is gathered per key or per component.
+    Every node's larger neighbours are tied to its least one, and its smaller ones likewise, in turn, until no edge changes;
+    chains of n nodes take about log n turns.
     """
-    rows = checkpointed(members.select(F.col(record).alias("v"), F.col(key).alias("u")).filter("v is not null").distinct(), "members")
-    tied = _with_least(rows.filter("u is not null")).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    edges, before = checkpointed(tied.distinct(), "edges"), None
+    before = None
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before or state[0] == 0:
-            break
+            return edges
         before = state
         both = checkpointed(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both-ways")
         # A node stands in for its least neighbour only if that one is smaller.
@@ -40,6 +36,25 @@ def components_of_keys(members: DataFrame, record: str, key: str) -> DataFrame:
         smaller = _with_least(larger)
         edges = checkpointed(smaller.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             smaller.select("u", F.col("m").alias("v"))).distinct(), "edges")
-    found = edges.select(F.col("u").alias("v"), F.col("v").alias("m"))
-    return rows.select("v").distinct().join(found, "v", "left").select(
-        F.col("v").alias(record), F.coalesce("m", "v").alias("component"))
+
+
+def components_of_keys(members: DataFrame, record: str, key: str) -> DataFrame:
+    """``record, component``: every record with the least record that shared keys lead to, itself included.
+
+    ``members`` holds (record, key) rows; a null key joins nothing, a null record is left out.  Records lie at their
+    least key, and only keys are tied to each other, by the records that have several; records with one key, most
+    of them as a rule, take no part in the turns.  Nothing is gathered per key, per record or per component.
+    """
+    rows = checkpointed(members.select(F.col(record).alias("v"), F.col(key).alias("u")).filter("v is not null"), "members")
+    homes = checkpointed(rows.groupBy("v").agg(F.min("u").alias("home"), (F.min("u") != F.max("u")).alias("several")), "homes")
+    tied = rows.join(homes.filter("several").drop("several"), "v").filter("u != home").select("u", F.col("home").alias("v"))
+    roots = _tied_to_least(checkpointed(tied.distinct(), "edges")).withColumnsRenamed({"u": "home", "v": "_root"})
+    housed = homes.filter("home is not null")
+    # The least record at each key, then of all keys that are linked.
+    least = housed.groupBy("home").agg(F.min("v").alias("_least"))
+    keys = checkpointed(least.join(roots, "home", "left").select(
+        "home", "_least", F.coalesce("_root", "home").alias("_root")), "keys")
+    ends = checkpointed(keys.groupBy("_root").agg(F.min("_least").alias("component")), "ends")
+    found = checkpointed(keys.join(ends, "_root").select("home", "component"), "found")
+    return housed.join(found, "home").select(F.col("v").alias(record), "component").unionByName(
+        homes.filter("home is null").select(F.col("v").alias(record), F.col("v").alias("component")))

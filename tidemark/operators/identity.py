@@ -104,9 +104,10 @@ def identity_components(records: DataFrame, shared_domains: Sequence[str] | Data
     else:
         listed = [d.strip().lower() for d in shared_domains]
         domain = F.when(~F.col("_domain").isin(*listed), F.col("_domain")) if listed else F.col("_domain")
-    # A record may have several keys; none of them leaves one null key, which keeps the record.
-    keys = [F.concat(F.lit(f"{kind}:"), value) for kind, value in
-            (("account", F.col("account_id")), ("email", F.nullif("email", F.lit(""))), *((("domain", domain),) if by_domain else ()))]
+    # A record may have several keys; none of them leaves one null key, which keeps the record.  An e-mail has one
+    # domain: where that links, all who share the e-mail meet at the domain.
+    account, email = F.concat(F.lit("account:"), F.col("account_id")), F.concat(F.lit("email:"), F.nullif("email", F.lit("")))
+    keys = [account, F.coalesce(F.concat(F.lit("domain:"), domain), email) if by_domain else email]
     members = named.select("_record", F.explode_outer(F.array_compact(F.array(*keys))).alias("_key"))
     found = components_of_keys(members, "_record", "_key")
     system = F.substring_index("_record", ":", 1)
