@@ -47,6 +47,10 @@ def parts_for(rows: int, per_part: int) -> int:
     return max(1, -(-rows // per_part))
 
 
+# Bytes of text that are hashed at a time: each takes some fifty while its hashes are made.
+HASHED_BYTES = 1 << 20
+
+
 def text_slices(texts: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes; a longer single text is a range of its own."""
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset: texts.offset + len(texts) + 1]

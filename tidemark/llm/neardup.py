@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import filled, join_few, text_bytes, text_slices
+from tidemark.llm.common import HASHED_BYTES, filled, join_few, text_bytes, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.rolling import FOLDED, Hashed, mix, numbers, shingles, word_ranges
 from tidemark.session import checkpointed
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = filled(batch, "text")
-            for begin, end in text_slices(texts):
+            for begin, end in text_slices(texts, HASHED_BYTES):
                 sets = shingle_sets(*text_bytes(texts.slice(begin, end - begin)), width)
                 g1, g2, bands, sketches = [], [], [], []
                 for values in sets:
@@ -127,7 +127,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = filled(batch, "text")
-            for begin, end in text_slices(texts):
+            for begin, end in text_slices(texts, HASHED_BYTES):
                 sets = shingle_sets(*text_bytes(texts.slice(begin, end - begin)), width)
                 yield pa.record_batch([batch.column(0).slice(begin, end - begin),
                                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import filled, join_documents, parts_for, text_bytes, text_slices
+from tidemark.llm.common import HASHED_BYTES, filled, join_documents, parts_for, text_bytes, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.rolling import FOLDED, Hashed, least_runs, mix, numbers, word_grams, word_ranges
 from tidemark.session import checkpointed
@@ -58,7 +58,7 @@ def _runs(docs: DataFrame, keys_only: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = filled(batch, "text")
-            for begin, end in text_slices(texts):
+            for begin, end in text_slices(texts, HASHED_BYTES):
                 words, _, _, offsets = _words(texts.slice(begin, end - begin))
                 grams, whole = word_grams(words, SHINGLE), None if keys_only else Hashed(words)
                 for seed in _SEEDS:
@@ -83,7 +83,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = filled(batch, "text")
         lists = batch.column(batch.schema.get_field_index("list")).to_pylist()
-        for begin, end in text_slices(texts):
+        for begin, end in text_slices(texts, HASHED_BYTES):
             words, _, _, offsets = _words(texts.slice(begin, end - begin))
             low = (words.astype(np.uint32) | np.uint32(1))
             rows = []

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import filled, join_documents, parts_for, text_bytes, text_slices
+from tidemark.llm.common import HASHED_BYTES, filled, join_documents, parts_for, text_bytes, text_slices
 from tidemark.llm.grouping import common_prefixes, suffix_array
 from tidemark.llm.rolling import BYTE, Hashed, least_runs, numbers
 from tidemark.session import checkpointed
@@ -68,7 +68,7 @@ def _anchors(docs: DataFrame, length: int, k: int, keys_only: bool = False) -> D
         for batch in batches:
             texts = filled(batch, "text")
             ids, hashes = batch.column(0), batch.column(1)
-            for begin, end in text_slices(texts):
+            for begin, end in text_slices(texts, HASHED_BYTES):
                 if keys_only:
                     grams = segments_of(*text_bytes(texts.slice(begin, end - begin)), length, k, True)
                     yield pa.record_batch([pa.array(grams.view(np.int64))], names=["k"])

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.common import filled, replaced
 from tidemark.session import checkpointed
 
-# What a worker's words and ids may take together, with some 200 bytes for each entry.
-_CACHED_BYTES = 160 << 20
+# What a worker's words and ids may take together, with some 200 bytes for each entry.  Workers hold them while they run
+# the tasks of other operators, so this is little against an executor's memory.
+_CACHED_BYTES = 64 << 20
 # Fixed marks: a run of them after a letter or digit is a token run of its own.
 _MARKS = b".,;:!?"
 # Words of these letters alone are in composed form, have plain lower-case forms, and are not split further.
