@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +247,46 @@ def test_rows_alike_in_id_and_text_list_each_span_once(frame, monkeypatch):
     monkeypatch.setattr(paragraphs, "clusters", spans)
     removed(frame(*[(None, text)] * 20, (1, text)))
     assert len(sizes) == 2 and sizes[0] == sizes[1]
+
+
+def test_texts_are_hashed_once_and_links_inside_a_shard_settled_there(frame, monkeypatch):
+    rng = random.Random(51)
+    passage = prose(rng, 60)
+    docs = frame(*[(i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for i in range(6)])
+    hashed, linked = [], []
+    runs, components = paragraphs._runs, paragraphs.components
+    monkeypatch.setattr(paragraphs, "_runs", lambda *a, **b: hashed.append(1) or runs(*a, **b))
+    monkeypatch.setattr(paragraphs, "components", lambda *a, **b: linked.append(1) or components(*a, **b))
+    whole = removed(docs)
+    assert len(whole) == 5 and (len(hashed), len(linked)) == (1, 0)
+    assert removed(docs, group=2) == whole and len(linked) == 1
+
+
+def test_the_order_of_a_groups_runs_does_not_change_what_is_found():
+    table = np.array(crowd(5), np.uint32)
+    rows = pd.DataFrame({"k": 7, "s": np.arange(len(table)), "u": len(table), "at": (46 << 8) | 45,
+                         "words": [np.ascontiguousarray(r).tobytes() for r in table]})
+    one, two = (paragraphs._verified(r).sort_values(["s", "other", "x"]).reset_index(drop=True)
+                for r in (rows, rows.sample(frac=1, random_state=3)))
+    assert len(one) > 50 and one.equals(two)
+
+
+def test_spans_that_stay_are_taken_from_those_that_go():
+    rng = np.random.default_rng(9)
+    lists = [[{"begin": int(b), "end": int(b + n), "keep": bool(k), "keeper": None if w == 0 else int(w)}
+              for b, n, k, w in zip(rng.integers(0, 200, 8), rng.integers(1, 60, 8), rng.integers(0, 3, 8) == 0, rng.integers(0, 5, 8))]
+             for _ in range(60)]
+    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("keep", pa.bool_()), ("keeper", pa.int64())]))
+    batch = pa.record_batch([pa.array(range(60), pa.int64()), pa.array(range(60), pa.int64()), pa.array(lists, kind)], names=["d", "h", "list"])
+    for part in (batch, batch.slice(7, 20), batch.slice(0, 0)):
+        got = [out.column(2).to_pylist() for out in paragraphs._settle(iter([part]))][0]
+        for spans, found in zip(part.column(2).to_pylist(), got, strict=True):
+            gone = [any(s["begin"] <= w < s["end"] for s in spans if not s["keep"])
+                    and not any(s["begin"] <= w < s["end"] for s in spans if s["keep"]) for w in range(261)]
+            want = []
+            for w in range(260):
+                if gone[w] and not (w and gone[w - 1]):
+                    end = gone.index(False, w)
+                    keepers = [s["keeper"] for s in spans if not s["keep"] and s["keeper"] is not None and s["begin"] < end and s["end"] > w]
+                    want += [w, end, min(keepers, default=np.iinfo(np.int64).max)]
+            assert found == want

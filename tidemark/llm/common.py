@@ -87,12 +87,12 @@ def text_of_rows(rows: pa.StructArray, at: int) -> pa.Array:
 BROADCAST_BYTES = 64 << 20
 
 
-def join_documents(docs: DataFrame, lists: DataFrame, how: str, item_bytes: int) -> DataFrame:
+def join_documents(docs: DataFrame, lists: DataFrame, how: str, item_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """Join documents (``d`` id, ``h`` hash of the text) with a ``list`` per document.
 
-    The lists are broadcast after a look at their size, else shuffled with the documents.
+    The lists are broadcast after a look at their size, else (beyond ``most`` bytes) shuffled with the documents.
     """
     size = lists.agg(F.sum(F.size("list") * item_bytes + 64)).first()[0] or 0
     few = lists.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "list")
-    return docs.join(F.broadcast(few) if size <= BROADCAST_BYTES else few,
+    return docs.join(F.broadcast(few) if size <= most else few,
                      F.col("d").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), how).drop("_d", "_h")
