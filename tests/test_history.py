@@ -7,7 +7,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import values
 from tidemark.operators import history
+from workload import trust
+from workload.bindings import TABLES
 
 V = "k string, t timestamp_ntz, n int, stage string"
 T = datetime
@@ -117,3 +120,35 @@ def test_snapshot_table_holds_runs_of_days(spark, versions, tmp_path, rows):
     got = history.read_daily_snapshots(spark, path, schema).select("k", "stage", "n", "snapshot_date")
     assert sorted(map(str, rows(got))) == sorted(map(str, before + after)) and before and after
     assert spark.read.parquet(path).count() < len(before + after) / 3
+
+
+def test_days_are_summed_without_decimals(spark, versions, tmp_path, rows):
+    """Parts of an amount are made once per run of days; the days only add whole numbers, to the same sums."""
+    built = history.scd2_from_history(spark.createDataFrame(versions, V), "k", "t", ["stage", "n"])
+    priced = built.withColumn("amount", F.when(F.col("n") % 7 != 0, F.col("n") * F.lit(1234567.89)).cast("decimal(18,2)"))
+    path = str(tmp_path / "snapshots")
+    for end in ("2021-02-10", "2021-03-01"):
+        history.append_daily_snapshots(priced, path, "2021-01-05", end)
+    days = history.read_daily_snapshots(spark, path, "k string, stage string, amount decimal(18,2)",
+                                        values.money_parts(F.col("amount"), "amount"))
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index(" AS amount_cents")
+    totals = days.groupBy("snapshot_date", "stage").agg(F.count("*"), values.sum_of_money_parts("amount"))
+    expected = history.daily_snapshot_append(priced, "2021-01-05", "2021-03-01").groupBy("snapshot_date", "stage").agg(
+        F.count("*"), F.sum("amount"))
+    assert rows(totals) == rows(expected)
+
+
+def test_the_registered_query_adds_whole_numbers(spark, tmp_path, rows):
+    lines = [(1, 1, 1, 1, 1.0, 9999999.99, 0.0, 0.0, "N", "O", T(2001, 12, 28)),
+             (1, 1, 1, 2, 1.0, 10000000.01, 0.0, 0.0, "N", "F", T(2001, 12, 30)),
+             (2, 1, 1, 1, 1.0, -0.07, 0.0, 0.0, "N", "F", T(2001, 12, 31)),
+             (3, 1, 1, 1, 1.0, None, 0.0, 0.0, "R", "O", T(2001, 12, 31)),
+             (4, 1, 1, 1, 1.0, 5.0, 0.0, 0.0, "A", "F", T(2001, 12, 1))]
+    spark.createDataFrame(lines, TABLES["lineitem"]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = trust.R.queries["daily_snapshot_append"](spark, str(tmp_path))
+    assert rows(out.withColumn("snapshot_date", F.dayofmonth("snapshot_date"))) == [
+        (28, "NO", 1, 9999999.99), (29, "NO", 1, 9999999.99), (30, "NF", 1, 10000000.01), (31, "NF", 2, 9999999.94),
+        (31, "RO", 1, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(amount_cents" in plan and "sum(amount#" not in plan

@@ -93,6 +93,19 @@ def test_cents_are_exact(spark):
         Decimal("0.01"), Decimal("1.05"), Decimal("-0.07"), None, Decimal("90071992547409.93")]
 
 
+def test_money_parts_add_up_to_the_sum_of_decimals(spark):
+    most = "9999999999999999.99"
+    amounts = [("a", "0.01"), ("a", "-0.02"), ("a", "10000000.00"), ("a", "-10000000.01"), ("a", "9999999.99"), ("a", None),
+               ("most", most), ("most", most), ("most", most), ("least", "-" + most), ("least", "-" + most),
+               ("none", None), ("none", None), ("zero", "0.00"), ("zero", None)]
+    df = (spark.createDataFrame([(k, m and Decimal(m)) for k, m in amounts * 20], "k string, m decimal(18,2)")
+          .withColumns(values.money_parts(F.col("m"), "m")))
+    got = df.groupBy("k").agg(values.sum_of_money_parts("m").alias("parts"), F.sum("m").alias("whole"))
+    assert got.schema["parts"].dataType == got.schema["whole"].dataType
+    assert len(rows := got.collect()) == 5 and all(r.parts == r.whole for r in rows)
+    assert {r.k: r.parts for r in rows}["none"] is None and {r.k: r.parts for r in rows}["zero"] == 0
+
+
 def test_surrogate_key_tells_null_from_empty(spark):
     df = spark.createDataFrame([("a", None), ("a", "")], "x string, y string")
     assert df.select(values.surrogate_key(["x", "y"]).alias("k")).distinct().count() == 2
