@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import values
-from tidemark.operators import history
+from tidemark.operators import history, skew
 from workload import trust
 from workload.bindings import TABLES
 
@@ -152,3 +152,39 @@ def test_the_registered_query_adds_whole_numbers(spark, tmp_path, rows):
         (31, "RO", 1, None)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "sum(amount_cents" in plan and "sum(amount#" not in plan
+
+
+@pytest.mark.parametrize("unfolded, cells", [(1, 1), (40, 500), (1 << 18, 1 << 20)])
+def test_days_are_added_up_as_they_are_unfolded(spark, versions, tmp_path, rows, monkeypatch, unfolded, cells):
+    """In every size of parts the sums by batch come to the sums over the rows, groups and numbers that are null included."""
+    monkeypatch.setattr(history, "_UNFOLDED", unfolded)
+    monkeypatch.setattr(history, "_CELLS", cells)
+    monkeypatch.setattr(skew, "UNFOLD_PARTS", 2)
+    built = history.scd2_from_history(spark.createDataFrame(versions, V), "k", "t", ["stage", "n"])
+    built = built.withColumn("stage", F.when(F.col("stage") != "x", F.col("stage")))
+    path, schema = str(tmp_path / "snapshots"), "k string, stage string, n int"
+    for end in ("2021-02-10", "2021-03-01"):
+        history.append_daily_snapshots(built, path, "2021-01-05", end)
+    once = {"few": F.when(F.col("n") % 3 != 0, F.col("n")), "many": F.lit(1 << 50) + F.col("n"), "none": F.lit(None)}
+    for by in (["stage"], ["stage", "k"], []):
+        sums = [F.sum(F.col(c).cast("bigint")).alias(c) for c in once]
+        got = history.read_daily_snapshots(spark, path, schema, once, by).groupBy("snapshot_date", *by).agg(F.sum("versions"), *sums)
+        expected = history.read_daily_snapshots(spark, path, schema, once).groupBy("snapshot_date", *by).agg(F.count("*"), *sums)
+        assert sorted(map(str, rows(got))) == sorted(map(str, rows(expected))) and rows(got)
+
+
+def test_no_runs_add_up_to_nothing(spark, versions, tmp_path):
+    built = history.scd2_from_history(spark.createDataFrame(versions, V), "k", "t", ["stage", "n"])
+    path = str(tmp_path / "snapshots")
+    history.append_daily_snapshots(built, path, "2021-01-05", "2021-01-04")
+    assert history.read_daily_snapshots(spark, path, "k string, stage string, n int", {"m": F.col("n")}, ["stage"]).count() == 0
+
+
+def test_the_registered_query_looks_up_no_group_per_day(spark, tmp_path, rows):
+    lines = [(1, 1, 1, 1, 1.0, 5.0, 0.0, 0.0, "N", "O", T(2001, 12, 30)), (2, 1, 1, 1, 1.0, 0.5, 0.0, 0.0, "N", "O", T(2001, 12, 31))]
+    spark.createDataFrame(lines, TABLES["lineitem"]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = trust.R.queries["daily_snapshot_append"](spark, str(tmp_path))
+    assert rows(out.withColumn("snapshot_date", F.dayofmonth("snapshot_date"))) == [(30, "NO", 1, 5.0), (31, "NO", 2, 5.5)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert [f.nullable for f in out.schema] == [False, True, False, True]
